@@ -199,19 +199,45 @@ def interpolate_circular(df: DataFrame, cols: list[str], keys: list[str] = KEYS,
                     lambda c: turn_between("_t", bracket(c)))
 
 
+def carry_fill(df: DataFrame, cols: list[str], keys: list[str] = KEYS, ts: str = TS,
+               chunk_hours: int = CHUNK_HOURS) -> DataFrame:
+    """Forward fill, then backward fill.
+
+    After the forward fill only the rows before a key's first reading are null, so the
+    backward fill is one value per key and needs no second window over the rows.
+    """
+    if not cols:
+        return df
+    part = [*keys, CHUNK]
+    d = df.withColumn(CHUNK, chunk_of(F.col(ts), chunk_hours))
+    ends = []
+    for c in cols:
+        valid = f"CASE WHEN `{c}` IS NOT NULL THEN `{ts}` END"
+        ends += [f"min_by(`{c}`, {valid}) AS `_first_{c}`", f"max_by(`{c}`, {valid}) AS `_last_{c}`"]
+    edges = d.select(*part, ts, *cols).groupBy(*part).agg(*map(F.expr, ends))
+    before = over(keys, CHUNK, "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    whole = over(keys, CHUNK, "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
+    edges = edges.selectExpr(*part, *[
+        f"coalesce(last(`_last_{c}`) IGNORE NULLS {before}, first(`_first_{c}`) IGNORE NULLS {whole}) AS `_out_{c}`"
+        for c in cols])
+    upto = over(part, ts, "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+    d = d.selectExpr("*", *[f"last(`{c}`) IGNORE NULLS {upto} AS `_upto_{c}`" for c in cols])
+    return d.join(edges, part, "left").selectExpr(*[
+        f"coalesce(`_upto_{c}`, `_out_{c}`) AS `{c}`" if c in cols else f"`{c}`" for c in df.columns])
+
+
 def smart_fill(df: DataFrame, cols: list[str] | None = None, keys: list[str] = KEYS, ts: str = TS,
-               medians: dict[str, float] | None = None,
-               chunk_hours: int | None = CHUNK_HOURS) -> DataFrame:
+               medians: dict[str, float] | None = None, chunk_hours: int = CHUNK_HOURS) -> DataFrame:
     """Forward fill, backward fill, then the column median for keys without any reading.
 
-    Pass `medians` from a fitted profile to score new rows; otherwise they are taken from
+    Pass `medians` from a fitted profile to fill new rows; otherwise they are taken from
     the filled columns.
     """
     cols = [c for c in (numeric_columns(df) if cols is None else cols) if c not in keys]
+    filled = carry_fill(df, cols, keys, ts, chunk_hours)
+    if medians is None and cols:
+        seen = df.groupBy(*keys).agg(*[F.count(c).alias(c) for c in cols]).agg(*[F.min(c).alias(c) for c in cols]).first()
+        medians = exact_medians(filled, [c for c in cols if seen[c] == 0])
     kinds = dict(df.dtypes)
-    filled = _replace(df, cols, keys, ts, chunk_hours,
-                      lambda c: f"CAST(coalesce({bracket(c).v0}, {bracket(c).v1}) AS {kinds[c]})")
-    if medians is None:
-        medians = exact_medians(filled, cols, only_with_nulls=True)
-    known = {c: m for c, m in medians.items() if m is not None}
+    known = {c: m for c, m in (medians or {}).items() if m is not None}
     return filled.withColumns({c: F.coalesce(F.col(c), F.lit(m).cast(kinds[c])) for c, m in known.items()})

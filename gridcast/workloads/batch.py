@@ -45,9 +45,8 @@ def query(fn: Query) -> Query:
 
 def tidy(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     """Round doubles for comparison; adding zero turns -0.0 into 0.0."""
-    return df.select(*[
-        (F.round(c, special.get(c, digits)) + F.lit(0.0)).alias(c) if t == "double" else F.col(c)
-        for c, t in df.dtypes])
+    return df.selectExpr(*[
+        f"round(`{c}`, {special.get(c, digits)}) + 0D AS `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes])
 
 
 ROLL_DIGITS = {f"aqi_roll_std_{n}h": 4 for n in (12, 24)}

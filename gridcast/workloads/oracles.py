@@ -512,7 +512,7 @@ def build() -> dict[str, str]:
     q["stream_rolling_sliding"] = "\nUNION ALL\n".join(
         f"""(WITH {events()}, e AS (SELECT site, value, unnest(generate_series(timestamp, timestamp + INTERVAL {n - 1} HOUR,
         INTERVAL 1 HOUR)) AS last_hour FROM ev)
-        SELECT CAST({n} AS INTEGER) AS hours, site, last_hour AS timestamp, count(value) AS n, {r('avg(value)', 'mean')},
+        SELECT CAST({n} AS INTEGER) AS hours, site, last_hour AS timestamp, count(value) AS n, {r('avg(value)', 'mean', 10)},
         {r('stddev_samp(value)', 'std', 4)} FROM e
         WHERE last_hour + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 3 HOUR FROM ev) GROUP BY site, last_hour)"""
         for n in (6, 12, 24))
