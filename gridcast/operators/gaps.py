@@ -200,7 +200,7 @@ def interpolate_circular(df: DataFrame, cols: list[str], keys: list[str] = KEYS,
 
 
 def carry_fill(df: DataFrame, cols: list[str], keys: list[str] = KEYS, ts: str = TS,
-               chunk_hours: int = CHUNK_HOURS) -> DataFrame:
+               chunk_hours: int | None = CHUNK_HOURS) -> DataFrame:
     """Forward fill, then backward fill.
 
     After the forward fill only the rows before a key's first reading are null, so the
@@ -208,6 +208,12 @@ def carry_fill(df: DataFrame, cols: list[str], keys: list[str] = KEYS, ts: str =
     """
     if not cols:
         return df
+    if chunk_hours is None:
+        upto = over(keys, ts, "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+        whole = over(keys, ts, "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
+        return df.selectExpr(*[
+            f"coalesce(last(`{c}`) IGNORE NULLS {upto}, first(`{c}`) IGNORE NULLS {whole}) AS `{c}`"
+            if c in cols else f"`{c}`" for c in df.columns])
     part = [*keys, CHUNK]
     d = df.withColumn(CHUNK, chunk_of(F.col(ts), chunk_hours))
     ends = []
@@ -227,7 +233,7 @@ def carry_fill(df: DataFrame, cols: list[str], keys: list[str] = KEYS, ts: str =
 
 
 def smart_fill(df: DataFrame, cols: list[str] | None = None, keys: list[str] = KEYS, ts: str = TS,
-               medians: dict[str, float] | None = None, chunk_hours: int = CHUNK_HOURS) -> DataFrame:
+               medians: dict[str, float] | None = None, chunk_hours: int | None = CHUNK_HOURS) -> DataFrame:
     """Forward fill, backward fill, then the column median for keys without any reading.
 
     Pass `medians` from a fitted profile to fill new rows; otherwise they are taken from

@@ -19,29 +19,44 @@ from gridcast.operators.gaps import CHUNK, chunk_of, over
 INDEX = "_index"
 TOTAL = "_total"
 
+# Eleven years of hours. A key up to this size is one window partition.
+WHOLE_KEY_ROWS = 100_000
 
-def with_row_index(df: DataFrame, keys: list[str], order: list[str], bucket: Column) -> DataFrame:
+
+def with_row_index(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None) -> DataFrame:
     """Add `_index` (from 0, in `order`, per key) and `_total` (rows of the key).
 
     `bucket` must not decrease along `order`. Only bucket counts are added up per key; the
-    rows themselves are numbered inside their bucket.
+    rows themselves are numbered inside their bucket. Without a bucket a key is numbered in
+    one window partition.
     """
+    whole = Window.partitionBy(*keys)
+    if bucket is None:
+        return df.withColumns({INDEX: F.row_number().over(whole.orderBy(*order)) - 1,
+                               TOTAL: F.count(F.lit(1)).over(whole)})
     d = df.withColumn(CHUNK, bucket)
     part = [*keys, CHUNK]
     counts = d.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    whole = Window.partitionBy(*keys)
     before = whole.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
                             F.sum("_n").over(whole).alias(TOTAL))
-    inside = Window.partitionBy(*part).orderBy(*order)
-    return (d.join(offsets, part)
-            .withColumn(INDEX, F.col("_offset") + F.row_number().over(inside) - 1)
-            .drop(CHUNK, "_offset"))
+    d = d.withColumn("_inside", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    return (d.join(offsets, part).withColumn(INDEX, F.col("_offset") + F.col("_inside") - 1)
+            .drop(CHUNK, "_offset", "_inside"))
 
 
 def with_time_index(df: DataFrame, keys: list[str] = KEYS, ts: str = TS,
-                    chunk_hours: int = CHUNK_HOURS) -> DataFrame:
-    return with_row_index(df, keys, [ts], chunk_of(F.col(ts), chunk_hours))
+                    chunk_hours: int | None = CHUNK_HOURS) -> DataFrame:
+    bucket = None if chunk_hours is None else chunk_of(F.col(ts), chunk_hours)
+    return with_row_index(df, keys, [ts], bucket)
+
+
+def chunk_for(df: DataFrame, keys: list[str] = KEYS, most: int = WHOLE_KEY_ROWS,
+              chunk_hours: int = CHUNK_HOURS) -> int | None:
+    """None when every key has at most `most` rows, so that whole keys fit a window task with
+    one shuffle; otherwise `chunk_hours`. Counts the keys, so call it on a stored table."""
+    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    return None if top <= most else chunk_hours
 
 
 @dataclass(frozen=True)
@@ -61,22 +76,23 @@ class Rows:
 
 def over_rows(df: DataFrame, build: Callable[[Rows], dict[str, str]],
               keys: list[str] = KEYS, ts: str = TS, back: int = MAX_SHIFT, ahead: int = 0,
-              part_rows: int | None = CHUNK_HOURS, chunk_hours: int = CHUNK_HOURS) -> DataFrame:
+              chunk_hours: int | None = CHUNK_HOURS) -> DataFrame:
     """Add the SQL columns of `build(rows)`, which look at most `back` / `ahead` rows away.
 
-    `part_rows=None` evaluates whole keys, for series known to be short.
+    Parts have `chunk_hours` rows; None evaluates whole keys, for series known to be short
+    (`chunk_for` finds out).
     """
-    if part_rows is None:
+    if chunk_hours is None:
         return _with_sql(df, build(Rows(tuple(keys), ts)))
-    if part_rows < max(back, ahead):
-        raise ValueError("part_rows must be at least as long as the look-back and look-ahead")
+    if chunk_hours < max(back, ahead):
+        raise ValueError("a part must be at least as long as the look-back and look-ahead")
     d = df if INDEX in df.columns else with_time_index(df, keys, ts, chunk_hours)
-    size = F.lit(part_rows)
+    size = F.lit(chunk_hours)
     own = F.floor(F.col(INDEX) / size)
     place = F.col(INDEX) % size
     parts = [own]
     if back:
-        parts.append(F.when((place >= part_rows - back) & ((own + 1) * size < F.col(TOTAL)), own + 1))
+        parts.append(F.when((place >= chunk_hours - back) & ((own + 1) * size < F.col(TOTAL)), own + 1))
     if ahead:
         parts.append(F.when((place < ahead) & (own > 0), own - 1))
     d = d.withColumn("_part", F.explode(F.array_compact(F.array(*parts))))

@@ -62,7 +62,7 @@ def keep_complete_targets(df: DataFrame, targets: list[str], max_shift: int = MA
 
 def build_features(clean: DataFrame, mode: str = "training", keys: list[str] = KEYS, ts: str = TS,
                    filled: bool = False, bands: dict | None = None, scales: dict | None = None,
-                   generated_at: Column | None = None, chunk_hours: int = CHUNK_HOURS) -> DataFrame:
+                   generated_at: Column | None = None, chunk_hours: int | None = CHUNK_HOURS) -> DataFrame:
     """The feature table. Lags count rows, so an hour dropped for want of an index shifts them.
 
     `filled=True` says that the channels have no gaps left (the output of `build_clean`).
@@ -81,7 +81,7 @@ def build_features(clean: DataFrame, mode: str = "training", keys: list[str] = K
                 | (target_columns(rows) if training else {}))
 
     d = over_rows(d, build, keys, ts, back=MAX_SHIFT, ahead=MAX_SHIFT if training else 0,
-                  part_rows=max(chunk_hours, MAX_SHIFT))
+                  chunk_hours=chunk_hours)
     if training:
         d = keep_complete_targets(with_target_classes(d), TARGETS)
     d = calendar_columns(d, ts).withColumns(ratio_columns(channels))

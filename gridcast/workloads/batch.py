@@ -17,13 +17,13 @@ from gridcast.operators import explore, gaps, quality, registry as reg, sampling
 from gridcast.operators.align import align_and_merge, align_and_merge_latest
 from gridcast.operators.dedup import keep_first, keep_last, latest_per_key, recent_per_key
 from gridcast.operators.monitor import grid_gaps, health_report
-from gridcast.operators.rowspan import lag, over_rows, rolling_mean, with_time_index
+from gridcast.operators.rowspan import chunk_for, lag, over_rows, rolling_mean, with_time_index
 from gridcast.plans.clean import build_clean
 from gridcast.plans.features import (
     build_features, delta_columns, keep_complete_targets, lag_columns, ratio_columns, rolling_columns,
     target_columns, with_aqi, with_target_classes,
 )
-from gridcast.plans.gate import clean_inference, clean_training, training_rows
+from gridcast.plans.gate import UNAUDITED, clean_inference, clean_training, training_rows
 from gridcast.session import configure, stage
 from gridcast.sources.landing import parse_payload, pollution_rows, weather_rows
 from gridcast.sources.store import merge_report, merge_upsert
@@ -60,19 +60,30 @@ def hourly_cells(spark, sf_dir):
 
 
 def hourly_grid(spark, sf_dir):
-    return gaps.grid_reindex(hourly_cells(spark, sf_dir).drop("city", "source", "ingested_at"), aligned=True)
+    cells = hourly_cells(spark, sf_dir)
+    return gaps.grid_reindex(cells.drop("city", "source", "ingested_at"), aligned=True, chunk_hours=chunk_for(cells))
 
 
 def clean_table(spark, sf_dir):
-    return stage(build_clean(hourly_cells(spark, sf_dir)), "clean")
+    cells = hourly_cells(spark, sf_dir)
+    return stage(build_clean(cells, chunk_hours=chunk_for(cells)), "clean")
 
 
 def feature_table(spark, sf_dir, mode="training"):
-    return build_features(clean_table(spark, sf_dir), mode, filled=True, generated_at=F.expr(STAMP))
+    clean = clean_table(spark, sf_dir)
+    return build_features(clean, mode, filled=True, generated_at=F.expr(STAMP), chunk_hours=chunk_for(clean))
+
+
+def cleaned(spark, sf_dir):
+    """Cleaned training rows and the fitted profile."""
+    features = stage(feature_table(spark, sf_dir), "features")
+    return clean_training(features, generated_at=F.expr(STAMP), chunk_hours=chunk_for(features))
 
 
 def aqi_series(spark, sf_dir):
-    return with_aqi(clean_table(spark, sf_dir))
+    """Stored series with its index, and how to cut it for windows."""
+    series = with_aqi(clean_table(spark, sf_dir))
+    return series, chunk_for(series)
 
 
 # ---- landing ----------------------------------------------------------------------------
@@ -218,7 +229,7 @@ def align_merge_latest(spark, sf_dir):
 @query
 def interpolate_time(spark, sf_dir):
     cells = hourly_cells(spark, sf_dir).select(SITE, TS, *CHANNELS)
-    return tidy(gaps.interpolate_time(cells, CHANNELS))
+    return tidy(gaps.interpolate_time(cells, CHANNELS, chunk_hours=chunk_for(cells)))
 
 
 @query
@@ -228,18 +239,20 @@ def ffill_limit(spark, sf_dir):
 
 @query
 def smart_fill(spark, sf_dir):
-    return tidy(gaps.smart_fill(hourly_cells(spark, sf_dir).select(SITE, TS, *CHANNELS), CHANNELS))
+    cells = hourly_cells(spark, sf_dir).select(SITE, TS, *CHANNELS)
+    return tidy(gaps.smart_fill(cells, CHANNELS, chunk_hours=chunk_for(cells)))
 
 
 @query
 def interpolate_circular(spark, sf_dir):
     cells = hourly_cells(spark, sf_dir).select(SITE, TS, "wind_direction")
-    return tidy(gaps.interpolate_circular(cells, ["wind_direction"]))
+    return tidy(gaps.interpolate_circular(cells, ["wind_direction"], chunk_hours=chunk_for(cells)))
 
 
 @query
 def clean_hourly(spark, sf_dir):
-    return tidy(build_clean(hourly_cells(spark, sf_dir)))
+    cells = hourly_cells(spark, sf_dir)
+    return tidy(build_clean(cells, chunk_hours=chunk_for(cells)))
 
 
 # ---- index ------------------------------------------------------------------------------------
@@ -292,26 +305,29 @@ def ratio_features(spark, sf_dir):
 
 @query
 def lag_features(spark, sf_dir):
-    series = aqi_series(spark, sf_dir).select(SITE, TS, "aqi", *CHANNELS)
-    return tidy(over_rows(series, lambda rows: lag_columns(rows, series.columns)).drop(*CHANNELS))
+    series, chunk = aqi_series(spark, sf_dir)
+    series = series.select(SITE, TS, "aqi", *CHANNELS)
+    lags = over_rows(series, lambda rows: lag_columns(rows, series.columns), chunk_hours=chunk)
+    return tidy(lags.drop(*CHANNELS))
 
 
 @query
 def rolling_stats(spark, sf_dir):
-    series = aqi_series(spark, sf_dir).select(SITE, TS, "aqi")
-    return tidy(over_rows(series, rolling_columns, back=24), **ROLL_DIGITS)
+    series, chunk = aqi_series(spark, sf_dir)
+    return tidy(over_rows(series.select(SITE, TS, "aqi"), rolling_columns, back=24, chunk_hours=chunk), **ROLL_DIGITS)
 
 
 @query
 def delta_features(spark, sf_dir):
-    series = aqi_series(spark, sf_dir).select(SITE, TS, "aqi")
-    return tidy(over_rows(series, delta_columns, back=24))
+    series, chunk = aqi_series(spark, sf_dir)
+    return tidy(over_rows(series.select(SITE, TS, "aqi"), delta_columns, back=24, chunk_hours=chunk))
 
 
 @query
 def targets_training(spark, sf_dir):
-    series = with_time_index(aqi_series(spark, sf_dir).select(SITE, TS, "aqi"))
-    rows = with_target_classes(over_rows(series, target_columns, back=0, ahead=72))
+    series, chunk = aqi_series(spark, sf_dir)
+    series = with_time_index(series.select(SITE, TS, "aqi"), chunk_hours=chunk)
+    rows = with_target_classes(over_rows(series, target_columns, back=0, ahead=72, chunk_hours=chunk))
     rows = keep_complete_targets(rows, TARGETS)
     return tidy(rows.select(SITE, TS, "aqi", *TARGETS))
 
@@ -366,17 +382,16 @@ def clip_bounds(spark, sf_dir):
 
 @query
 def clean_features_training(spark, sf_dir):
-    table = stage(feature_table(spark, sf_dir), "features")
-    return tidy(clean_training(table, generated_at=F.expr(STAMP))[0], **ROLL_DIGITS)
+    return tidy(cleaned(spark, sf_dir)[0], **ROLL_DIGITS)
 
 
 @query
 def inference_row(spark, sf_dir):
-    clean = clean_table(spark, sf_dir)
-    stamp = F.expr(STAMP)
-    training = stage(build_features(clean, filled=True, generated_at=stamp), "features")
-    profile = quality.fit_profile(training_rows(training), extra_protected=["city", "source", "ingested_at", "is_imputed"])
-    scoring = build_features(clean, "inference", filled=True, generated_at=stamp)
+    clean, stamp = clean_table(spark, sf_dir), F.expr(STAMP)
+    chunk = chunk_for(clean)
+    training = stage(build_features(clean, filled=True, generated_at=stamp, chunk_hours=chunk), "features")
+    profile = quality.fit_profile(training_rows(training), extra_protected=UNAUDITED)
+    scoring = build_features(clean, "inference", filled=True, generated_at=stamp, chunk_hours=chunk)
     return tidy(clean_inference(scoring, profile, generated_at=stamp), **ROLL_DIGITS)
 
 
@@ -417,7 +432,7 @@ def class_distribution(spark, sf_dir):
 
 @query
 def category_distribution(spark, sf_dir):
-    newest = recent_per_key(aqi_series(spark, sf_dir).select(SITE, TS, "aqi"), KEYS, TS, 48)
+    newest = recent_per_key(with_aqi(clean_table(spark, sf_dir)).select(SITE, TS, "aqi"), KEYS, TS, 48)
     return explore.category_distribution(newest, F.col("aqi"), KEYS)
 
 
@@ -428,22 +443,22 @@ def latest_per_site(spark, sf_dir):
 
 @query
 def recent_trend_ma3(spark, sf_dir):
-    newest = recent_per_key(aqi_series(spark, sf_dir).select(SITE, TS, "aqi"), KEYS, TS, 48)
+    newest = recent_per_key(with_aqi(clean_table(spark, sf_dir)).select(SITE, TS, "aqi"), KEYS, TS, 48)
     # At most 48 rows per site are left.
-    return tidy(over_rows(newest, lambda rows: {"aqi_ma": rolling_mean("aqi", rows, 3)}, part_rows=None))
+    return tidy(over_rows(newest, lambda rows: {"aqi_ma": rolling_mean("aqi", rows, 3)}, chunk_hours=None))
 
 
 # ---- split, balance, sample, scores -----------------------------------------------------------
 
 @query
 def train_test_split(spark, sf_dir):
-    rows = stage(aqi_series(spark, sf_dir).select(SITE, TS), "series")
-    return sampling.time_split(rows).withColumn("is_train", F.col("is_train").cast("int"))
+    series, chunk = aqi_series(spark, sf_dir)
+    return sampling.time_split(series.select(SITE, TS), chunk_hours=chunk).withColumn("is_train", F.col("is_train").cast("int"))
 
 
 @query
 def oversample_balance(spark, sf_dir):
-    rows = aqi_series(spark, sf_dir).select(SITE, TS, air.class5(F.col("aqi")).alias("aqi_class"))
+    rows = with_aqi(clean_table(spark, sf_dir)).select(SITE, TS, air.class5(F.col("aqi")).alias("aqi_class"))
     return sampling.oversample(stage(rows, "labels"), "aqi_class", [SITE, TS])
 
 
@@ -453,8 +468,9 @@ def sample_rows(spark, sf_dir):
 
 
 def _naive_forecast(spark, sf_dir):
-    series = aqi_series(spark, sf_dir).select(SITE, TS, "aqi")
-    return over_rows(series, lambda rows: {"forecast": lag("aqi", rows, 24)}, back=24)
+    series, chunk = aqi_series(spark, sf_dir)
+    return over_rows(series.select(SITE, TS, "aqi"), lambda rows: {"forecast": lag("aqi", rows, 24)}, back=24,
+                     chunk_hours=chunk)
 
 
 @query
