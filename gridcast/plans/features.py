@@ -55,9 +55,11 @@ def ratio_columns(columns: list[str]) -> dict[str, Column]:
 
 
 def keep_complete_targets(df: DataFrame, targets: list[str], max_shift: int = MAX_SHIFT) -> DataFrame:
-    """Drop rows without every target. Keys too short for any target keep their rows."""
-    complete = ~F.greatest(*[F.col(t).isNull() for t in targets])
-    return df.where(complete | (F.col(TOTAL) <= max_shift))
+    """Drop rows without every target. Keys too short for the longest horizon get no targets
+    at all and keep their rows."""
+    short = F.col(TOTAL) <= max_shift
+    d = df.withColumns({t: F.when(~short, F.col(t)) for t in targets})
+    return d.where(short | ~F.greatest(*[F.col(t).isNull() for t in targets]))
 
 
 def build_features(clean: DataFrame, mode: str = "training", keys: list[str] = KEYS, ts: str = TS,

@@ -43,7 +43,11 @@ def pollution_rows(payloads: DataFrame, keys: list[str] = KEYS, require_rows: bo
 def weather_rows(payloads: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Parallel `hourly` arrays -> one row per hour, with channel names."""
     arrays = ["time", *WEATHER_FIELDS]
-    zipped = F.arrays_zip(*[F.col(f"hourly.{a}").alias(a) for a in arrays])
+    # An absent field would make the whole zip null; as an empty array it gives null readings.
+    kinds = {f.name: f.dataType.simpleString() for f in payloads.schema["hourly"].dataType.fields}
+    zipped = F.expr("arrays_zip(" + ", ".join(
+        f"coalesce(hourly.{a}, CAST(array() AS {kinds[a]}))" for a in arrays) + ")")
+    zipped = zipped.cast("array<struct<" + ", ".join(f"{a}:{kinds[a][6:-1]}" for a in arrays) + ">>")
     d = payloads.select(*keys, F.posexplode(zipped).alias("_pos", "_h"))
     d = d.select(*keys, F.col("_h.time").try_cast("timestamp").alias(TS), "_pos",
                  *[F.col(f"_h.{f}").alias(c) for f, c in WEATHER_FIELDS.items()])

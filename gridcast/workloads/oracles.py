@@ -180,8 +180,10 @@ def deltas() -> dict[str, str]:
 
 
 def targets() -> dict[str, str]:
-    return {VALUE_TARGET: f"lead(aqi, 24) {W}"} | {
-        t: class5(f"lead(aqi, {h}) {W}") for t, h in zip(CLASS_TARGETS, CLASS_HORIZONS)}
+    def ahead(h):
+        return f"CASE WHEN count(*) OVER (PARTITION BY site) > 72 THEN lead(aqi, {h}) {W} END"
+
+    return {VALUE_TARGET: ahead(24)} | {t: class5(ahead(h)) for t, h in zip(CLASS_TARGETS, CLASS_HORIZONS)}
 
 
 RATIOS = {"pm2_5_pm10_ratio": "pm2_5 / nullif(pm10 + 1e-6::DOUBLE, 0)", "no2_o3_ratio": "no2 / nullif(o3 + 1e-6::DOUBLE, 0)"}
