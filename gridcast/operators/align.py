@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridcast.names import CHUNK_HOURS, HOUR, KEYS, POLLUTANTS, TS, WEATHER
 from gridcast.operators.gaps import (
-    CHUNK, bracket, carried_then_linear_at, chunk_of, gap_hours, linear_at, seconds, with_brackets,
+    bracket, carried_then_linear_at, gap_hours, linear_at, seconds, with_brackets, with_extent,
 )
 
 
@@ -38,26 +38,13 @@ def align_and_merge(air: DataFrame, weather: DataFrame, keys: list[str] = KEYS,
     side = [c for c in POLLUTANTS if c in air.columns]
     other = [c for c in WEATHER if c in weather.columns]
     if extent == "left":
-        weather = within_extent(weather, air, keys, ts)
+        weather = with_extent(weather, air, keys, ts).select(*weather.columns)
     both = air.select(*keys, ts, *side).join(weather.select(*keys, ts, *other), [*keys, ts], "full")
     grid = _filled_grid(both, {**{c: linear_at for c in side}, **{c: _carried(carry_hours) for c in other}},
                         keys, ts, chunk_hours)
     return grid.where(F.col("pm2_5").isNotNull())
 
 
-def within_extent(df: DataFrame, bounds: DataFrame, keys: list[str] = KEYS, ts: str = TS,
-                  chunk_hours: int = CHUNK_HOURS) -> DataFrame:
-    """Rows of `df` on the grid hours between the first and last `bounds` row of their key.
-
-    The extent is spread over time chunks, so the join key of a long history is not one value.
-    """
-    extent = bounds.groupBy(*keys).agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"))
-    extent = extent.withColumn(CHUNK, F.explode(F.sequence(
-        chunk_of(F.col("_from"), chunk_hours), chunk_of(F.col("_to"), chunk_hours))))
-    return (df.withColumn(CHUNK, chunk_of(F.col(ts), chunk_hours)).join(extent, [*keys, CHUNK])
-            .where(F.col(ts).between(F.col("_from"), F.col("_to"))).select(*df.columns))
-
-
 def align_and_merge_latest(air: DataFrame, weather: DataFrame, keys: list[str] = KEYS, ts: str = TS,
                            chunk_hours: int | None = CHUNK_HOURS) -> DataFrame:
     """Hourly merge: pollutant extent only, every channel linear in time.
@@ -66,6 +53,6 @@ def align_and_merge_latest(air: DataFrame, weather: DataFrame, keys: list[str] =
     """
     side = [c for c in POLLUTANTS if c in air.columns]
     other = [c for c in WEATHER if c in weather.columns]
-    inside = within_extent(weather.select(*keys, ts, *other), air, keys, ts)
+    inside = with_extent(weather, air, keys, ts).select(*keys, ts, *other)
     both = air.select(*keys, ts, *side).join(inside, [*keys, ts], "full")
     return _filled_grid(both, {c: linear_at for c in [*side, *other]}, keys, ts, chunk_hours)

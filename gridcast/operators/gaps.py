@@ -143,11 +143,24 @@ def turn_between(t: str, b: Bracket) -> str:
 
 # ---- operators ---------------------------------------------------------------------------
 
+def with_extent(df: DataFrame, bounds: DataFrame, keys: list[str] = KEYS, ts: str = TS,
+                chunk_hours: int = CHUNK_HOURS) -> DataFrame:
+    """Rows of `df` between the first and last `bounds` row of their key, with `_from` and `_to`.
+
+    The extent is repeated for every time chunk it covers and joined by (keys, chunk), so the
+    rows of a long history do not meet under one join key.
+    """
+    extent = bounds.groupBy(*keys).agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"))
+    extent = extent.withColumn(CHUNK, F.explode(F.sequence(
+        chunk_of(F.col("_from"), chunk_hours), chunk_of(F.col("_to"), chunk_hours))))
+    return (df.withColumn(CHUNK, chunk_of(F.col(ts), chunk_hours)).join(extent, [*keys, CHUNK])
+            .where(F.col(ts).between(F.col("_from"), F.col("_to"))).drop(CHUNK))
+
+
 def on_grid(df: DataFrame, keys: list[str] = KEYS, ts: str = TS, step: int = HOUR) -> DataFrame:
     """Drop rows that are not a whole number of steps after their key's first row."""
-    first = df.groupBy(*keys).agg(F.min(ts).alias("_first"))
-    offset = (F.unix_micros(F.col(ts)) - F.unix_micros(F.col("_first"))) % F.lit(step * 1_000_000)
-    return df.join(first, keys).where(offset == 0).drop("_first")
+    offset = F.expr(f"(unix_micros(`{ts}`) - unix_micros(_from)) % {step * 1_000_000}")
+    return with_extent(df, df, keys, ts).where(offset == 0).select(*df.columns)
 
 
 def gap_hours(ts: str = TS, step: int = HOUR) -> Column:

@@ -49,9 +49,17 @@ def sliding(stream: DataFrame, value: str, hours: int, keys: list[str] = KEYS, e
             .withColumn("hours", F.lit(hours)))
 
 
-def first_seen(stream: DataFrame, keys: list[str], event_time: str, delay: str = DELAY) -> DataFrame:
-    """Drop rows whose key was seen within the delay (rows fetched again)."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+def first_seen(stream: DataFrame, keys: list[str], event_time: str, delay: str = DELAY, salts: int = 16) -> DataFrame:
+    """Drop rows whose key was seen within the delay (rows fetched again).
+
+    Copies are first dropped per (key, input partition modulo `salts`), so a key with very many
+    copies is spread over that many tasks and brings at most `salts` rows to the second step.
+    """
+    d = stream.withWatermark(event_time, delay)
+    if salts > 1:
+        d = (d.withColumn("_salt", F.spark_partition_id() % salts)
+             .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt"))
+    return d.dropDuplicatesWithinWatermark(keys)
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:

@@ -3,53 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridcast.names import KEYS, TS
-from gridcast.sources.store import merge_upsert
+from gridcast.sources.store import upsert_days
 
-BATCHES = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("version", T.StringType())])
 
-
-def _versions(spark, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(BATCHES).json(f"{root}/batches")
-    except Exception as error:  # no batch has been finished yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
-
-
-def read_upserted(spark, root: str) -> DataFrame | None:
-    """The table after the last finished batch."""
-    log = _versions(spark, root)
-    newest = log.orderBy(F.col("batch_id").desc()).first() if log is not None else None
-    return spark.read.parquet(f"{root}/{newest.version}") if newest else None
-
-
-def upsert_batch(root: str, keys: list[str]):
-    """foreachBatch function. A batch that is run again replaces its own version from the
-    version before it, so a retry after a failure changes nothing."""
+def upsert_batch(root: str, keys: list[str], ts: str = TS):
+    """foreachBatch function. Running a batch again gives the same table, so a retry is safe."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        log = _versions(spark, root)
-        before = None
-        if log is not None:
-            before = log.where(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc()).first()
-        base = spark.read.parquet(f"{root}/{before.version}") if before else None
-        table = batch if base is None else merge_upsert(base, batch, keys)
-        version = f"batch={batch_id}"
-        table.write.mode("overwrite").parquet(f"{root}/{version}")
-        spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(version).alias("version")) \
-            .write.mode("append").json(f"{root}/batches")
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                upsert_days(batch, root, keys, ts)
+        finally:
+            batch.unpersist()
 
     return write
 
 
-def run_upsert(changes: DataFrame, root: str, checkpoint: str, keys: list[str] | None = None) -> None:
+def run_upsert(changes: DataFrame, root: str, checkpoint: str, keys: list[str] | None = None, ts: str = TS) -> None:
     """Upsert the changed rows of an aggregation (update mode) until all landed data is in."""
-    query = (changes.writeStream.outputMode("update").foreachBatch(upsert_batch(root, keys or [*KEYS, TS]))
+    query = (changes.writeStream.outputMode("update").foreachBatch(upsert_batch(root, keys or [*KEYS, TS], ts))
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from gridcast.names import CHANNELS, SITE, TS
 from gridcast.session import configure, scratch_path
+from gridcast.sources.store import read_days
 from gridcast.streaming.hourly import first_seen, read_stream, run_available, sliding, tumbling
 from gridcast.streaming.lag_state import lag_stream
-from gridcast.streaming.upsert import read_upserted, run_upsert
+from gridcast.streaming.upsert import run_upsert
 from gridcast.workloads import views
 from gridcast.workloads.batch import query, tidy
 
@@ -58,7 +59,7 @@ def stream_rolling_sliding(spark, sf_dir):
 def stream_upsert(spark, sf_dir):
     root = scratch_path(spark, "upsert")
     run_upsert(_hourly(spark, sf_dir), f"{root}/table", f"{root}/state")
-    return tidy(read_upserted(spark, f"{root}/table"))
+    return tidy(read_days(spark, f"{root}/table"))
 
 
 @query

@@ -1,11 +1,12 @@
 import pandas as pd
-from helpers import START, column
+from helpers import START, column, hours
 from pyspark.sql import functions as F
 
 from gridcast.session import scratch_path
+from gridcast.sources.store import read_days
 from gridcast.streaming.hourly import first_seen, read_stream, run_available, sliding, tumbling
 from gridcast.streaming.lag_state import lag_stream
-from gridcast.streaming.upsert import read_upserted, run_upsert, upsert_batch
+from gridcast.streaming.upsert import run_upsert, upsert_batch
 
 
 def land(spark, folder, rows):
@@ -60,22 +61,24 @@ def test_upsert_over_batches_equals_batch_result(spark):
     def run():
         stream = tumbling(read_stream(spark, folder, schema), [F.sum("v").alias("v")])
         run_upsert(stream, f"{out}/t", f"{out}/s")
-        return column(read_upserted(spark, f"{out}/t"))
+        return column(read_days(spark, f"{out}/t"))
 
     assert run() == [1, 4]
     land(spark, folder, [("a", 10, 2), ("a", 120, 8)])
     assert run() == [3, 4, 8]
 
 
-def test_a_repeated_batch_changes_nothing(spark):
+def test_a_repeated_batch_changes_nothing_and_other_days_stay(spark):
     root = scratch_path(spark, "table")
-    rows = [(("a", i), v) for i, v in ((1, 1.0), (2, 2.0))]
-    d = spark.createDataFrame([(k[0], k[1], v) for k, v in rows], "site string, t int, v double")
-    write = upsert_batch(root, ["site", "t"])
+    d = hours(spark, [1, 2] + [...] * 22 + [3])  # two days
+    write = upsert_batch(root, ["site", "timestamp"])
     write(d, 0)
-    write(d.withColumn("v", F.col("v") + 1).where("t = 1"), 1)
-    write(d.withColumn("v", F.col("v") + 1).where("t = 1"), 1)
-    assert column(read_upserted(spark, root), "v", ("t",)) == [2.0, 2.0]
+    other_day = {f for f in spark.read.parquet(root).inputFiles() if "2024-01-02" in f}
+    change = d.where("v = 1").withColumn("v", F.col("v") + 9)
+    write(change, 1)
+    write(change, 1)
+    assert column(read_days(spark, root)) == [10, 2, 3]
+    assert {f for f in spark.read.parquet(root).inputFiles() if "2024-01-02" in f} == other_day
 
 
 def test_lag_state_survives_between_runs(spark):
