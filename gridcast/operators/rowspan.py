@@ -32,8 +32,10 @@ def with_row_index(df: DataFrame, keys: list[str], order: list[str], bucket: Col
     """
     whole = Window.partitionBy(*keys)
     if bucket is None:
-        return df.withColumns({INDEX: F.row_number().over(whole.orderBy(*order)) - 1,
-                               TOTAL: F.count(F.lit(1)).over(whole)})
+        # The count names the order as well, so that both windows share one sort.
+        ordered = whole.orderBy(*order)
+        everything = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return df.withColumns({INDEX: F.row_number().over(ordered) - 1, TOTAL: F.count(F.lit(1)).over(everything)})
     d = df.withColumn(CHUNK, bucket)
     part = [*keys, CHUNK]
     counts = d.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))

@@ -65,8 +65,9 @@ def hourly_grid(spark, sf_dir):
 
 
 def clean_table(spark, sf_dir):
+    # The cells come out of an aggregation, one row per site and hour: nothing to deduplicate.
     cells = hourly_cells(spark, sf_dir)
-    return stage(build_clean(cells, chunk_hours=chunk_for(cells)), "clean")
+    return stage(build_clean(cells, arrival=[], chunk_hours=chunk_for(cells)), "clean")
 
 
 def feature_table(spark, sf_dir, mode="training"):
@@ -77,7 +78,7 @@ def feature_table(spark, sf_dir, mode="training"):
 def cleaned(spark, sf_dir):
     """Cleaned training rows and the fitted profile."""
     features = stage(feature_table(spark, sf_dir), "features")
-    return clean_training(features, generated_at=F.expr(STAMP), chunk_hours=chunk_for(features))
+    return clean_training(features, generated_at=F.expr(STAMP), arrival=None, chunk_hours=chunk_for(features))
 
 
 def aqi_series(spark, sf_dir):
@@ -141,22 +142,23 @@ def null_normalize(spark, sf_dir):
 
 # ---- upsert, registry ---------------------------------------------------------------------
 
-def _halves(spark, sf_dir):
-    rows = views.event_rows(spark, sf_dir)
-    target = views.cells_of(rows.where(F.col("event_id") % 2 == 0))
-    source = views.cells_of(rows.where(F.col("event_id") % 2 == 1)).select(SITE, TS, *POLLUTANTS, "ingested_at")
-    return target, source
+def _stored_and_fetched(spark, sf_dir):
+    """The stored table, and pollutant rows of every site that arrive one hour later."""
+    stored = hourly_cells(spark, sf_dir)
+    hour = F.expr("interval 1 hour")
+    fetched = stored.select(SITE, (F.col(TS) + hour).alias(TS), *POLLUTANTS, (F.col("ingested_at") + hour).alias("ingested_at"))
+    return stored, fetched
 
 
 @query
 def upsert_merge(spark, sf_dir):
-    target, source = _halves(spark, sf_dir)
+    target, source = _stored_and_fetched(spark, sf_dir)
     return tidy(merge_upsert(target, source, [SITE, TS]))
 
 
 @query
 def upsert_report(spark, sf_dir):
-    target, source = _halves(spark, sf_dir)
+    target, source = _stored_and_fetched(spark, sf_dir)
     return merge_report(target, source, [SITE, TS])
 
 
@@ -390,7 +392,7 @@ def inference_row(spark, sf_dir):
     clean, stamp = clean_table(spark, sf_dir), F.expr(STAMP)
     chunk = chunk_for(clean)
     training = stage(build_features(clean, filled=True, generated_at=stamp, chunk_hours=chunk), "features")
-    profile = quality.fit_profile(training_rows(training), extra_protected=UNAUDITED)
+    profile = quality.fit_profile(training_rows(training, arrival=None), extra_protected=UNAUDITED)
     scoring = build_features(clean, "inference", filled=True, generated_at=stamp, chunk_hours=chunk)
     return tidy(clean_inference(scoring, profile, generated_at=stamp), **ROLL_DIGITS)
 
@@ -514,5 +516,7 @@ def relative_age_text(spark, sf_dir):
 @query
 def hourly_aqi_rolling_mean(spark, sf_dir):
     """Flagship: events -> hourly index with its 24 h rolling mean per site."""
-    series = with_aqi(build_clean(views.cells(spark, sf_dir))).select(SITE, TS, "aqi")
-    return tidy(over_rows(series, lambda rows: {"aqi_roll_mean_24h": rolling_mean("aqi", rows, 24)}, back=24))
+    series, chunk = aqi_series(spark, sf_dir)
+    mean = over_rows(series.select(SITE, TS, "aqi"), lambda rows: {"aqi_roll_mean_24h": rolling_mean("aqi", rows, 24)},
+                     back=24, chunk_hours=chunk)
+    return tidy(mean)

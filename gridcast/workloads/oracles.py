@@ -33,13 +33,13 @@ def steps(*ctes: str) -> str:
 
 # ---- views -------------------------------------------------------------------------------
 
-def events(where: str = "TRUE", name: str = "ev") -> str:
-    return f"""{name} AS (SELECT event_id, ts, event_type, value, user_id // 50 AS site,
+def events() -> str:
+    return """ev AS (SELECT event_id, ts, event_type, value, user_id // 50 AS site,
       date_trunc('hour', ts) AS timestamp, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS DOUBLE) AS k
-      FROM events WHERE {where})"""
+      FROM events)"""
 
 
-def cell_table(name: str = "cells", source: str = "ev") -> str:
+def cell_table() -> str:
     def mean(c, kind=None):
         return f"avg({c})" + (f" FILTER (WHERE event_type = '{kind}')" if kind else "")
 
@@ -51,8 +51,8 @@ def cell_table(name: str = "cells", source: str = "ev") -> str:
         "pressure": f"{mean('k', 'error')} + 950", "precipitation": f"{mean('k', 'purchase')} / 10",
     }
     cols = ", ".join(f"round({parts[c]}, 9) AS {c}" for c in CHANNELS)
-    return f"""{name} AS (SELECT site, timestamp, {cols}, 'site_' || site AS city, 'events' AS source,
-      max(ts) AS ingested_at FROM {source} GROUP BY site, timestamp)"""
+    return f"""cells AS (SELECT site, timestamp, {cols}, 'site_' || site AS city, 'events' AS source,
+      max(ts) AS ingested_at FROM ev GROUP BY site, timestamp)"""
 
 
 CELLS = [events(), cell_table()]
@@ -292,15 +292,16 @@ def build() -> dict[str, str]:
     q["null_normalize"] = f"""SELECT l_orderkey, l_linenumber, {r('CASE WHEN l_tax = 0 OR l_discount = 0 THEN NULL '
                               'ELSE l_discount / l_tax END', 'ratio')} FROM lineitem"""
 
-    halves = [events("event_id % 2 = 0", "ev0"), events("event_id % 2 = 1", "ev1"),
-              cell_table("old", "ev0"), cell_table("new", "ev1")]
+    moved = [*CELLS, "old AS (SELECT * FROM cells)",
+              f"new AS (SELECT site, timestamp + INTERVAL 1 HOUR AS timestamp, {', '.join(POLLUTANTS)}, "
+              "ingested_at + INTERVAL 1 HOUR AS ingested_at FROM cells)"]
     merged = ", ".join(f"round(CASE WHEN n.site IS NOT NULL THEN n.{c} ELSE o.{c} END, 6) + 0.0 AS {c}" for c in POLLUTANTS)
-    q["upsert_merge"] = steps(*halves) + f"""SELECT coalesce(o.site, n.site) AS site,
+    q["upsert_merge"] = steps(*moved) + f"""SELECT coalesce(o.site, n.site) AS site,
       coalesce(o.timestamp, n.timestamp) AS timestamp, {merged}, {', '.join(f'round(o.{c}, 6) + 0.0 AS {c}' for c in WEATHER)},
       o.city, o.source, CASE WHEN n.site IS NOT NULL THEN n.ingested_at ELSE o.ingested_at END AS ingested_at
       FROM old o FULL JOIN new n ON o.site = n.site AND o.timestamp = n.timestamp"""
     differs = " OR ".join(f"n.{c} IS DISTINCT FROM o.{c}" for c in [*POLLUTANTS, "ingested_at"])
-    q["upsert_report"] = steps(*halves) + f"""SELECT count(*) FILTER (WHERE o.site IS NULL) AS inserted,
+    q["upsert_report"] = steps(*moved) + f"""SELECT count(*) FILTER (WHERE o.site IS NULL) AS inserted,
       count(*) FILTER (WHERE o.site IS NOT NULL) AS matched,
       count(*) FILTER (WHERE o.site IS NOT NULL AND ({differs})) AS modified
       FROM new n LEFT JOIN old o ON o.site = n.site AND o.timestamp = n.timestamp"""

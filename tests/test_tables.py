@@ -216,7 +216,7 @@ def test_split_by_time(spark, chunk):
 def test_oversample_counts_and_determinism(spark):
     rows = [(i, 1 if i < 5 else 2) for i in range(17)]
     d = spark.createDataFrame(rows, "i int, y int")
-    one, two = (sampling.oversample(x, "y", ["i"]) for x in (d, d.repartition(7)))
+    one, two = sampling.oversample(d, "y", ["i"]), sampling.oversample(d.repartition(7), "y", ["i"], part_rows=1)
     assert {r.y: r["count"] for r in one.groupBy("y").count().collect()} == {1: 12, 2: 12}
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
     assert {r.i for r in one.collect()} == set(range(17))
