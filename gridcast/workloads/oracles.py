@@ -368,7 +368,7 @@ def build() -> dict[str, str]:
     q["aqi_value"] = steps(*scored) + f"SELECT {ID}, {r('aqi', 'aqi')} FROM scored WHERE aqi IS NOT NULL"
     q["aqi_class"] = steps(*scored) + f"SELECT {ID}, {class5('aqi')} AS aqi_class FROM scored"
     q["aqi_category"] = steps(*scored) + (
-        f"SELECT {ID}, CAST(round(CAST(CAST(aqi AS VARCHAR) AS DECIMAL(38, 15)), 2) AS DOUBLE) AS aqi, {CATEGORY} AS category, {COLOR} AS color, {TIP} AS tip FROM scored")
+        f"SELECT {ID}, CAST(round(CAST(CAST(aqi AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE) AS aqi, {CATEGORY} AS category, {COLOR} AS color, {TIP} AS tip FROM scored")
     q["aqi_class_info"] = steps(*scored, f"c AS (SELECT {ID}, {class5('aqi')} AS aqi_class FROM scored)") + (
         f"SELECT {ID}, aqi_class, {by_class(air.CATEGORIES, air.UNKNOWN)} AS label, "
         f"{by_class(air.RANGES, air.UNKNOWN_RANGE)} AS span, {by_class(air.COLORS, air.UNKNOWN_COLOR)} AS color FROM c")
