@@ -65,7 +65,7 @@ def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         counts = stage(counts, "radix-counts")
         over = (F.length("_radix_key") <= at + width) | F.col("_radix_n").isNull()
         joined = (rows.withColumn("_radix_digit", _digit(at, width))
-                  .join(counts, ["_radix_group", "_radix_digit"], "left")
+                  .join(counts.hint("merge"), ["_radix_group", "_radix_digit"], "left")
                   .select("_radix_row", "_radix_sha", F.when(~over, F.col("_radix_key")).alias("_radix_key"),
                           F.col("_radix_next").alias("_radix_group"), "_radix_n", "_radix_keep",
                           over.alias("_radix_over")))
