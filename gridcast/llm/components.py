@@ -16,7 +16,7 @@ def _star(edges: DataFrame, name: str) -> DataFrame:
     """Each (u, v) becomes (v, smallest neighbour of u or u itself)."""
     low = stage(edges.groupBy("u").agg(F.min("v").alias("low"))
                 .select("u", F.least("u", "low").alias("low")), name)
-    return edges.join(low, "u")
+    return edges.join(low.hint("merge"), "u")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -7,16 +7,18 @@ for as many values. A band joins values of `rows` different permutations, minima
 own; with 64 permutations and 4 rows (32 bands) a pair at the threshold 0.75 misses every band with
 probability (1 - 0.75^4)^32 = 5e-6.
 
-Equal word sequences form one class before banding. In a bucket, classes are compared
-
-1. with the bucket's smallest class;
-2. after the components of those links: the smallest class of each further component in the bucket with all
-   classes outside that component;
-3. after the components again: whatever classes outside the bucket's largest component are left, with all
-   classes of other components.
-
-So a large group of near copies costs links in proportion to its size, yet two classes that share a bucket and
-end in different components were compared themselves. Every link is confirmed on the full shingle sets:
+Equal word sequences form one class before banding. Classes that share a bucket are candidates, yet not all
+their pairs are formed:
+
+1. Every class of a bucket is compared with the bucket's hub: the class whose buckets are largest altogether,
+   which in a group of near copies is the text they come from.
+2. Of these links the components are taken. Pairs of candidates in different components are left, and for them
+   the shingles of the classes in mixed buckets are joined by prefixes: two sets within the threshold share one
+   of the rarest shingles of each, as many as the threshold leaves room for, so the common shingles of a large
+   group bring no pairs.
+
+A large group of near copies thus costs links in proportion to its size, and no pair of candidates within the
+threshold is lost between components. Every link is confirmed on the full shingle sets:
 100 * intersection >= 75 * union.
 
 Defined cases. Null or empty text, or no words: no shingles, component of its own. Null id: takes part; the
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from gridcast.llm import words as w
 from gridcast.llm.components import components
@@ -130,6 +132,56 @@ def _confirm(size: int, percent: int):
     return run
 
 
+def _shingles(size: int):
+    """Rows (class, number of its shingles, shingle) from rows (class, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            low = 0
+            for hashes, first in _parts(b.column(1)):
+                sets = _sets(hashes, first, size)
+                sizes = np.array([len(s) for s in sets], np.int64)
+                rows = np.repeat(np.arange(low, low + len(sets)), sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(rows)), pa.array(np.repeat(sizes, sizes)),
+                     pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))], names=["c", "n", "shingle"])
+                low += len(sets)
+
+    return run
+
+
+def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs x, y of classes with different labels that may be within the threshold, of the classes in buckets
+    with several labels: a prefix-filtered join of their shingles."""
+    known = members.select("band", "c").join(labels.withColumnRenamed("node", "c").hint("merge"), "c", "left").select(
+        "band", "c", F.coalesce("label", "c").alias("label"))
+    known = stage(known, "labelled")
+    mixed = known.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
+    some = stage(known.join(stage(mixed, "mixed").hint("merge"), "band").select("c", "label").distinct(), "some")
+    shingles = stage(texts.join(some.hint("merge"), "c").select("c", "text")
+                     .mapInArrow(_shingles(size), "c long, n long, shingle long"), "shingles")
+    counts = stage(shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")), "counts")
+
+    # Two sets of a >= b shingles share at least percent / (100 + percent) * (a + b) of them, so they have one in
+    # common among the first a - ceil(p a) + 1 and b - ceil(2 p / (1 + p) b) + 1 of one order of all shingles.
+    rarest = Window.partitionBy("c").orderBy("classes", "shingle")
+    n, rank = F.col("n"), F.col("rank")
+    prefix = (shingles.join(counts.hint("merge"), "shingle").withColumn("rank", F.row_number().over(rarest))
+              .where(rank <= n - F.ceil(percent * n / 100) + 1).where("classes > 1")
+              .withColumn("short", rank <= n - F.ceil(2 * percent * n / (100 + percent)) + 1))
+    prefix = stage(prefix.join(some.hint("merge"), "c").select("shingle", "c", "n", "rank", "short", "label"), "prefixes")
+    parts = prefix.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("classes"))
+    mains = stage(parts.groupBy("shingle").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("classes", "label")).alias("main"))
+                  .where("labels > 1").select("shingle", "main"), "mains")
+    # Classes outside a shingle's main component against all others: no pair inside a component is formed.
+    few = stage(prefix.join(mains.hint("merge"), "shingle").where("label <> main")
+                .select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("c", "n", "rank", "short", "label")]), "few")
+    larger = (F.col("n_x") > n) | ((F.col("n_x") == n) & (F.col("c_x") > F.col("c")))
+    enough = (F.least(F.col("n_x") - F.col("rank_x"), n - rank) + 1) * (100 + percent) >= percent * (F.col("n_x") + n)
+    return (prefix.join(few.hint("merge"), "shingle")
+            .where((F.col("label") != F.col("label_x")) & F.when(larger, F.col("short")).otherwise(F.col("short_x")) & enough)
+            .select(F.col("c_x").alias("x"), F.col("c").alias("y")))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                 permutations: int = PERMUTATIONS, band_rows: int = BAND_ROWS, percent: int = PERCENT) -> DataFrame:
     """One row per row of `docs`: id, n_shingles, node (digest of the word sequence, null without words),
@@ -144,60 +196,41 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
                     .withColumn("c", F.monotonically_increasing_id()), "classes")
     banded = classes.select("c", "n", F.explode("bands").alias("band"))
-    buckets = stage(banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("c", "n")).alias("lead"))
-                    .where("size > 1").select("band", "lead"), "buckets")
-    members = stage(banded.join(buckets, "band"), "members")
+    buckets = stage(banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
+    members = stage(banded.join(buckets.hint("merge"), "band"), "members")
+    weights = stage(members.groupBy("c").agg(F.sum("size").alias("weight")), "weights")
+    hubs = (members.join(weights.hint("merge"), "c").groupBy("band")
+            .agg(F.max(F.struct("weight", "c", "n")).alias("hub")).select("band", "hub.c", "hub.n"))
+    hubs = stage(hubs.withColumnsRenamed({"c": "hub", "n": "hub_n"}), "hubs")
 
     # One text of every class that shares a bucket: a row of its smallest id.
-    wanted = members.select("c").distinct().join(classes.select("c", "node", F.xxhash64("id").alias("h")), "c")
+    wanted = weights.select("c").join(classes.select("c", "node", F.xxhash64("id").alias("h")).hint("merge"), "c")
     found = plain.mapInArrow(_nodes, f"id {kind}, text string, node binary").withColumn("h", F.xxhash64("id")).join(
-        stage(wanted, "wanted"), ["node", "h"])
+        stage(wanted, "wanted").hint("merge"), ["node", "h"])
     texts = stage(found.groupBy("node", "h").agg(F.any_value("c").alias("c"), F.any_value("text").alias("text"))
                   .select("c", "text"), "texts")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs.distinct(), "pairs")
-        both = (pairs.join(texts.select(F.col("c").alias("a"), F.col("text").alias("text_a")), "a")
-                .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")), "b"))
+        pairs = stage(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
+        both = (pairs.join(texts.select(F.col("c").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+                .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b"))
         return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(size, percent), "a long, b long"), "links")
 
-    def pair(x: str, nx: str, y: str, ny: str):
-        return F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), (
-            100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)).alias("near")
-
-    links = confirmed(members.where("c <> lead.c").select(*pair("lead.c", "lead.n", "c", "n")).where("near").drop("near"))
-    tried = None
-    for last in (False, True):
-        labels = stage(components(links), "labels")
-        known = stage(members.select("band", "c", "n").join(labels, members.c == labels.node, "left")
-                      .select("band", "c", "n", F.coalesce("label", "c").alias("label")), "labelled")
-        parts = known.groupBy("band", "label").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("c", "n")).alias("rep"))
-        parts = stage(parts, "parts")
-        mixed = (parts.groupBy("band").agg(F.count(F.lit(1)).alias("labels"),
-                                           F.max_by("label", F.struct("size", "label")).alias("main")).where("labels > 1"))
-        small = parts.join(stage(mixed, "mixed"), "band").where("label <> main")
-        if last:
-            firsts = known.join(stage(small.select("band", "label"), "small"), ["band", "label"]).select(
-                "band", F.col("label").alias("label_x"), F.col("c").alias("x"), F.col("n").alias("nx"))
-        else:
-            firsts = small.select("band", F.col("label").alias("label_x"), F.col("rep.c").alias("x"), F.col("rep.n").alias("nx"))
-        more = (known.join(stage(firsts, "firsts"), "band").where("label <> label_x")
-                .select(*pair("x", "nx", "c", "n")).where("near").drop("near"))
-        if tried is not None:
-            more = more.distinct().join(tried, ["a", "b"], "left_anti")
-        tried = stage(more.distinct(), "tried")
-        if tried.isEmpty():
-            break
-        links = links.unionAll(confirmed(tried))
+    links = confirmed(members.join(hubs.hint("merge"), "band").where("c <> hub")
+                      .where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
+                      .select(F.col("hub").alias("x"), F.col("c").alias("y")))
+    labels = stage(components(links), "labels")
+    links = links.unionAll(confirmed(_across(members, labels, texts, size, percent)))
     labels = stage(components(links), "labels")
 
-    labelled = classes.select("c", "node", "id", "rows").join(labels, classes.c == labels.node, "left").select(
-        classes.node, "id", "rows", F.coalesce("label", "c").alias("label"))
+    labelled = classes.select("c", "node", "id", "rows").join(
+        labels.withColumnRenamed("node", "c").hint("merge"), "c", "left").select(
+        "node", "id", "rows", F.coalesce("label", "c").alias("label"))
     labelled = stage(labelled, "labelled")
     lowest = stage(labelled.groupBy("label").agg(F.min("id").alias("component_id"), F.sum("rows").alias("rows")), "lowest")
-    named = stage(labelled.select("node", "label").join(lowest, "label").select("node", "component_id", "rows", "label"),
+    named = stage(labelled.select("node", "label").join(lowest.hint("merge"), "label").select("node", "component_id", "rows", "label"),
                   "named")
-    return signed.select("id", "n_shingles", "node").join(named, "node", "left").select(
+    return signed.select("id", "n_shingles", "node").join(named.hint("merge"), "node", "left").select(
         "id", "n_shingles", "node", "rows", F.col("label").alias("component"),
         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -212,13 +245,13 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             node = next(_nodes(iter([b]))).column(2)
             yield pa.RecordBatch.from_arrays([b.column(0), node, b.column(2)], names=["id", "node", "row"])
 
-    kind, row = wide.schema["id"].dataType.simpleString(), wide.schema["row"].dataType.simpleString()
-    rows = wide.mapInArrow(with_node, f"id {kind}, node binary, row {row}").withColumn("h", F.xxhash64("id"))
+    schema = T.StructType([wide.schema["id"], T.StructField("node", T.BinaryType()), wide.schema["row"]])
+    rows = wide.mapInArrow(with_node, schema).withColumn("h", F.xxhash64("id"))
     groups = near_groups(docs, id_col, text_col)
     stays = (groups.where("node IS NOT NULL").where(F.col("id").eqNullSafe(F.col("component_id")))
              .groupBy("node", F.xxhash64("id").alias("h"))
              .agg(F.max("rows").alias("rows"), F.max("component").alias("component")))
-    kept = stage(rows.join(stage(stays, "stays"), ["node", "h"]).select("row", "rows", "component"), "kept")
+    kept = stage(rows.join(stage(stays, "stays").hint("merge"), ["node", "h"]).select("row", "rows", "component"), "kept")
     # Several rows of one component can share its smallest id; one of them stays.
     return (rows.where("node IS NULL").select("row.*").unionAll(kept.where("rows = 1").select("row.*"))
             .unionAll(kept.where("rows > 1").dropDuplicates(["component"]).select("row.*")))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridcast.llm import exact_dedup, minhash
-from gridcast.llm.tables import table
+from gridcast.llm import bpe, exact_dedup, extract, language, lines, minhash, neighbours, packing, substrings, warc
+from gridcast.llm.tables import stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +23,15 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens along the Hilbert curve."""
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decision on every document: MSD radix groups of equal texts, the largest doc_id stays."""
@@ -37,6 +47,83 @@ FROM (SELECT doc_id, {LOWER} AS t FROM documents)
 WINDOW same AS (PARTITION BY t)"""
 
 
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its capture reads after a round trip through WARC archives."""
+    captures = warc.archive(table(spark, sf_dir, "pages"))
+    rows = captures.select(
+        F.regexp_extract(F.decode("metadata.block", "UTF-8"), r"pageId: ([^\r\n]*)", 1).cast("long").alias("page_id"),
+        F.regexp_extract(F.substring(F.col("response.block").cast("string"), 1, 300), r"(?i)\r\ncontent-length: *(\d+)", 1)
+        .cast("long").alias("payload_bytes"),
+        F.regexp_replace("response.payload_digest", "^sha1:", "").alias("payload_digest"),
+        F.col("response.type").alias("record_type"))
+    rows = stage(rows, "captures")
+    held = rows.where("record_type = 'response'").groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("held_by"))
+    return rows.join(stage(held, "held").hint("merge"), ["payload_digest", "payload_bytes"], "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type",
+        F.when(F.col("record_type") == "revisit", F.col("held_by")).alias("refers_to"))
+
+
+SQL["op3_warc"] = """
+SELECT page_id, strlen(t) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((
+         CAST('0x' || substr(sha1(t), CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS t FROM pages)
+WINDOW same AS (PARTITION BY t)"""
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of at least 50 words that an earlier document holds too: spans of words in both."""
+    found = substrings.repeats(table(spark, sf_dir, "documents"))
+    return found.withColumnsRenamed({"doc": "doc_id", "holder": "holder_id"})
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(language.learnable()))
+    found = language.identify(docs, model, carried=["doc_id"])
+    return found.select(F.col("row.doc_id").alias("doc_id"),
+                        F.coalesce(F.crc32(F.col("row.doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score", "accepted")
+
+
+@query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's token ids, and digest of the text decoded from them."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page by its host's consensus path."""
+    found = extract.main_texts(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every row whose id is divisible by 20."""
+    rows = stage(neighbours.usable(table(spark, sf_dir, "embeddings")), "vectors")
+    return neighbours.nearest(rows.where("id % 20 = 0"), rows)
+
+
+SQL["op8_neighbours"] = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+          FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+WHERE rank <= 20"""
+
+
 @query
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of at least 0.75 between sets of five-word shingles."""
@@ -61,3 +148,32 @@ reach AS (SELECT doc_id AS x, doc_id AS y FROM documents
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
 FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) m USING (doc_id)"""
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, those dropped as recurring templates, and the digest of the text that is left."""
+    found = lines.without_templates(table(spark, sf_dir, "documents"), carried=["doc_id"])
+    return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+SQL["op10_line_dedup"] = r"""
+WITH rows AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+split AS (SELECT t, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS n
+          FROM (SELECT DISTINCT t FROM rows WHERE t <> '')),
+tokens AS (SELECT t, n, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
+                                       lambda x: CASE WHEN regexp_matches(x, '[0-9@]|://') THEN '<*>' ELSE x END) AS k FROM split),
+keyed AS (SELECT t, n, k, len(k) AS size, array_to_string(k[1:3], ' ') AS head FROM tokens WHERE len(k) > 0),
+leaves AS (SELECT size, head FROM keyed GROUP BY size, head HAVING count(DISTINCT t) >= 5),
+cells AS (SELECT t, n, size, head, unnest(k) AS token, generate_subscripts(k, 1) AS place FROM keyed JOIN leaves USING (size, head)),
+constants AS (SELECT size, head, place, token FROM cells WHERE token <> '<*>' GROUP BY ALL HAVING count(DISTINCT t) >= 5),
+templates AS (SELECT t, n, string_agg(CASE WHEN c.token IS NULL THEN '<*>' ELSE x.token END, ' ' ORDER BY x.place) AS template
+              FROM cells x LEFT JOIN constants c ON x.size = c.size AND x.head = c.head AND x.place = c.place AND x.token = c.token
+              GROUP BY t, n, x.size HAVING count(c.token) >= 0.6 * x.size),
+often AS (SELECT template FROM templates GROUP BY template HAVING count(DISTINCT t) >= 5),
+gone AS (SELECT t, n FROM templates JOIN often USING (template)),
+kept AS (SELECT s.t, count(*) AS n_lines, count(g.n) AS n_dropped,
+                coalesce(string_agg(s.line, chr(10) ORDER BY s.n) FILTER (WHERE g.n IS NULL), '') AS left_over
+         FROM split s LEFT JOIN gone g ON s.t = g.t AND s.n = g.n GROUP BY s.t)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(left_over, '')) AS text_sha256
+FROM rows LEFT JOIN kept ON rows.t = kept.t"""
