@@ -2,9 +2,10 @@
 
 1. Seeds. Of every window of `window` successive k-mers of words the one with the smallest hash is a seed
    (minimizers), so two documents that share k + window - 1 words in a row share a seed there.
-2. Join. Of each seed that occurs in several documents the smallest document id is the holder. A document is
-   paired with the holders of its seeds, never with all documents that share them: a passage in a third of all
-   documents makes one pair per document.
+2. Join. Of each seed that occurs in several documents the smallest document id is the holder, and likewise of
+   each run of RUNS successive such seeds, as a run's holder shares more of the passage than a seed's. A document
+   is paired with the holders of its seeds and runs, never with all documents that share them: a passage in a
+   third of all documents makes a few pairs per document.
 3. Chains. For a pair all shared seeds are matched, also those held by third documents. Matches are chained in
    the order of both texts under a cost per skipped word of either text; the best predecessor is a prefix
    maximum in a Fenwick tree over the holder's positions.
@@ -24,6 +25,7 @@ is left (documents without words stay).
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,7 @@ from gridcast.llm.tables import stage
 
 K = 8
 WINDOW = 16
+RUNS = (2, 4)
 MIN_WORDS = 50
 IDENTITY = 0.8
 #: Words of either text between two seeds of a chain, and beyond its ends, at most.
@@ -125,12 +128,17 @@ def best_chains(x: list[int], y: list[int], k: int, gap_cost: float, max_gap: in
 
 
 def _chain(k: int, reach: int, min_words: int, gap_cost: float, max_gap: int):
-    """reach: words that a passage can go on beyond its outermost seeds."""
+    """reach: words that a passage can go on beyond its outermost seeds. Both lists of seeds are in the order of the text."""
     def rows(seeds, theirs) -> Iterator[tuple[list[int], list[int]]]:
-        first: dict[int, int] = {}
-        for s in sorted(theirs, key=lambda s: s["at"]):
-            first.setdefault(s["seed"], s["at"])
-        matches = sorted((s["at"], first[s["seed"]]) for s in seeds if s["seed"] in first)
+        places: dict[int, list[int]] = {}
+        for s in theirs:
+            places.setdefault(s["seed"], []).append(s["at"])
+        # A seed that repeats is matched in step with the holder's repeats: one match for each place of the document.
+        matches, met = [], Counter()
+        for s in seeds:
+            if own := places.get(s["seed"]):
+                matches.append((s["at"], own[met[s["seed"]] % len(own)]))
+                met[s["seed"]] += 1
         x, y = [m[0] for m in matches], [m[1] for m in matches]
         for chain in best_chains(x, y, k, gap_cost, max_gap):
             if x[chain[-1]] + k - x[chain[0]] + 2 * reach >= min_words:
@@ -248,6 +256,12 @@ def _aligned(k: int, min_words: int, identity: float):
 SPAN = ["start_word", "end_word", "holder_start", "holder_end", "equal_words"]
 
 
+def _run_keys(m: int):
+    """A hash of every run of m successive seeds in the column `seeds`."""
+    run = f"xxhash64({m}, transform(slice(seeds, i, {m}), s -> s.seed))"
+    return F.expr(f"transform(sequence(1, greatest(size(seeds) - {m - 1}, 1)), i -> IF(size(seeds) >= {m}, {run}, NULL))")
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, window: int = WINDOW,
             min_words: int = MIN_WORDS, identity: float = IDENTITY, gap_cost: float = GAP_COST, max_gap: int = MAX_GAP) -> DataFrame:
     """Columns doc, holder (ids; holder < doc) and the span of words [start, end) in each; equal_words of them agree."""
@@ -257,11 +271,16 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     held = stage(seeds.groupBy("seed").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
                  .where("holder < last").select("seed", "holder"), "held")
     shared = seeds.join(held.hint("merge"), "seed").groupBy("doc").agg(
-        F.collect_list(F.struct("at", "seed")).alias("seeds"),
+        F.array_sort(F.collect_list(F.struct("at", "seed"))).alias("seeds"),
         F.collect_set(F.when(F.col("holder") < F.col("doc"), F.col("holder"))).alias("holders"))
     shared = stage(shared, "shared")
-    pairs = shared.select("doc", "seeds", F.explode("holders").alias("holder")).join(
-        shared.select(F.col("doc").alias("holder"), F.col("seeds").alias("theirs")).hint("merge"), "holder")
+    runs = stage(shared.select("doc", F.explode(F.concat(*[_run_keys(m) for m in RUNS])).alias("run")).where("run IS NOT NULL"), "runs")
+    held = stage(runs.groupBy("run").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
+                 .where("holder < last").select("run", "holder"), "held")
+    partners = (runs.join(held.hint("merge"), "run").where("holder < doc").select("doc", "holder")
+                .unionAll(shared.select("doc", F.explode("holders").alias("holder"))).distinct())
+    pairs = (stage(partners, "partners").join(shared.select("doc", "seeds").hint("merge"), "doc")
+             .join(shared.select(F.col("doc").alias("holder"), F.col("seeds").alias("theirs")).hint("merge"), "holder"))
     chains = stage(pairs.select("doc", "holder", "seeds", "theirs").mapInArrow(
         _chain(k, window + k, min_words, gap_cost, max_gap), f"doc {kind}, holder {kind}, x array<int>, y array<int>"), "chains")
 
