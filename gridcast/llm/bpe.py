@@ -10,7 +10,8 @@ pairs are met. The result is exactly that of applying the merges in order of ran
 Decoding looks the ids up in a table of offsets into one string of all tokens' bytes. Byte sequences that are
 not UTF-8 become U+FFFD.
 
-Pieces that a worker has met are kept, up to CACHED of them; then it starts anew.
+A worker keeps the encodings of the pieces it has met in two generations of at most CACHED pieces: when the
+younger is full it becomes the older one, and pieces that come up again are taken over from there.
 
 Defined cases. Null or empty text: no ids, empty text. Special tokens written out in a text become their ids.
 Null ids column: empty text; ids outside the vocabulary are an error. Repeated rows: encoded alike. Empty
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 
 from gridcast.llm.packing import byte_values
 
-CACHED = 200_000
+CACHED = 400_000
 PART_BYTES = 1 << 20
 
 #: Fixed value: how byte-level vocabularies split a text.
@@ -61,8 +62,9 @@ class Vocabulary:
         by_bytes = {}
         for i in sorted(made):
             by_bytes[self.tokens[i]] = i
-            self.finder.add_word(self.tokens[i].decode("latin-1"), i)
+            self.finder.add_word(self.tokens[i].decode("latin-1"), (i, len(self.tokens[i]) - 1))
         self.finder.make_automaton()
+        self.whole = by_bytes
         self.size = {i: len(self.tokens[i]) for i in made}
         self.shorter: dict[int, int | None] = {}
         for i in made:
@@ -79,6 +81,7 @@ class Vocabulary:
         self.pieces = regex.compile(PIECES)
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.known: dict[str, str] = {}
+        self.older: dict[str, str] = {}
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether the merges leave the bytes of two neighbours as these two tokens.
@@ -110,10 +113,12 @@ class Vocabulary:
                 limit, right = (b[0], 1), b[1]
 
     def encode_piece(self, piece: bytes) -> list[int]:
+        if (only := self.whole.get(piece)) is not None:
+            return [only]
         longest: list[int | None] = [None] * (len(piece) + 1)
-        size, shorter = self.size, self.shorter
-        for end, token in self.finder.iter(piece.decode("latin-1")):
-            longest[end + 1 - size[token]] = token  # later ends come later, so the longest stays
+        for end, (token, back) in self.finder.iter(piece.decode("latin-1")):
+            longest[end - back] = token  # later ends come later, so the longest stays
+        size, shorter, allowed = self.size, self.shorter, self.allowed
         out: list[int] = []
         alive = [True] * (len(piece) + 1)
         at, token = 0, longest[0]
@@ -121,10 +126,12 @@ class Vocabulary:
             before = out[-1] if out else None
             while True:
                 end = at + size[token]
-                if alive[end] and (before is None or self.may_follow(before, token)):
-                    out.append(token)
-                    at, token = end, longest[end]
-                    break
+                if alive[end]:
+                    fits = True if before is None else allowed.get((before, token))
+                    if self.may_follow(before, token) if fits is None else fits:
+                        out.append(token)
+                        at, token = end, longest[end]
+                        break
                 if shorter[token] is not None:
                     token = shorter[token]
                     continue
@@ -142,10 +149,10 @@ class Vocabulary:
             return ",".join(parts)
         pieces = self.pieces.findall(text)
         if len(self.known) > CACHED:
-            self.known.clear()
-        known = self.known
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         for p in set(pieces).difference(known):
-            known[p] = ",".join(map(str, self.encode_piece(p.encode())))
+            known[p] = older.get(p) or ",".join(map(str, self.encode_piece(p.encode())))
         return ",".join(map(known.__getitem__, pieces))
 
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:

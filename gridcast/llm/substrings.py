@@ -4,7 +4,7 @@
    (minimizers), so two documents that share k + window - 1 words in a row share a seed there.
 2. Join. Of each seed that occurs in several documents the smallest document id is the holder, and likewise of
    each run of RUNS successive such seeds, as a run's holder shares more of the passage than a seed's. A document
-   is paired with the holders of its seeds and runs, never with all documents that share them: a passage in a
+   is paired with the holders of two of its seeds or of a run, never with all documents that share them: a passage in a
    third of all documents makes a few pairs per document.
 3. Chains. For a pair all shared seeds are matched, also those held by third documents. Matches are chained in
    the order of both texts under a cost per skipped word of either text; the best predecessor is a prefix
@@ -45,6 +45,7 @@ MAX_GAP = 40
 #: Cost of a skipped word, against 1 for a word of a matched seed.
 GAP_COST = 0.2
 PART_BYTES = 1 << 20
+CHAINS_AT_ONCE = 64
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -127,58 +128,70 @@ def best_chains(x: list[int], y: list[int], k: int, gap_cost: float, max_gap: in
     return out
 
 
-def _chain(k: int, reach: int, min_words: int, gap_cost: float, max_gap: int):
-    """reach: words that a passage can go on beyond its outermost seeds. Both lists of seeds are in the order of the text."""
-    def rows(seeds, theirs) -> Iterator[tuple[list[int], list[int]]]:
-        places: dict[int, list[int]] = {}
-        for s in theirs:
-            places.setdefault(s["seed"], []).append(s["at"])
-        # A seed that repeats is matched in step with the holder's repeats: one match for each place of the document.
-        matches, met = [], Counter()
-        for s in seeds:
-            if own := places.get(s["seed"]):
-                matches.append((s["at"], own[met[s["seed"]] % len(own)]))
-                met[s["seed"]] += 1
-        x, y = [m[0] for m in matches], [m[1] for m in matches]
-        for chain in best_chains(x, y, k, gap_cost, max_gap):
-            if x[chain[-1]] + k - x[chain[0]] + 2 * reach >= min_words:
-                yield [x[i] for i in chain], [y[i] for i in chain]
+def _lists(column: pa.Array) -> list[list]:
+    """The rows of a list column."""
+    at = column.offsets.to_numpy() - column.offsets[0].as_py()
+    flat = column.flatten().to_numpy().tolist()
+    return [flat[x:y] for x, y in zip(at[:-1], at[1:])]
+
 
+def _chain(k: int, reach: int, min_words: int, gap_cost: float, max_gap: int):
+    """From (doc, holder, places and seeds of both, in the order of the text): a row per chain of two seeds or
+    more that can reach min_words. reach: words that a passage can go on beyond its outermost seeds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, places = None, {}
         for b in batches:
-            out: list[list] = [[], [], [], []]
-            for r in range(b.num_rows):
-                for x, y in rows(b.column(2)[r].as_py(), b.column(3)[r].as_py()):
-                    for column, cell in zip(out, (r, r, x, y)):
-                        column.append(cell)
-            if out[0]:
-                at = pa.array(out[0], pa.int32())
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(out[2], pa.list_(pa.int32())),
-                                                  pa.array(out[3], pa.list_(pa.int32()))], names=["doc", "holder", "x", "y"])
+            rows, chains = [], []
+            holders = b.column(1).to_pylist()
+            at, seeds, their_at, theirs = (_lists(b.column(i)) for i in range(2, 6))
+            for r, holder in enumerate(holders):
+                if holder != last:
+                    last, places = holder, {}
+                    for seed, place in zip(theirs[r], their_at[r]):
+                        places.setdefault(seed, []).append(place)
+                # A seed that repeats is matched in step with the holder's repeats: one match for each place.
+                x, y, met = [], [], Counter()
+                for place, seed in zip(at[r], seeds[r]):
+                    if own := places.get(seed):
+                        x.append(place)
+                        y.append(own[met[seed] % len(own)])
+                        met[seed] += 1
+                for chain in best_chains(x, y, k, gap_cost, max_gap):
+                    if len(chain) > 1 and x[chain[-1]] + k - x[chain[0]] + 2 * reach >= min_words:
+                        rows.append(r)
+                        chains.append(([x[i] for i in chain], [y[i] for i in chain]))
+            if rows:
+                some = pa.array(rows, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(some), b.column(1).take(some), pa.array([c[0] for c in chains], pa.list_(pa.int32())),
+                     pa.array([c[1] for c in chains], pa.list_(pa.int32()))], names=["doc", "holder", "x", "y"])
 
     return run
 
 
 # ---- alignment
 
-def _windows(k: int, margin: int, text_at: int, at: int, name: str):
-    """Appends the words of a text around a chain's seeds, and the number of the first of them."""
+def _split(text: str | None) -> list[bytes]:
+    return text.encode().lower().split() if text else []
+
+
+def _windows(k: int, margin: int):
+    """From (doc, its chains, its text): each chain with the words of the text around it, and the number of the first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, split = None, []
         for b in batches:
-            parts, begins = [], []
-            for r in range(b.num_rows):
-                text = b.column(text_at)[r].as_buffer()
-                if last is None or not last.equals(text):
-                    last, split = text, text.to_pybytes().lower().split() if text else []
-                spots = b.column(at)[r].as_py()
-                begin = max(0, spots[0] - margin)
-                begins.append(begin)
-                parts.append(b" ".join(split[begin:spots[-1] + k + margin]))
-            keep = [i for i in range(b.num_columns) if i != text_at]
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(i) for i in keep], pa.array(parts, pa.binary()), pa.array(begins, pa.int32())],
-                names=[*[b.schema.names[i] for i in keep], f"words_{name}", f"from_{name}"])
+            rows, out = [], []
+            for r, (chains, text) in enumerate(zip(b.column(1), b.column(2))):
+                words = _split(text.as_py())
+                for c in chains.as_py():
+                    begin = max(0, c["x"][0] - margin)
+                    rows.append(r)
+                    out.append((c["holder"], c["part"], c["x"], c["y"], b" ".join(words[begin:c["x"][-1] + k + margin]), begin))
+            if rows:
+                holder, part, x, y, parts, begins = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(rows, pa.int32())), pa.array(holder, b.column(0).type), pa.array(part, pa.int64()),
+                     pa.array(x, pa.list_(pa.int32())), pa.array(y, pa.list_(pa.int32())), pa.array(parts, pa.binary()), pa.array(begins, pa.int32())],
+                    names=["doc", "holder", "part", "x", "y", "words", "begin"])
 
     return run
 
@@ -233,22 +246,28 @@ def align(a: list[bytes], b: list[bytes], x: list[int], y: list[int], k: int) ->
     return x[0] - less[0], i + more[0], y[0] - less[1], j + more[1], same + more[2] + less[2]
 
 
-def _aligned(k: int, min_words: int, identity: float):
+def _aligned(k: int, min_words: int, identity: float, margin: int):
+    """From (holder, chains with the words of their documents, the holder's text): a row per passage."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list] = [[] for _ in range(7)]
-            for r, (doc, holder, x, y, ours, begin, theirs, start) in enumerate(zip(*[c.to_pylist() for c in b.columns])):
-                got = align(ours.split(b" "), theirs.split(b" "), [v - begin for v in x], [v - start for v in y], k)
-                if got is None:
-                    continue
-                x0, x1, y0, y1, same = got
-                if x1 - x0 >= min_words and same >= identity * max(x1 - x0, y1 - y0):
-                    for column, cell in zip(out, (r, r, x0 + begin, x1 + begin, y0 + start, y1 + start, same)):
-                        column.append(cell)
+            for r, (chains, text) in enumerate(zip(b.column(1), b.column(2))):
+                words = _split(text.as_py())
+                for c in chains.as_py():
+                    start = max(0, c["y"][0] - margin)
+                    got = align(c["words"].split(b" "), words[start:c["y"][-1] + k + margin],
+                                [v - c["begin"] for v in c["x"]], [v - start for v in c["y"]], k)
+                    if got is None:
+                        continue
+                    x0, x1, y0, y1, same = got
+                    if x1 - x0 >= min_words and same >= identity * max(x1 - x0, y1 - y0):
+                        cells = (c["doc"], r, x0 + c["begin"], x1 + c["begin"], y0 + start, y1 + start, same)
+                        for column, cell in zip(out, cells):
+                            column.append(cell)
             if out[0]:
-                at = pa.array(out[0], pa.int32())
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), *[pa.array(c, pa.int32()) for c in out[2:]]],
-                                                 names=["doc", "holder", *SPAN])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[0], b.column(0).type), b.column(0).take(pa.array(out[1], pa.int32())), *[pa.array(c, pa.int32()) for c in out[2:]]],
+                    names=["doc", "holder", *SPAN])
 
     return run
 
@@ -258,7 +277,7 @@ SPAN = ["start_word", "end_word", "holder_start", "holder_end", "equal_words"]
 
 def _run_keys(m: int):
     """A hash of every run of m successive seeds in the column `seeds`."""
-    run = f"xxhash64({m}, transform(slice(seeds, i, {m}), s -> s.seed))"
+    run = f"xxhash64({m}, slice(seeds, i, {m}))"
     return F.expr(f"transform(sequence(1, greatest(size(seeds) - {m - 1}, 1)), i -> IF(size(seeds) >= {m}, {run}, NULL))")
 
 
@@ -270,29 +289,35 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     seeds = stage(plain.mapInArrow(_seeds(k, window), f"seed long, doc {kind}, at int"), "seeds")
     held = stage(seeds.groupBy("seed").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
                  .where("holder < last").select("seed", "holder"), "held")
-    shared = seeds.join(held.hint("merge"), "seed").groupBy("doc").agg(
-        F.array_sort(F.collect_list(F.struct("at", "seed"))).alias("seeds"),
-        F.collect_set(F.when(F.col("holder") < F.col("doc"), F.col("holder"))).alias("holders"))
+    located = stage(seeds.join(held.hint("merge"), "seed"), "located")
+    shared = located.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("at", "seed"))).alias("s")).select(
+        "doc", F.col("s.at").alias("at"), F.col("s.seed").alias("seeds"))
     shared = stage(shared, "shared")
+    # A shared stretch of min_words holds at least two seeds, so one seed of a holder makes no pair.
     runs = stage(shared.select("doc", F.explode(F.concat(*[_run_keys(m) for m in RUNS])).alias("run")).where("run IS NOT NULL"), "runs")
     held = stage(runs.groupBy("run").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
                  .where("holder < last").select("run", "holder"), "held")
     partners = (runs.join(held.hint("merge"), "run").where("holder < doc").select("doc", "holder")
-                .unionAll(shared.select("doc", F.explode("holders").alias("holder"))).distinct())
-    pairs = (stage(partners, "partners").join(shared.select("doc", "seeds").hint("merge"), "doc")
-             .join(shared.select(F.col("doc").alias("holder"), F.col("seeds").alias("theirs")).hint("merge"), "holder"))
-    chains = stage(pairs.select("doc", "holder", "seeds", "theirs").mapInArrow(
+                .unionAll(located.where("holder < doc").groupBy("doc", "holder").count().where("count > 1").select("doc", "holder"))
+                .distinct())
+    pairs = (stage(partners, "partners").join(shared.hint("merge"), "doc")
+             .join(shared.select(F.col("doc").alias("holder"), F.col("at").alias("their_at"), F.col("seeds").alias("theirs")).hint("merge"), "holder"))
+    chains = stage(pairs.select("doc", "holder", "at", "seeds", "their_at", "theirs").mapInArrow(
         _chain(k, window + k, min_words, gap_cost, max_gap), f"doc {kind}, holder {kind}, x array<int>, y array<int>"), "chains")
 
-    fields = f"doc {kind}, holder {kind}, x array<int>, y array<int>"
+    # Texts are joined to the chains of a document, and to parts of the chains of a holder: a text is never
+    # repeated for each chain, and no row holds more than about CHAINS_AT_ONCE chains of a holder.
+    parts = stage(chains.groupBy("holder").agg(F.ceil(F.count(F.lit(1)) / CHAINS_AT_ONCE).alias("parts")), "parts")
+    dealt = chains.join(parts.hint("merge"), "holder").select(
+        "doc", F.struct("holder", F.pmod(F.xxhash64("doc"), "parts").alias("part"), "x", "y").alias("chain"))
     margin = window + k + MAX_GAP
-    ours = chains.join(plain.hint("merge"), "doc").select("doc", "holder", "x", "y", "text").mapInArrow(
-        _windows(k, margin, 4, 2, "doc"), f"{fields}, words_doc binary, from_doc int")
-    both = ours.join(plain.select(F.col("doc").alias("holder"), "text").hint("merge"), "holder").select(
-        "doc", "holder", "x", "y", "words_doc", "from_doc", "text").mapInArrow(
-        _windows(k, margin, 6, 3, "holder"), f"{fields}, words_doc binary, from_doc int, words_holder binary, from_holder int")
-    return both.mapInArrow(_aligned(k, min_words, identity),
-                           f"doc {kind}, holder {kind}, " + ", ".join(f"{c} int" for c in SPAN)).distinct()
+    ours = stage(dealt.groupBy("doc").agg(F.collect_list("chain").alias("chains")), "doc-chains").join(plain.hint("merge"), "doc")
+    ours = ours.select("doc", "chains", "text").mapInArrow(
+        _windows(k, margin), f"doc {kind}, holder {kind}, part long, x array<int>, y array<int>, words binary, begin int")
+    theirs = ours.groupBy("holder", "part").agg(F.collect_list(F.struct("doc", "x", "y", "words", "begin")).alias("chains"))
+    theirs = stage(theirs, "holder-chains").join(plain.withColumnRenamed("doc", "holder").hint("merge"), "holder")
+    return theirs.select("holder", "chains", "text").mapInArrow(
+        _aligned(k, min_words, identity, margin), f"doc {kind}, holder {kind}, " + ", ".join(f"{c} int" for c in SPAN)).distinct()
 
 
 # ---- cutting
