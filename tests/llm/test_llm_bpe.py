@@ -1,0 +1,62 @@
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from llm_cases import documents
+from tokenizers import Tokenizer
+
+from gridcast.llm import bpe
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+OWN = bpe.vocabulary(PATH)
+TEXTS = ["", "Hello world's end", "<|endoftext|>", "a<|endoftext|><|endoftext|> b<|endoftex", "  \n\n\t x  ", "naïve 中文 🙂‍👩", "a" * 3000, " " * 3000,
+         "\x00\x01", "1234567890 ½ ²", "ab" * 2000, "I'll 'S 've", "word​word nbsp", "ǅ ﬁ Ⅷ"]
+
+
+def ids(text):
+    return LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_equals_the_library(text):
+    assert OWN.decimal(text) == ",".join(map(str, ids(text)))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=80))
+def test_any_text(text):
+    own = OWN.decimal(text)
+    assert own == ",".join(map(str, ids(text)))
+    assert OWN.decode(bpe._numbers(own))[0].decode() == text
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 50256), max_size=20))
+def test_any_ids_decode_as_in_the_library(some):
+    assert OWN.decode(np.array(some, np.int64))[0].decode("utf-8", "replace") == LIBRARY.decode(some, skip_special_tokens=False)
+
+
+def test_cache_generations(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 3)
+    own = bpe.Vocabulary(PATH)
+    for _ in range(3):
+        for text in TEXTS:
+            assert own.decimal(text) == ",".join(map(str, ids(text)))
+
+
+def test_tables(spark):
+    rows = [*enumerate(TEXTS), (None, "no id"), (3, None), (3, None)]
+    docs = documents(spark, rows, clashing=True)
+    want = sorted((str(i), tuple(ids(t or "")), t or "") for i, t in rows)
+    encoded = bpe.encode(docs, PATH)
+    assert sorted((str(r.id), tuple(r.ids)) for r in encoded.collect()) == [w[:2] for w in want]
+    assert sorted((str(r.id), r.text) for r in bpe.decode(encoded, PATH).collect()) == sorted((a, c) for a, _, c in want)
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert sorted((str(r.id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.round_trip(docs, PATH).collect()) == sorted(
+        (a, len(b), digest(",".join(map(str, b))), digest(c)) for a, b, c in want)
+    assert bpe.round_trip(documents(spark, []), PATH).collect() == []
+    nothing = spark.createDataFrame([(1, None)], "id long, ids array<int>")
+    assert [r.text for r in bpe.decode(nothing, PATH).collect()] == [""]

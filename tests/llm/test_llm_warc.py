@@ -1,0 +1,86 @@
+import base64
+import gzip
+import hashlib
+
+import pytest
+
+from gridcast.llm import warc
+
+TRICKY = "<p>\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n</p>é中"
+PAGES = [(1, "http://a/1", "same"), (2, "http://a/2", "same"), (3, None, None), (4, "http://a/4\r\nX: y", ""), (5, "http://b/5", TRICKY),
+         (6, "http://b/6", "x" * 3_000_000), (7, "http://b/7", TRICKY), (7, "http://b/7", TRICKY), (None, "http://c", "same"), (None, "http://c", "only")]
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "extra") for r in rows], "page_id long, url string, html string, record_id string")
+
+
+def test_round_trip(spark):
+    got = warc.archive(pages(spark, PAGES)).collect()
+    assert len(got) == len(PAGES) and all(r.requests == 1 and r.metadata_records == 1 for r in got)
+    out = []
+    for r in got:
+        head, _, body = bytes(r.response.block).partition(b"\r\n\r\n")
+        page = bytes(r.metadata.block).decode().removeprefix("pageId: ").strip()
+        assert r.request.concurrent_to == r.metadata.concurrent_to == r.response.record_id == r.capture_id
+        out.append((page, r.response.type, r.response.payload_digest, body.decode()))
+    digest = lambda t: "sha1:" + base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
+    best = {}
+    for i, _, t in PAGES:
+        best[t or ""] = max(best.get(t or "", -1), -1 if i is None else i)
+    want = []
+    for i, _, t in PAGES:
+        held = best[t or ""] in (i, -1)
+        want.append((str(i or ""), "response" if held else "revisit", digest(t or ""), (t or "") if held else ""))
+    assert sorted(out) == sorted(want)
+
+
+def test_archives_are_valid_files(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    warc.write_captures(pages(spark, PAGES[:5]), path)
+    files = list((tmp_path / "archive").glob("*.gz"))
+    records = [h["warc-type"] for f in files for h, _ in warc.parse(iter([gzip.decompress(f.read_bytes())]))]
+    assert sorted(records) == ["metadata"] * 5 + ["request"] * 5 + ["response"] * 3 + ["revisit"] * 2
+    assert warc.read_records(spark, path).count() == 15
+
+
+def test_small_payloads_are_never_revisits(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    warc.write_captures(pages(spark, PAGES[:2]), path, minimum=100)
+    assert [r.type for r in warc.read_records(spark, path).where("type IN ('response', 'revisit')").collect()] == ["response"] * 2
+
+
+def test_empty_table(spark):
+    assert warc.archive(pages(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("step", [1, 7, 10**6])
+def test_parse_by_length_at_any_chunk_size(step):
+    blocks = [TRICKY.encode(), b"", b"\r\n\r\n", b"end"]
+    raw = b"".join(b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(b), b) for b in blocks)
+    got = list(warc.parse(raw[i:i + step] for i in range(0, len(raw), step)))
+    assert [b for _, b in got] == blocks
+    with pytest.raises(ValueError):
+        list(warc.parse(iter([raw[:-10]])))
+    with pytest.raises(ValueError):
+        list(warc.parse(iter([b"HTTP/1.1 200\r\n\r\n"])))
+
+
+def test_several_gzip_members():
+    import pyarrow as pa
+    raw = gzip.compress(b"one ") + gzip.compress(b"two ") + gzip.compress(b"three")
+    assert b"".join(warc._unzipped(pa.py_buffer(raw), 5)) == b"one two three"
+    assert b"".join(warc._unzipped(pa.py_buffer(b"plain"))) == b"plain"
+
+
+def test_transactions_follow_links_in_either_direction(spark):
+    def record(i, kind, to=None):
+        return (i, kind, to, None, None, None, {}, bytearray(i.encode()))
+
+    rows = [record("r1", "response"), record("q1", "request", "r1"), record("m1", "metadata", "q1"),  # through the request
+            record("r2", "response", "q2"), record("q2", "request"), record("m2", "metadata", "r2"),  # response names request
+            record("r3", "revisit"), record("q4", "request", "r3"), record("q3", "request", "r3"),  # two requests
+            record("r5", "response"), record("q9", "request", "gone"), record("w", "warcinfo")]
+    got = {r.capture_id: (r.request and r.request.record_id, r.metadata and r.metadata.record_id, r.requests, r.metadata_records)
+           for r in warc.transactions(spark.createDataFrame(rows, warc.RECORD)).collect()}
+    assert got == {"r1": ("q1", "m1", 1, 1), "r2": ("q2", "m2", 1, 1), "r3": ("q3", None, 2, 0), "r5": (None, None, 0, 0)}
