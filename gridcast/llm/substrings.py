@@ -289,18 +289,19 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     seeds = stage(plain.mapInArrow(_seeds(k, window), f"seed long, doc {kind}, at int"), "seeds")
     held = stage(seeds.groupBy("seed").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
                  .where("holder < last").select("seed", "holder"), "held")
-    located = stage(seeds.join(held.hint("merge"), "seed"), "located")
-    shared = located.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("at", "seed"))).alias("s")).select(
-        "doc", F.col("s.at").alias("at"), F.col("s.seed").alias("seeds"))
+    shared = seeds.join(held.hint("merge"), "seed").groupBy("doc").agg(
+        F.array_sort(F.collect_list(F.struct("at", "seed", "holder"))).alias("s")).select(
+        "doc", F.col("s.at").alias("at"), F.col("s.seed").alias("seeds"), F.col("s.holder").alias("holders"))
     shared = stage(shared, "shared")
     # A shared stretch of min_words holds at least two seeds, so one seed of a holder makes no pair.
     runs = stage(shared.select("doc", F.explode(F.concat(*[_run_keys(m) for m in RUNS])).alias("run")).where("run IS NOT NULL"), "runs")
     held = stage(runs.groupBy("run").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
                  .where("holder < last").select("run", "holder"), "held")
     partners = (runs.join(held.hint("merge"), "run").where("holder < doc").select("doc", "holder")
-                .unionAll(located.where("holder < doc").groupBy("doc", "holder").count().where("count > 1").select("doc", "holder"))
+                .unionAll(shared.select("doc", F.explode("holders").alias("holder")).where("holder < doc")
+                          .groupBy("doc", "holder").count().where("count > 1").select("doc", "holder"))
                 .distinct())
-    pairs = (stage(partners, "partners").join(shared.hint("merge"), "doc")
+    pairs = (stage(partners, "partners").join(shared.drop("holders").hint("merge"), "doc")
              .join(shared.select(F.col("doc").alias("holder"), F.col("at").alias("their_at"), F.col("seeds").alias("theirs")).hint("merge"), "holder"))
     chains = stage(pairs.select("doc", "holder", "at", "seeds", "their_at", "theirs").mapInArrow(
         _chain(k, window + k, min_words, gap_cost, max_gap), f"doc {kind}, holder {kind}, x array<int>, y array<int>"), "chains")
@@ -311,11 +312,12 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     dealt = chains.join(parts.hint("merge"), "holder").select(
         "doc", F.struct("holder", F.pmod(F.xxhash64("doc"), "parts").alias("part"), "x", "y").alias("chain"))
     margin = window + k + MAX_GAP
-    ours = stage(dealt.groupBy("doc").agg(F.collect_list("chain").alias("chains")), "doc-chains").join(plain.hint("merge"), "doc")
+    # Both joins read one shuffle of the texts by id.
+    ours = dealt.groupBy("doc").agg(F.collect_list("chain").alias("chains")).join(plain.hint("merge"), "doc")
     ours = ours.select("doc", "chains", "text").mapInArrow(
         _windows(k, margin), f"doc {kind}, holder {kind}, part long, x array<int>, y array<int>, words binary, begin int")
     theirs = ours.groupBy("holder", "part").agg(F.collect_list(F.struct("doc", "x", "y", "words", "begin")).alias("chains"))
-    theirs = stage(theirs, "holder-chains").join(plain.withColumnRenamed("doc", "holder").hint("merge"), "holder")
+    theirs = theirs.join(plain.withColumnRenamed("doc", "holder").hint("merge"), "holder")
     return theirs.select("holder", "chains", "text").mapInArrow(
         _aligned(k, min_words, identity, margin), f"doc {kind}, holder {kind}, " + ", ".join(f"{c} int" for c in SPAN)).distinct()
 

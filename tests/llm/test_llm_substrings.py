@@ -20,12 +20,12 @@ def test_planted_passages_are_found_and_clean_documents_left(spark):
     docs = documents(spark, [*rows, *fuzzy, *clean])
     spans = substrings.repeats(docs).collect()
     assert {s.doc for s in spans} == {r[0] for r in rows if r[0] > 3} | {r[0] for r in fuzzy}
-    words = {i: t.lower().split() for i, t in [*rows, *fuzzy]}
     for s in spans:
         assert s.holder < s.doc and s.end_word - s.start_word >= 50
         if s.doc < 40 and s.holder == s.doc % 4:
-            own = passages[s.doc % 4].split()
-            assert words[s.doc][s.start_word:s.end_word][:len(own)] == own and abs(s.end_word - s.start_word - len(own)) <= 4
+            # The passage begins after 120 words; a word beside it may agree by chance.
+            own = len(passages[s.doc % 4].split())
+            assert 118 <= s.start_word <= 120 and 120 + own <= s.end_word <= 122 + own
 
 
 def test_cutting_leaves_one_copy(spark):
