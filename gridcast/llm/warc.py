@@ -3,7 +3,7 @@
 Writing. A capture is a response (or a revisit of an equal payload) with its request and a metadata record, both
 naming the response in WARC-Concurrent-To. Of equal payloads (same SHA-1 and size) the one with the largest id
 is stored, the others become revisits under the identical-payload-digest profile; several rows with that id and
-payload are all responses. Archives are gzip files of about `FILE_BYTES` bytes of text.
+payload are all responses. Archives are gzip files: a task writes its rows, at most `FILE_CAPTURES` to a file.
 
 Reading. Files are parsed record by record by their Content-Length, never by searching for marks in payloads.
 
@@ -27,10 +27,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridcast.llm.tables import spread, stage
+from gridcast.llm.tables import stage
 from gridcast.session import scratch_path
 
-FILE_BYTES = 16 << 20
+FILE_CAPTURES = 5000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "record_id string, type string, concurrent_to string, target_uri string, payload_digest string, refers_to string, " \
@@ -63,15 +63,13 @@ def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                    minimum: int = 0) -> None:
     """Write a request, a response or revisit and a metadata record for every row. Payloads of fewer than
     `minimum` bytes are never revisits."""
-    spark = pages.sparkSession
     plain = pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"), pages[html_col].alias("html"))
     kind = plain.schema["id"].dataType.simpleString()
     held = stage(plain.select("id", "html").mapInArrow(_digested, f"id {kind}, html string, digest string, bytes long")
                  .where(F.col("bytes") >= minimum).groupBy("digest", "bytes")
-                 .agg(F.max("id").alias("held_by"), F.count(F.lit(1)).alias("copies"), F.sum("bytes").alias("sum_bytes")), "payloads")
-    total = held.agg(F.sum("sum_bytes")).first()[0] or 0
+                 .agg(F.max("id").alias("held_by"), F.count(F.lit(1)).alias("copies")).where("copies > 1"), "payloads")
     rows = plain.mapInArrow(_digested, f"id {kind}, url string, html string, digest string, bytes long").join(
-        held.where("copies > 1").select("digest", "bytes", "held_by").hint("merge"), ["digest", "bytes"], "left")
+        held.select("digest", "bytes", "held_by").hint("merge"), ["digest", "bytes"], "left")
     rows = rows.withColumns({"html": F.coalesce("html", F.lit("")), "uuid": F.expr("uuid()")})
     own = F.concat(F.lit("<urn:uuid:"), "uuid", F.lit(">"))
     beside = {k: F.concat(F.lit(f"<urn:uuid:{n}"), F.substring("uuid", 2, 35), F.lit(">"))
@@ -90,45 +88,47 @@ def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         .otherwise(_record("response", own, [target, digest], with_http, F.concat(http, "html"))), end,
         _record("metadata", beside["metadata"], [target, concurrent], "application/warc-fields",
                 F.concat(F.lit("pageId: "), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("\r\n"))))
-    files = max(spread(spark), -(-total // FILE_BYTES))
-    rows.select(text.alias("value")).repartition(files).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    (rows.select(text.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
+     .option("maxRecordsPerFile", FILE_CAPTURES).text(path))
 
 
 # ---- reading
 
 def parse(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (lower-case names) and block of each record of an archive."""
-    held = b""
-
-    def more() -> bool:
-        nonlocal held
-        part = next(chunks, None)
-        held += part or b""
-        return part is not None
+    held, at = b"", 0  # bytes read, and how many of them are done with
+
+    def need(size: int) -> bool:
+        """Have `size` bytes from `at` on, if the archive has them."""
+        nonlocal held, at
+        if len(held) - at < size:
+            parts = [held[at:]]
+            have = len(parts[0])
+            while have < size and (part := next(chunks, None)) is not None:
+                parts.append(part)
+                have += len(part)
+            held, at = b"".join(parts), 0
+        return len(held) >= at + size
 
     while True:
-        while (at := held.find(b"\r\n\r\n")) < 0 or held[:4] == b"\r\n\r\n":
-            if held[:4] == b"\r\n\r\n":
-                held = held[4:]
-            elif not more():
-                if held.strip():
+        while need(4) and held.startswith(b"\r\n\r\n", at):
+            at += 4
+        seen = 4
+        while (end := held.find(b"\r\n\r\n", at)) < 0:
+            if not need(seen):
+                if held[at:].strip():
                     raise ValueError("an archive ends inside a record")
                 return
-        lines = held[:at].decode().split("\r\n")
+            seen = max(2 * seen, len(held) - at + 1)
+        lines = held[at:end].decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no record begins with {lines[0][:40]!r}")
         headers = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        size, parts = int(headers["content-length"]), [held[at + 4:]]
-        have = len(parts[0])
-        while have < size:
-            part = next(chunks, None)
-            if part is None:
-                raise ValueError("an archive ends inside a record")
-            parts.append(part)
-            have += len(part)
-        whole = b"".join(parts)
-        held = whole[size:]
-        yield headers, whole[:size]
+        at, size = end + 4, int(headers["content-length"])
+        if not need(size):
+            raise ValueError("an archive ends inside a record")
+        at += size
+        yield headers, held[at - size:at]
 
 
 def _unzipped(raw: pa.Buffer, step: int = 1 << 20) -> Iterator[bytes]:
@@ -171,7 +171,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """All records of the archives under `path`; a file is one task's work at most."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("content").repartition(spread(spark)).mapInArrow(_records, RECORD)
+    return files.select("content").mapInArrow(_records, RECORD)
 
 
 # ---- assembly
