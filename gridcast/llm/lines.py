@@ -34,40 +34,55 @@ MIN_TEXTS = 5
 CONSTANT = 0.6
 FIELD = "<*>"
 
-_TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
-_VARIABLE = re.compile(r"[0-9@]|://")
+_VARIABLE = re.compile(rb"[0-9@]|://")
+
+
+def _general(token: bytes) -> bytes:
+    return FIELD.encode() if _VARIABLE.search(token) else token
 
 
 def masked(line: str) -> list[str]:
     """The tokens of a line, variable fields generalised."""
-    return [FIELD if _VARIABLE.search(t) else t for t in _TOKEN.findall(line)]
+    return [_general(t).decode() for t in line.encode().split()]
 
 
 def _digest(text: str) -> bytes:
     return xxhash.xxh3_128_digest(text.encode())
 
 
-def _leaves(depth: int, with_tokens: bool):
-    names = ["text", "size", "head", *["line", "tokens"] * with_tokens]
-    kinds = [pa.binary(), pa.int32(), pa.string(), pa.int32(), pa.list_(pa.string())]
+def _leaves(depth: int, with_lines: bool):
+    """The leaf of every line; with_lines: also its number and the line."""
+    names = ["text", "size", "head", *["line", "raw"] * with_lines]
+
+    def made(columns: list[list]) -> pa.RecordBatch:
+        kinds = [pa.binary(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+        return pa.RecordBatch.from_arrays([a.cast(pa.string()) if n in ("head", "raw") else a for a, n in zip(arrays, names)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list] = [[] for _ in names]
             for text in b.column(0).to_pylist():
                 key = _digest(text) if text else b""
-                for number, line in enumerate(text.split("\n") if text else ()):
-                    if tokens := masked(line):
-                        for column, cell in zip(out, (key, len(tokens), " ".join(tokens[:depth]), number, tokens)):
+                for number, raw in enumerate(text.encode().split(b"\n") if text else ()):
+                    if tokens := raw.split():
+                        cells = (key, len(tokens), b" ".join(map(_general, tokens[:depth])), number, raw)
+                        for column, cell in zip(out, cells):
                             column.append(cell)
-                if len(out[0]) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+                if len(out[0]) > 20_000:
+                    yield made(out)
                     out = [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+            yield made(out)
 
     return run
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        tokens = pa.array([masked(x) for x in b.column(4).to_pylist()], pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], tokens], names=["text", "size", "head", "line", "tokens"])
+
+
 def recurring(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, min_texts: int = MIN_TEXTS,
               constant: float = CONSTANT) -> DataFrame:
     """Columns text (digest of a text), line (number, from 0) and template of all lines to drop."""
@@ -76,9 +91,9 @@ def recurring(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, min_t
     reached = (plain.mapInArrow(_leaves(depth, False), key).distinct().groupBy("size", "head").count()
                .where(F.col("count") >= min_texts).select("size", "head"))
     reached = stage(reached, "leaves")
-    rows = plain.mapInArrow(_leaves(depth, True), f"{key}, line int, tokens array<string>").join(reached.hint("merge"), ["size", "head"])
-    rows = stage(rows, "leaf-lines").dropDuplicates(["text", "line"])
-    rows = stage(rows, "lines")
+    rows = plain.mapInArrow(_leaves(depth, True), f"{key}, line int, raw string").join(reached.hint("merge"), ["size", "head"])
+    rows = stage(rows.select("text", "size", "head", "line", "raw"), "leaf-lines").dropDuplicates(["text", "line"])
+    rows = stage(rows.mapInArrow(_tokens, f"{key}, line int, tokens array<string>"), "lines")
     cells = rows.select("text", "line", "size", "head", F.posexplode("tokens").alias("at", "token"))
     place = ["size", "head", "at", "token"]
     constants = stage(cells.where(F.col("token") != FIELD).select(*place, "text").distinct().groupBy(*place).count()
