@@ -115,7 +115,7 @@ def parse(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
             at += 4
         seen = 4
         while (end := held.find(b"\r\n\r\n", at)) < 0:
-            if not need(seen):
+            if not need(seen) and held.find(b"\r\n\r\n", at) < 0:
                 if held[at:].strip():
                     raise ValueError("an archive ends inside a record")
                 return
