@@ -34,6 +34,11 @@ def calendar_columns(df: DataFrame, ts: str = TS) -> DataFrame:
     })
 
 
+def day_label(c: Column) -> Column:
+    """'Mon, 05 Feb', as the trend and prediction tables show days."""
+    return F.date_format(c, "E, dd MMM")
+
+
 def relative_age(c: Column, now: Column) -> Column:
     """'Just now', 'n minutes ago', 'n hours ago', 'n days ago' or 'N/A'."""
     minutes = F.floor((F.unix_micros(now) - F.unix_micros(c.cast("timestamp"))) / F.lit(60_000_000))

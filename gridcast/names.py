@@ -29,7 +29,6 @@ MAX_SHIFT = 72
 VALUE_TARGET = "target_aqi_t_plus_24h"
 CLASS_TARGETS = [f"target_aqi_class_t_plus_{h}h" for h in CLASS_HORIZONS]
 TARGETS = [VALUE_TARGET, *CLASS_TARGETS]
-META_COLUMNS = [TS, "feature_generated_at", "rows_after_cleaning"]
 
 # Quality and load settings.
 MAX_MISSING_RATIO = 0.35
@@ -37,8 +36,10 @@ HISTORY_MONTHS = 6
 LATE_HOURS = 3
 MIN_TRAINING_ROWS = 50
 TRAIN_SHARE = 0.8
-PIPELINE_VERSION = "case_b_v2"
-PREDICTION_VERSION = "v2_production"
+
+# Versions of this library's training and scoring, noted in registry records and predictions.
+PIPELINE_VERSION = "training-1"
+PREDICTION_VERSION = "scoring-1"
 
 HOUR = 3600
 

@@ -13,11 +13,13 @@ from gridcast.names import CHUNK_HOURS, HOUR, KEYS, POLLUTANTS, TS, WEATHER
 from gridcast.operators.gaps import (
     bracket, carried_then_linear_at, gap_hours, linear_at, seconds, with_brackets, with_extent,
 )
+from gridcast.session import stage
 
 
 def _filled_grid(both: DataFrame, values: dict, keys: list[str], ts: str, chunk_hours) -> DataFrame:
     """Explode the gaps between present rows and evaluate `values[c](t, bracket)` at every hour."""
-    d = with_brackets(both, list(values), keys, ts, chunk_hours).withColumn("_at", F.explode(gap_hours(ts)))
+    # Read twice, for the rows and for the chunk edges: the join is stored first.
+    d = with_brackets(stage(both, "aligned"), list(values), keys, ts, chunk_hours).withColumn("_at", F.explode(gap_hours(ts)))
     return d.selectExpr(*keys, f"_at AS `{ts}`",
                         *[f"{fill(seconds('_at'), bracket(c))} AS `{c}`" for c, fill in values.items()],
                         f"_at != `{ts}` AS is_imputed")

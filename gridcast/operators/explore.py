@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,26 +54,41 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
                     .alias("bin_from"), "n"))
 
 
+def _kernel_sums(points: int):
+    """Per Arrow batch of (column, value, start, step, h): the kernel sum of its values at every place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, codes = np.unique(np.array(b.column(0).to_pylist(), dtype=object), return_inverse=True)
+            value, start, step, h = (b.column(i).to_numpy(zero_copy_only=False) for i in range(1, 5))
+            for k, name in enumerate(names):
+                own = np.flatnonzero(codes == k)
+                places = start[own[0]] + np.arange(points) * step[own[0]]
+                z = (places[:, None] - value[own]) / h[own[0]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * points), pa.array(np.arange(points, dtype=np.int32)), pa.array(np.exp(-0.5 * z * z).sum(1))],
+                    names=["column_name", "place", "part"])
+
+    return run
+
+
 def density(df: DataFrame, cols: list[str], points: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density on `points` places from lo - cut*h to hi + cut*h, h = sd * n^(-1/5).
 
-    Equal values are counted first; each (value, count) then adds to every place, summed
-    before the shuffle.
+    Values are never shuffled: each Arrow batch adds up its kernels at all places, and the
+    partial sums, `points` rows a batch and column, are added per place.
     """
     cells = unpivot(df, cols).where(F.col("value").isNotNull())
     spans = _ranges(cells).withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     spans = spans.select("column_name", "n", "h", (F.col("lo") - cut * F.col("h")).alias("start"), (
-        (F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / (points - 1)).alias("step"))
-    weights = cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("w"))
-    d = (weights.join(F.broadcast(spans), "column_name")
-         .withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))))
-    x = F.col("start") + F.col("place") * F.col("step")
-    z = (x - F.col("value")) / F.col("h")
+        (F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / (points - 1)).alias("step")).where("h > 0")
+    # One row per column, so the broadcasts are as small as the column list.
+    sums = (cells.join(F.broadcast(spans), "column_name").select("column_name", "value", "start", "step", "h")
+            .mapInArrow(_kernel_sums(points), "column_name string, place int, part double")
+            .groupBy("column_name", "place").agg(F.sum("part").alias("part")))
     scale = 1 / math.sqrt(2 * math.pi)
-    return (d.where(F.col("h") > 0)
-            .select("column_name", "place", x.alias("x"),
-                    (F.exp(-0.5 * z * z) * F.col("w") * scale / (F.col("n") * F.col("h"))).alias("part"))
-            .groupBy("column_name", "place").agg(F.first("x").alias("x"), F.sum("part").alias("density")))
+    return sums.join(F.broadcast(spans), "column_name").select(
+        "column_name", "place", (F.col("start") + F.col("place") * F.col("step")).alias("x"),
+        (F.col("part") * scale / (F.col("n") * F.col("h"))).alias("density"))
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -78,7 +96,8 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     pairs = list(combinations(cols, 2))
     row = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).agg(
         *[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs],
-        *[F.corr(c, c).alias(f"{c}|{c}") for c in cols])
+        # A column goes with itself, if it varies at all.
+        *[F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"{c}|{c}") for c in cols])
     long = row.unpivot([], row.columns, "pair", "corr")
     a, b = F.substring_index("pair", "|", 1), F.substring_index("pair", "|", -1)
     both = F.when(a == b, F.array(F.struct(a.alias("a"), b.alias("b")))).otherwise(

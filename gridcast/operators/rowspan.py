@@ -19,9 +19,6 @@ from gridcast.operators.gaps import CHUNK, chunk_of, over
 INDEX = "_index"
 TOTAL = "_total"
 
-# Eleven years of hours. A key up to this size is one window partition.
-WHOLE_KEY_ROWS = 100_000
-
 
 def with_row_index(df: DataFrame, keys: list[str], order: list[str], bucket: Column | None) -> DataFrame:
     """Add `_index` (from 0, in `order`, per key) and `_total` (rows of the key).
@@ -53,14 +50,6 @@ def with_time_index(df: DataFrame, keys: list[str] = KEYS, ts: str = TS,
     return with_row_index(df, keys, [ts], bucket)
 
 
-def chunk_for(df: DataFrame, keys: list[str] = KEYS, most: int = WHOLE_KEY_ROWS,
-              chunk_hours: int = CHUNK_HOURS) -> int | None:
-    """None when every key has at most `most` rows, so that whole keys fit a window task with
-    one shuffle; otherwise `chunk_hours`. Counts the keys, so call it on a stored table."""
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    return None if top <= most else chunk_hours
-
-
 @dataclass(frozen=True)
 class Rows:
     """An ordered window; `last(n)` is the frame of the newest n rows."""
@@ -81,8 +70,7 @@ def over_rows(df: DataFrame, build: Callable[[Rows], dict[str, str]],
               chunk_hours: int | None = CHUNK_HOURS) -> DataFrame:
     """Add the SQL columns of `build(rows)`, which look at most `back` / `ahead` rows away.
 
-    Parts have `chunk_hours` rows; None evaluates whole keys, for series known to be short
-    (`chunk_for` finds out).
+    Parts have `chunk_hours` rows; None evaluates whole keys, for series known to be short.
     """
     if chunk_hours is None:
         return _with_sql(df, build(Rows(tuple(keys), ts)))

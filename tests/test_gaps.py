@@ -6,7 +6,6 @@ from helpers import START, column, hours, random_series, same
 from gridcast.names import CHANNELS
 from gridcast.operators import gaps
 from gridcast.operators.align import align_and_merge, align_and_merge_latest
-from gridcast.operators.rowspan import chunk_for
 from gridcast.plans.clean import build_clean
 
 CHUNKS = [None, 2160, 7]
@@ -151,9 +150,3 @@ def test_hourly_merge_keeps_the_pollutant_hours(spark, chunk):
     assert column(m, "temperature") == [None] * 4  # both weather rows lie outside the hours
     inside = hours(spark, [..., 2, ..., 6], name="temperature")
     same(column(align_and_merge_latest(air, inside, chunk_hours=chunk), "temperature"), [2, 2, 4, 6])
-
-
-def test_chunk_for_measures_the_keys(spark):
-    d = hours(spark, range(10))
-    assert chunk_for(d, most=10) is None
-    assert chunk_for(d, most=9) == 2160

@@ -1,3 +1,5 @@
+import random
+import datetime as dt
 import json
 
 import numpy as np
@@ -65,6 +67,54 @@ def test_upsert_last_arrival_wins_and_new_columns_appear(spark):
     assert column(store.merge_upsert(target, source, ["site", "t"], ["n"]), "v", ("t",)) == [6.0]
 
 
+def test_upsert_without_arrival_refuses_repeated_keys(spark):
+    target = spark.createDataFrame([("a", 1, 1.0)], "site string, t int, v double")
+    twice = spark.createDataFrame([("a", 1, 5.0), ("a", 1, 6.0)], "site string, t int, v double")
+    for run in (store.merge_upsert, store.merge_report):
+        with pytest.raises(Exception, match="a key repeats"):
+            run(target, twice, ["site", "t"]).collect()
+    with pytest.raises(Exception, match="a key repeats"):
+        store.upsert_published(twice, scratch_path(spark, "published"), ["site", "t"])
+
+
+def test_upsert_matches_null_keys(spark):
+    target = spark.createDataFrame([("a", None, 1.0), (None, 1, 2.0)], "site string, t int, v double")
+    merged = store.merge_upsert(target, target.withColumn("v", F.col("v") + 1), ["site", "t"])
+    assert sorted((r.site or "", r.t or 0, r.v) for r in merged.collect()) == [("", 1, 3.0), ("a", 0, 2.0)]
+
+
+def test_day_upserts_keep_rows_without_a_time(spark):
+    root, kinds = scratch_path(spark, "days"), "site int, timestamp timestamp, v int"
+    noon = dt.datetime(2024, 1, 1, 12)
+    store.upsert_days(spark.createDataFrame([(2, None, 2), (2, noon, 7)], kinds), root, ["site", "timestamp"])
+    store.upsert_days(spark.createDataFrame([(3, None, 9), (2, None, 4)], kinds), root, ["site", "timestamp"])
+    store.upsert_days(spark.createDataFrame([(2, noon, 8)], kinds), root, ["site", "timestamp"])
+    got = sorted((r.site, r.timestamp is None, r.v) for r in store.read_days(spark, root).collect())
+    assert got == [(2, False, 8), (2, True, 4), (3, True, 9)]
+    with pytest.raises(Exception, match="a key repeats"):
+        store.upsert_days(spark.createDataFrame([(2, noon, 8), (2, noon, 9)], kinds), root, ["site", "timestamp"])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_newest_fetch_wins_whatever_the_order(spark, seed):
+    def body(*values):
+        return json.dumps({"list": [{"dt": 0, "components": {"co": v}} for v in values]})
+
+    rows = [("a", 1, body(1.0, 9.0)), ("a", 3, body(3.0, 8.0)), ("a", 2, body(2.0)), ("a", None, body(4.0))]
+    random.Random(seed).shuffle(rows)
+    d = spark.createDataFrame(rows, "site string, at long, body string").repartition(seed + 1).select(
+        "site", F.timestamp_seconds("at").alias("fetched_at"), landing.parse_payload(F.col("body"), POLLUTION_PAYLOAD).alias("p"))
+    assert [r.co for r in landing.pollution_rows(d.select("site", "fetched_at", "p.*")).collect()] == [3.0]
+
+
+def test_oversample_in_blocks(spark):
+    d = spark.createDataFrame([(i, int(i == 0)) for i in range(100)], "i int, y int")
+    got = sampling.oversample(d, "y", ["i"], block=7)
+    rare = sorted(r.copy for r in got.where("y = 1").collect())
+    assert rare == list(range(1, 100)) and got.count() == 198
+    assert [(r.y, r.n) for r in sampling.copy_counts(d, "y", ["i"]).groupBy("y").agg(F.sum("copies").alias("n")).orderBy("y").collect()] == [(0, 99), (1, 99)]
+
+
 def test_published_versions(spark):
     root = scratch_path(spark, "published")
     assert store.read_published(spark, root) is None
