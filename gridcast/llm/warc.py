@@ -33,6 +33,7 @@ from gridcast.session import scratch_path
 FILE_CAPTURES = 5000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: `fields` are the headers without a column of their own.
 RECORD = "record_id string, type string, concurrent_to string, target_uri string, payload_digest string, refers_to string, " \
          "fields map<string,string>, block binary"
 
@@ -149,6 +150,7 @@ def _unzipped(raw: pa.Buffer, step: int = 1 << 20) -> Iterator[bytes]:
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split(" ")[0] for f in RECORD.split(", ")]
+    own = ["warc-record-id", "warc-type", "warc-concurrent-to", "warc-target-uri", "warc-payload-digest", "warc-refers-to"]
     kinds = [*[pa.string()] * 6, pa.map_(pa.string(), pa.string()), pa.binary()]
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
@@ -158,8 +160,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in range(b.num_rows):
             rows, held = [], 0
             for h, block in parse(_unzipped(b.column(0)[r].as_buffer())):
-                rows.append((h.get("warc-record-id"), h.get("warc-type"), h.get("warc-concurrent-to"), h.get("warc-target-uri"),
-                             h.get("warc-payload-digest"), h.get("warc-refers-to"), list(h.items()), block))
+                rows.append((*[h.get(name) for name in own], [(k, v) for k, v in h.items() if k not in own], block))
                 held += len(block)
                 if held > 4 << 20:
                     yield made(rows)
@@ -208,6 +209,9 @@ def transactions(records: DataFrame) -> DataFrame:
 
 def archive(pages: DataFrame, name: str = "archive") -> DataFrame:
     """Write the captures of `pages` to the shared scratch folder, read them back and assemble them."""
-    path = scratch_path(pages.sparkSession, name)
+    spark, path = pages.sparkSession, scratch_path(pages.sparkSession, name)
     write_captures(pages, path)
-    return transactions(stage(read_records(pages.sparkSession, path), "records"))
+    # Parsed once: the assembly reads the records several times. Payloads compress well.
+    records, parsed = read_records(spark, path), scratch_path(spark, "records")
+    records.write.option("compression", "zstd").parquet(parsed)
+    return transactions(spark.read.schema(records.schema).parquet(parsed))
