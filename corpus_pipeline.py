@@ -1,6 +1,7 @@
 """Corpus pipeline: from `documents` to packed training sequences.
 
-Each stage takes what its predecessor kept, written as Parquet in between. All but the last return the columns
+Each stage takes what its predecessor kept, written as Parquet in between; a stage's intermediate tables go
+when the next one begins. All but the last return the columns
 of `documents`; the last returns the pieces of documents with their token ids and places in sequences.
 """
 
@@ -12,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridcast.llm import exact_dedup, language, minhash, packing, substrings
-from gridcast.llm.tables import stage, table
+from gridcast.llm.tables import Passing, passing, stage, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -45,8 +46,24 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = [
-    ("language_id", language_id), ("exact_dedup", exact), ("minhash_dedup", near), ("substring_dedup", substring), ("packing", pack)]
+_READ: list[Passing] = []
+
+
+def _clearing(step: Stage) -> Stage:
+    """A stage that first deletes the intermediate tables of the stage before: its result has been written."""
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _READ:
+            _READ.pop().delete()
+        with passing(spark, keep_all=True) as tables:
+            out = step(spark, docs, sf_dir)
+        _READ.append(tables)
+        return out
+
+    return run_step
+
+
+STAGES: list[tuple[str, Stage]] = [(name, _clearing(step)) for name, step in (
+    ("language_id", language_id), ("exact_dedup", exact), ("minhash_dedup", near), ("substring_dedup", substring), ("packing", pack))]
 
 #: A trained model and fuzzy alignment take part; tests hold the stages against plain versions.
 ORACLE_SQL = None

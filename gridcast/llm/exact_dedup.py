@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from gridcast.llm.tables import stage
+from gridcast.llm.tables import passing, stage
 
 FIRST_BYTES = 64
 GROWTH = 8
@@ -50,6 +50,17 @@ def _digit(at: int, width: int) -> Column:
     return F.expr(f"substring(_radix_key, {at + 1}, {width})")
 
 
+def _split(rows: DataFrame, counts: DataFrame, at: int, width: int) -> DataFrame:
+    """The rows with their group of the next round; `_radix_over` marks those that are alone or used up."""
+    over = (F.length("_radix_key") <= at + width) | F.col("_radix_n").isNull()
+    joined = (rows.withColumn("_radix_digit", _digit(at, width))
+              .join(counts.hint("merge"), ["_radix_group", "_radix_digit"], "left")
+              .select("_radix_row", "_radix_sha", F.when(~over, F.col("_radix_key")).alias("_radix_key"),
+                      F.col("_radix_next").alias("_radix_group"), "_radix_n", "_radix_keep",
+                      over.alias("_radix_over")))
+    return stage(joined, "radix-rows")
+
+
 def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carried: list[str] | None = None,
                  first: int = FIRST_BYTES, growth: int = GROWTH) -> DataFrame:
     """Columns `carried` (default: all), `text_sha256`, `keep_id` (largest id of the group) and `group_size`."""
@@ -62,14 +73,9 @@ def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         counts = (rows.groupBy("_radix_group", _digit(at, width).alias("_radix_digit"))
                   .agg(F.count(F.lit(1)).alias("_radix_n"), F.max("_radix_row._radix_id").alias("_radix_keep"))
                   .where("_radix_n > 1").withColumn("_radix_next", F.monotonically_increasing_id()))
-        counts = stage(counts, "radix-counts")
-        over = (F.length("_radix_key") <= at + width) | F.col("_radix_n").isNull()
-        joined = (rows.withColumn("_radix_digit", _digit(at, width))
-                  .join(counts.hint("merge"), ["_radix_group", "_radix_digit"], "left")
-                  .select("_radix_row", "_radix_sha", F.when(~over, F.col("_radix_key")).alias("_radix_key"),
-                          F.col("_radix_next").alias("_radix_group"), "_radix_n", "_radix_keep",
-                          over.alias("_radix_over")))
-        joined = stage(joined, "radix-rows")
+        with passing(docs.sparkSession) as used:
+            joined = _split(rows, stage(counts, "radix-counts"), at, width)
+            used.keep(joined)
         ended.append(joined.where("_radix_over").select("_radix_row", "_radix_sha", "_radix_n", "_radix_keep"))
         rows = joined.where("NOT _radix_over").select("_radix_row", "_radix_key", "_radix_sha", "_radix_group")
         at, width = at + width, width * growth
@@ -91,7 +97,6 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                          "_radix_doc_id", "_radix_doc_text", ["_radix_doc", "_radix_doc_id"])
     found = (found.withColumnsRenamed(dict(zip(["keep_id", "group_size", "text_sha256"], own)))
              .where(F.col("_radix_doc_id").eqNullSafe(F.col("_radix_keep_id"))))
-    found = stage(found, "radix-kept")
     alone = found.where("_radix_size = 1").select("_radix_doc.*")
     # Rows left in a group share id and text; one of them stays.
     rest = found.where("_radix_size > 1").dropDuplicates(["_radix_doc_id", "_radix_text"]).select("_radix_doc.*")

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from gridcast.llm.tables import stage
+from gridcast.llm.tables import passing, stage
 
 DEPTH = 3
 MIN_TEXTS = 5
@@ -132,8 +132,10 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_templates(docs: DataFrame, text_col: str = "text", carried: list[str] | None = None, **settings) -> DataFrame:
     """Columns row (struct of the carried columns, default all), text (without the lines), n_lines and n_dropped."""
     carried = docs.columns if carried is None else carried
-    drops = stage(recurring(docs, text_col, **settings).groupBy(F.col("text").alias("key"))
-                  .agg(F.collect_list("line").alias("drop")), "drops")
+    with passing(docs.sparkSession) as used:
+        drops = stage(recurring(docs, text_col, **settings).groupBy(F.col("text").alias("key"))
+                      .agg(F.collect_list("line").alias("drop")), "drops")
+        used.keep(drops)
     plain = docs.select(docs[text_col].alias("text"), F.struct(*[docs[c] for c in carried]).alias("row"))
     keyed = plain.mapInArrow(_keyed, T.StructType([*plain.schema.fields, T.StructField("key", T.BinaryType())]))
     joined = keyed.join(drops.hint("merge"), "key", "left").select("text", "drop", "row")

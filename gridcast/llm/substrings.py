@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridcast.llm import words as w
-from gridcast.llm.tables import stage
+from gridcast.llm.tables import passing, stage
 
 K = 8
 WINDOW = 16
@@ -286,29 +286,31 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     """Columns doc, holder (ids; holder < doc) and the span of words [start, end) in each; equal_words of them agree."""
     plain = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
     kind = plain.schema["doc"].dataType.simpleString()
-    seeds = stage(plain.mapInArrow(_seeds(k, window), f"seed long, doc {kind}, at int"), "seeds")
-    held = stage(seeds.groupBy("seed").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
-                 .where("holder < last").select("seed", "holder"), "held")
-    shared = seeds.join(held.hint("merge"), "seed").groupBy("doc").agg(
-        F.array_sort(F.collect_list(F.struct("at", "seed", "holder"))).alias("s")).select(
-        "doc", F.col("s.at").alias("at"), F.col("s.seed").alias("seeds"), F.col("s.holder").alias("holders"))
-    shared = stage(shared, "shared")
-    # A shared stretch of min_words holds at least two seeds, so one seed of a holder makes no pair.
-    runs = stage(shared.select("doc", F.explode(F.concat(*[_run_keys(m) for m in RUNS])).alias("run")).where("run IS NOT NULL"), "runs")
-    held = stage(runs.groupBy("run").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
-                 .where("holder < last").select("run", "holder"), "held")
-    partners = (runs.join(held.hint("merge"), "run").where("holder < doc").select("doc", "holder")
-                .unionAll(shared.select("doc", F.explode("holders").alias("holder")).where("holder < doc")
-                          .groupBy("doc", "holder").count().where("count > 1").select("doc", "holder"))
-                .distinct())
-    pairs = (stage(partners, "partners").join(shared.drop("holders").hint("merge"), "doc")
-             .join(shared.select(F.col("doc").alias("holder"), F.col("at").alias("their_at"), F.col("seeds").alias("theirs")).hint("merge"), "holder"))
-    chains = stage(pairs.select("doc", "holder", "at", "seeds", "their_at", "theirs").mapInArrow(
-        _chain(k, window + k, min_words, gap_cost, max_gap), f"doc {kind}, holder {kind}, x array<int>, y array<int>"), "chains")
-
-    # Texts are joined to the chains of a document, and to parts of the chains of a holder: a text is never
-    # repeated for each chain, and no row holds more than about CHAINS_AT_ONCE chains of a holder.
-    parts = stage(chains.groupBy("holder").agg(F.ceil(F.count(F.lit(1)) / CHAINS_AT_ONCE).alias("parts")), "parts")
+    with passing(docs.sparkSession) as used:
+        seeds = stage(plain.mapInArrow(_seeds(k, window), f"seed long, doc {kind}, at int"), "seeds")
+        held = stage(seeds.groupBy("seed").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
+                     .where("holder < last").select("seed", "holder"), "held")
+        shared = seeds.join(held.hint("merge"), "seed").groupBy("doc").agg(
+            F.array_sort(F.collect_list(F.struct("at", "seed", "holder"))).alias("s")).select(
+            "doc", F.col("s.at").alias("at"), F.col("s.seed").alias("seeds"), F.col("s.holder").alias("holders"))
+        shared = stage(shared, "shared")
+        # A shared stretch of min_words holds at least two seeds, so one seed of a holder makes no pair.
+        runs = stage(shared.select("doc", F.explode(F.concat(*[_run_keys(m) for m in RUNS])).alias("run")).where("run IS NOT NULL"), "runs")
+        held = stage(runs.groupBy("run").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
+                     .where("holder < last").select("run", "holder"), "held")
+        partners = (runs.join(held.hint("merge"), "run").where("holder < doc").select("doc", "holder")
+                    .unionAll(shared.select("doc", F.explode("holders").alias("holder")).where("holder < doc")
+                              .groupBy("doc", "holder").count().where("count > 1").select("doc", "holder"))
+                    .distinct())
+        pairs = (stage(partners, "partners").join(shared.drop("holders").hint("merge"), "doc")
+                 .join(shared.select(F.col("doc").alias("holder"), F.col("at").alias("their_at"), F.col("seeds").alias("theirs")).hint("merge"), "holder"))
+        chains = stage(pairs.select("doc", "holder", "at", "seeds", "their_at", "theirs").mapInArrow(
+            _chain(k, window + k, min_words, gap_cost, max_gap), f"doc {kind}, holder {kind}, x array<int>, y array<int>"), "chains")
+
+        # Texts are joined to the chains of a document, and to parts of the chains of a holder: a text is never
+        # repeated for each chain, and no row holds more than about CHAINS_AT_ONCE chains of a holder.
+        parts = stage(chains.groupBy("holder").agg(F.ceil(F.count(F.lit(1)) / CHAINS_AT_ONCE).alias("parts")), "parts")
+        used.keep(chains, parts)
     dealt = chains.join(parts.hint("merge"), "holder").select(
         "doc", F.struct("holder", F.pmod(F.xxhash64("doc"), "parts").alias("part"), "x", "y").alias("chain"))
     margin = window + k + MAX_GAP
@@ -352,8 +354,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
     """The documents with repeated passages cut out, except where the smallest id holds them; `size_col`, if
     there is such a column, becomes the length of the new text."""
-    spans = stage(repeats(docs, id_col, text_col), "spans")
-    spans = stage(spans.groupBy("doc").agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans")), "cuts")
+    with passing(docs.sparkSession) as used:
+        spans = repeats(docs, id_col, text_col)
+        spans = stage(spans.groupBy("doc").agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans")), "cuts")
+        used.keep(spans)
     wide = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     joined = wide.join(spans.hint("merge"), "doc", "left").select("text", "spans", "row")
     schema = T.StructType([wide.schema["text"], wide.schema["row"]])

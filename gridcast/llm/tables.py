@@ -1,12 +1,69 @@
-"""Reading the given tables and the settings the operators share."""
+"""Reading the given tables, and intermediate tables in the shared scratch folder that go when they are used up."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.session import stage
+from gridcast.session import scratch_path
+
+__all__ = ["Passing", "passing", "spread", "stage", "table"]
+
+
+class Passing:
+    """The tables written inside a `passing()` block."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._tables, self._kept = spark, [], []
+
+    def add(self, path: str, read: DataFrame) -> None:
+        self._tables.append((path, read))
+
+    def keep(self, *reads: DataFrame) -> None:
+        """These are still read by what the block returns."""
+        self._kept += reads
+
+    def split(self) -> tuple[list, list]:
+        kept = [t for t in self._tables if any(t[1] is k for k in self._kept)]
+        return kept, [t for t in self._tables if not any(t is k for k in kept)]
+
+    def delete(self, tables: list | None = None) -> None:
+        for path, _ in self._tables if tables is None else tables:
+            where = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        self._tables = [t for t in self._tables if tables is not None and t not in tables]
+
+
+_OPEN: list[Passing] = []
+
+
+@contextmanager
+def passing(spark: SparkSession, keep_all: bool = False) -> Iterator[Passing]:
+    """Tables staged inside are deleted at the end, but for those named by keep(); these go on to the block
+    around, if there is one. Nothing is deleted after an error."""
+    own = Passing(spark)
+    _OPEN.append(own)
+    try:
+        yield own
+    finally:
+        _OPEN.pop()
+    if not keep_all:
+        kept, used_up = own.split()
+        own.delete(used_up)
+        for path, read in kept if _OPEN else ():
+            _OPEN[-1].add(path, read)
+
 
-__all__ = ["stage", "table", "spread"]
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write `df` to the shared scratch folder and read it back: lineage ends here, and lost executors cost nothing."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.options(**options).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _OPEN:
+        _OPEN[-1].add(path, read)
+    return read
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -212,6 +212,4 @@ def archive(pages: DataFrame, name: str = "archive") -> DataFrame:
     spark, path = pages.sparkSession, scratch_path(pages.sparkSession, name)
     write_captures(pages, path)
     # Parsed once: the assembly reads the records several times. Payloads compress well.
-    records, parsed = read_records(spark, path), scratch_path(spark, "records")
-    records.write.option("compression", "zstd").parquet(parsed)
-    return transactions(spark.read.schema(records.schema).parquet(parsed))
+    return transactions(stage(read_records(spark, path), "records", compression="zstd"))
