@@ -30,17 +30,24 @@ FIRST_BYTES = 64
 GROWTH = 8
 
 
-def _with_key(docs: DataFrame, text_col: str, carried: list[str]) -> DataFrame:
-    """The carried columns as one struct, and the normalised bytes."""
-    at = docs.columns.index(text_col)
-    plain = docs.select(F.struct(*[docs[c] for c in carried]).alias("_radix_row"), docs[docs.columns[at]].alias("_radix_key"))
+def _with_key(docs: DataFrame, text_col: str, carried: list[str], inside: tuple[int, ...]) -> DataFrame:
+    """The carried columns as one struct, and the normalised bytes. inside: places of the fields that lead to the
+    text in that struct, if it is there; no text then goes to the Python worker twice."""
+    plain = docs.select(F.struct(*[docs[c] for c in carried]).alias("_radix_row"),
+                        *([] if inside else [docs[text_col].alias("_radix_key")]))
     schema = T.StructType([plain.schema["_radix_row"], T.StructField("_radix_key", T.BinaryType())])
 
+    def text_of(b: pa.RecordBatch) -> pa.Array:
+        column = b.column(0 if inside else 1)
+        for place in inside:
+            column = column.field(place)
+        return column
+
     def normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = b.column("_radix_key").cast(pa.large_string()).fill_null("")
+            text = text_of(b).cast(pa.large_string()).fill_null("")
             yield pa.RecordBatch.from_arrays(
-                [b.column("_radix_row"), pc.ascii_lower(text).cast(pa.large_binary()).cast(pa.binary())],
+                [b.column(0), pc.ascii_lower(text).cast(pa.large_binary()).cast(pa.binary())],
                 names=["_radix_row", "_radix_key"])
 
     return plain.mapInArrow(normalise, schema)
@@ -65,7 +72,11 @@ def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  first: int = FIRST_BYTES, growth: int = GROWTH) -> DataFrame:
     """Columns `carried` (default: all), `text_sha256`, `keep_id` (largest id of the group) and `group_size`."""
     carried = docs.columns if carried is None else carried
-    rows = _with_key(docs.withColumn("_radix_id", docs[id_col]), text_col, [*carried, "_radix_id"]).select(
+    inside = (carried.index(text_col),) if text_col in carried else ()
+    if "." in text_col:  # a field of a carried struct
+        outer, field = text_col.split(".", 1)
+        inside = (carried.index(outer), docs.schema[outer].dataType.fieldNames().index(field))
+    rows = _with_key(docs.withColumn("_radix_id", docs[id_col]), text_col, [*carried, "_radix_id"], inside).select(
         "_radix_row", "_radix_key", F.sha2("_radix_key", 256).alias("_radix_sha"),
         F.length("_radix_key").cast("long").alias("_radix_group"))
     at, width, ended = 0, first, []
@@ -93,8 +104,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The documents that stay, one of every group of equal texts, with the columns of `docs`."""
     own = ["_radix_keep_id", "_radix_size", "_radix_text"]
     found = equal_groups(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_radix_doc"),
-                                     docs[id_col].alias("_radix_doc_id"), docs[text_col].alias("_radix_doc_text")),
-                         "_radix_doc_id", "_radix_doc_text", ["_radix_doc", "_radix_doc_id"])
+                                     docs[id_col].alias("_radix_doc_id")),
+                         "_radix_doc_id", f"_radix_doc.{text_col}", ["_radix_doc", "_radix_doc_id"])
     found = (found.withColumnsRenamed(dict(zip(["keep_id", "group_size", "text_sha256"], own)))
              .where(F.col("_radix_doc_id").eqNullSafe(F.col("_radix_keep_id"))))
     alone = found.where("_radix_size = 1").select("_radix_doc.*")

@@ -186,14 +186,14 @@ def _predict(model: Model | None, column: pa.Array) -> tuple[list[str], np.ndarr
     return langs, score, known & (score >= model.threshold)
 
 
-def predictor(model: Model | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """First column: the text; it becomes lang_pred, score and accepted, the others follow."""
+def predictor(model: Model | None, inside: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """First column: the carried struct; the text is its field number `inside`, or else the second column."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            langs, score, accepted = _predict(model, b.column(0))
+            langs, score, accepted = _predict(model, b.column(1) if inside is None else b.column(0).field(inside))
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(score, pa.float64()),
-                                              pa.array(accepted, pa.bool_()), *b.columns[1:]],
-                                             names=["lang_pred", "score", "accepted", *b.schema.names[1:]])
+                                              pa.array(accepted, pa.bool_()), b.column(0)],
+                                             names=["lang_pred", "score", "accepted", "row"])
 
     return run
 
@@ -201,7 +201,8 @@ def predictor(model: Model | None) -> Callable[[Iterator[pa.RecordBatch]], Itera
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", carried: list[str] | None = None) -> DataFrame:
     """Columns lang_pred, score, accepted and `row`, a struct of the carried columns (default: all)."""
     carried = docs.columns if carried is None else carried
-    plain = docs.select(docs[text_col].alias("text"), F.struct(*[docs[c] for c in carried]).alias("row"))
+    inside = carried.index(text_col) if text_col in carried else None
+    plain = docs.select(F.struct(*[docs[c] for c in carried]).alias("row"), *([docs[text_col].alias("text")] if inside is None else []))
     schema = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                            T.StructField("accepted", T.BooleanType()), plain.schema["row"]])
-    return plain.mapInArrow(predictor(model), schema)
+    return plain.mapInArrow(predictor(model, inside), schema)

@@ -239,13 +239,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of every group (that with the smallest id), with the columns of `docs`."""
-    wide = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"),
-                       F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    wide = docs.select(docs[id_col].alias("id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    text_at = docs.columns.index(text_col)
 
     def with_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            node = next(_nodes(iter([b]))).column(2)
-            yield pa.RecordBatch.from_arrays([b.column(0), node, b.column(2)], names=["id", "node", "row"])
+            text = pa.RecordBatch.from_arrays([b.column(0), b.column(1).field(text_at)], names=["id", "text"])
+            yield pa.RecordBatch.from_arrays([b.column(0), next(_nodes(iter([text]))).column(2), b.column(1)], names=["id", "node", "row"])
 
     schema = T.StructType([wide.schema["id"], T.StructField("node", T.BinaryType()), wide.schema["row"]])
     rows = wide.mapInArrow(with_node, schema).withColumn("h", F.xxhash64("id"))
