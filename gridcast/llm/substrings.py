@@ -7,8 +7,8 @@
    is paired with the holders of two of its seeds or of a run, never with all documents that share them: a passage in a
    third of all documents makes a few pairs per document.
 3. Chains. For a pair all shared seeds are matched, also those held by third documents. Matches are chained in
-   the order of both texts under a cost per skipped word of either text; the best predecessor is a prefix
-   maximum in a Fenwick tree over the holder's positions.
+   the order of both texts under a cost per skipped word of either text; the best predecessor is the maximum
+   over the matches at most MAX_GAP words back in both texts, so that passages farther apart are chains each.
 4. Alignment. A chain is aligned word by word: gaps between its seeds by edit distance, both ends outwards
    while they agree within a few edits. Spans of at least `min_words` words and `identity` agreement are
    passages of the document that an earlier document holds.
@@ -89,33 +89,25 @@ def best_chains(x: list[int], y: list[int], k: int, gap_cost: float, max_gap: in
     """Chains of matches (x[i], y[i]), x ascending: index lists with x and y ascending, best chain first.
 
     A chain is worth k for each match, less gap_cost for each word that a step goes on in x or y beyond k.
-    The step cost is a difference of x + y, so the best predecessor of a match is the maximum, over smaller y,
-    of value + gap_cost * (x + y): a prefix maximum.
+    The step cost is a difference of x + y, so the best predecessor of a match is the maximum of
+    value + gap_cost * (x + y) over the matches before it that lie within reach in both texts. Only those are
+    looked at: a long chain farther back hides none of them.
     """
-    ranks = {v: r for r, v in enumerate(sorted(set(y)), 1)}
-    tree: list[tuple[float, int]] = [(-1e18, -1)] * (len(ranks) + 1)
-    value, before = [0.0] * len(x), [-1] * len(x)
-    i = 0
-    while i < len(x):
-        j = i
-        while j < len(x) and x[j] == x[i]:
-            best, r = (-1e18, -1), ranks[y[j]] - 1
-            while r:
-                best = max(best, tree[r])
-                r &= r - 1
-            gain = best[0] - gap_cost * (x[j] + y[j] - 2 * k) if best[1] >= 0 else 0.0
-            if best[1] >= 0 and gain > 0 and x[j] - x[best[1]] <= max_gap + k and y[j] - y[best[1]] <= max_gap + k:
-                value[j], before[j] = k + gain, best[1]
-            else:
-                value[j] = float(k)
-            j += 1
-        for m in range(i, j):
-            entry, r = (value[m] + gap_cost * (x[m] + y[m]), m), ranks[y[m]]
-            while r < len(tree):
-                if tree[r] < entry:
-                    tree[r] = entry
-                r += r & -r
-        i = j
+    reach = max_gap + k
+    value, before, worth = [0.0] * len(x), [-1] * len(x), [0.0] * len(x)
+    first = 0  # the first match within reach in x
+    for j in range(len(x)):
+        while x[j] - x[first] > reach:
+            first += 1
+        best, at = -1e18, -1
+        for m in range(first, j):
+            if worth[m] >= best and 0 < y[j] - y[m] <= reach and x[m] < x[j]:
+                best, at = worth[m], m
+        gain = best - gap_cost * (x[j] + y[j] - 2 * k)
+        value[j] = float(k)
+        if at >= 0 and gain > 0:
+            value[j], before[j] = k + gain, at
+        worth[j] = value[j] + gap_cost * (x[j] + y[j])
     used, out = [False] * len(x), []
     for m in sorted(range(len(x)), key=lambda m: -value[m]):
         chain = []

@@ -85,6 +85,34 @@ def test_best_chain_equals_quadratic_search(seed):
     assert sorted(i for c in chains for i in c) == list(range(len(x)))
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_best_chain_within_a_gap_equals_quadratic_search(seed):
+    rng = random.Random(seed)
+    matches = sorted({(rng.randrange(300), rng.randrange(300)) for _ in range(60)} | {(i, i + 7) for i in range(0, 120, 6)})
+    x, y = [m[0] for m in matches], [m[1] for m in matches]
+    best = []
+    for i in range(len(x)):
+        near = [j for j in range(i) if 0 < x[i] - x[j] <= 48 and 0 < y[i] - y[j] <= 48]
+        best.append(8 + max([0.0, *[best[j] - 0.2 * (x[i] + y[i] - x[j] - y[j] - 16) for j in near]]))
+    chains = substrings.best_chains(x, y, 8, 0.2, 40)
+    for c in chains:
+        assert all(0 < x[b] - x[a] <= 48 and 0 < y[b] - y[a] <= 48 for a, b in zip(c, c[1:]))
+    value = 8 * len(chains[0]) - 0.2 * sum(x[b] + y[b] - x[a] - y[a] - 16 for a, b in zip(chains[0], chains[0][1:]))
+    assert value == pytest.approx(max(best))
+    assert sorted(i for c in chains for i in c) == list(range(len(x)))
+
+
+def test_passages_after_a_long_one_are_found(spark):
+    rng = random.Random(5)
+    passages = [sentence(rng, n) for n in (1000, 60, 200, 55, 70)]
+    rows = [(i, " ".join(f"{sentence(rng, 60, 10**6)} {p}" for p in passages)) for i in range(2)]
+    spans = sorted((s.start_word, s.end_word) for s in substrings.repeats(documents(spark, rows)).collect())
+    starts = [60, 1120, 1240, 1500, 1615]
+    assert len(spans) == 5
+    for (low, high), start, p in zip(spans, starts, passages):
+        assert start - 2 <= low <= start and start + len(p.split()) <= high <= start + len(p.split()) + 2
+
+
 def test_alignment():
     a = [b"%d" % i for i in range(100)]
     b = a[:30] + [b"x"] + a[30:60] + a[62:]
