@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridcast.llm import bpe, exact_dedup, extract, language, lines, minhash, neighbours, packing, substrings, warc
+from gridcast.llm import (
+    alignment, bpe, exact_dedup, extract, language, lines, merkle, minhash, mixing, neighbours, packing, substrings, warc,
+)
 from gridcast.llm.tables import stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +26,7 @@ LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @query
@@ -177,3 +180,96 @@ kept AS (SELECT s.t, count(*) AS n_lines, count(g.n) AS n_dropped,
          FROM split s LEFT JOIN gone g ON s.t = g.t AND s.n = g.n GROUP BY s.t)
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(left_over, '')) AS text_sha256
 FROM rows LEFT JOIN kept ON rows.t = kept.t"""
+
+
+@query
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix of all sources takes of every document."""
+    found = mixing.plan(table(spark, sf_dir, "documents"), carried=["doc_id"])
+    return found.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+SQL["op11_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+weighted AS (SELECT source, sum(size) AS size, [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT)] AS w
+             FROM d GROUP BY source),
+summed AS (SELECT *, sum(size) OVER () AS total, sum(size) OVER onward AS size_left, sum(w) OVER onward AS w_left FROM weighted
+           WINDOW onward AS (ORDER BY size * (10 // w), source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+filled AS (SELECT *, 3 * size * w_left <= w * (total - 3 * (total - size_left)) AS full_up FROM summed),
+targets AS (SELECT source, CAST(size AS BIGINT) AS source_size, CASE WHEN full_up THEN CAST(3 * size AS DOUBLE)
+              ELSE CAST(total - coalesce(sum(3 * size) FILTER (WHERE full_up) OVER (), 0) AS DOUBLE) * w
+                   / CAST(sum(w) FILTER (WHERE NOT full_up) OVER () AS DOUBLE) END AS target FROM filled),
+rated AS (SELECT *, CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE target / source_size END AS rate FROM targets),
+drawn AS (SELECT d.source, doc_id, size, unnest(range(32)) AS seed FROM d),
+copied AS (SELECT drawn.*, CAST(floor(rate) AS BIGINT) + CAST(CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || size
+             || '|' || seed), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656 < rate - floor(rate) AS BIGINT) AS copies, source_size, target
+           FROM drawn JOIN rated ON drawn.source IS NOT DISTINCT FROM rated.source),
+seeded AS (SELECT source, seed, abs(CAST(sum(size * copies) AS DOUBLE) - any_value(target)) AS off FROM copied GROUP BY source, seed),
+chosen AS (SELECT source, seed FROM seeded QUALIFY row_number() OVER (PARTITION BY source ORDER BY off, seed) = 1)
+SELECT doc_id, size, source_size, target, size * copies AS taken
+FROM copied JOIN chosen ON copied.source IS NOT DISTINCT FROM chosen.source AND copied.seed = chosen.seed"""
+
+
+def _lowered(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@query
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and what its root becomes if a third of the texts are lower-cased afterwards."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(docs["doc_id"].cast("string")) % 3 == 0
+    claimed = F.when(tampered, merkle.leaf([_lowered(docs[c]) if c == "text" else docs[c] for c in merkle.FIELDS]))
+    return merkle.manifest(docs, claimed).withColumnRenamed("id", "doc_id")
+
+
+def _manifest_sql(group_levels: int = 7, upper_levels: int = 3) -> str:
+    """Trees level by level, for up to 8 ** levels leaves."""
+    def field(x: str) -> str:
+        return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(text if c == "text" else c) for c in merkle.FIELDS) + ")"
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+           "lambda c: CAST(ascii(c) AS BIGINT))), lambda s, b: list_reduce(list_prepend(xor(s, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), "
+           "lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)")
+    steps = [f"d AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf('text')} AS leaf, "
+             f"CASE WHEN {crc} % 3 = 0 THEN {leaf(low)} END AS claimed FROM documents)",
+             "p AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, "
+             "count(*) OVER (PARTITION BY tree) AS n FROM d)",
+             "a0 AS (SELECT tree, place AS spot, n, leaf AS h FROM p)"]
+
+    def climb(name: str, levels: int) -> str:
+        for i in range(levels):
+            steps.append(f"{name}run{i} AS (SELECT tree, spot // 8 AS up, any_value(n) AS n, list(h ORDER BY spot) AS run FROM {name}{i} "
+                         "WHERE n > 1 GROUP BY tree, spot // 8)")
+            steps.append(f"{name}{i + 1} AS (SELECT tree, up AS spot, (n + 7) // 8 AS n, sha256(array_to_string(run, '')) AS h FROM {name}run{i})")
+        return " UNION ALL ".join(f"SELECT tree, h FROM {name}{i} WHERE n = 1" for i in range(levels + 1))
+
+    steps.append(f"subroots AS ({climb('a', group_levels)})")
+    steps.append("b0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY s.tree) - 1 AS spot, count(*) OVER () AS n, h, s.tree AS lang_tree FROM subroots s)")
+    steps.append(f"roots AS ({climb('b', upper_levels)})")
+    steps.append("f0 AS (SELECT p.*, b0.spot AS lang_place, coalesce(claimed, leaf) AS cur, '' AS siblings FROM p JOIN b0 ON lang_tree = p.tree)")
+    at = 0
+    for name, levels, tree, place in (("a", group_levels, "f.tree", "place"), ("b", upper_levels, "''", "lang_place")):
+        for i in range(levels):
+            k = f"CAST(({place} >> {3 * i}) & 7 AS BIGINT)"
+            before, after = f"array_to_string(run[1:{k}], '')", f"array_to_string(run[{k} + 2:], '')"
+            steps.append(f"f{at + 1} AS (SELECT f.doc_id, f.tree, leaf, place, lang_place, CASE WHEN run IS NULL THEN cur ELSE "
+                         f"sha256({before} || cur || {after}) END AS cur, siblings || coalesce({before} || {after}, '') AS siblings "
+                         f"FROM f{at} f LEFT JOIN {name}run{i} r ON r.tree = {tree} AND r.up = f.{place} >> {3 * (i + 1)})")
+            at += 1
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, s.h AS subroot, r.h AS root, sha256(siblings) AS proof_sha256, cur AS folded_root, cur = r.h AS verified
+FROM f{at} f JOIN subroots s ON s.tree = f.tree, roots r"""
+
+
+SQL["op12_manifest"] = _manifest_sql()
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    return alignment.aligned(table(spark, sf_dir, "documents"), TOKENIZER, PIECES).withColumnRenamed("id", "doc_id")

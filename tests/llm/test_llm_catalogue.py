@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import regex
+from test_llm_alignment import FIGURES, plain as plain_alignment
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_points
@@ -40,7 +41,7 @@ def test_query_equals_sql(spark, name):
 
 def test_one_query_of_each_operator():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry_points.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry_points.queries()
 
 
 @pytest.fixture(scope="module")
@@ -66,6 +67,13 @@ def test_bpe(spark, ids):
         assert got.decoded_sha256[i] == hashlib.sha256((texts[i] or "").encode()).hexdigest()
 
 
+def test_alignment(spark):
+    docs = read("documents")
+    got = entry_points.queries()["op13_alignment"](spark, SF_DIR).toPandas().set_index("doc_id")
+    for i, want in zip(docs.doc_id, plain_alignment([t or None for t in docs.text])):
+        assert tuple(got.loc[i, FIGURES]) == want
+
+
 def test_language(spark):
     docs = read("documents")
     got = entry_points.queries()["op5_language_id"](spark, SF_DIR).toPandas().merge(docs, on="doc_id")
