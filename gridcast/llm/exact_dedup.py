@@ -17,12 +17,9 @@ columns are carried along whatever their names; own columns start with `_radix_`
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridcast.llm.tables import passing, stage
 
@@ -30,40 +27,24 @@ FIRST_BYTES = 64
 GROWTH = 8
 
 
-def _with_key(docs: DataFrame, text_col: str, carried: list[str], inside: tuple[int, ...]) -> DataFrame:
-    """The carried columns as one struct, and the normalised bytes. inside: places of the fields that lead to the
-    text in that struct, if it is there; no text then goes to the Python worker twice."""
-    plain = docs.select(F.struct(*[docs[c] for c in carried]).alias("_radix_row"),
-                        *([] if inside else [docs[text_col].alias("_radix_key")]))
-    schema = T.StructType([plain.schema["_radix_row"], T.StructField("_radix_key", T.BinaryType())])
+def _lowered(text: Column) -> Column:
+    """A-Z as a-z, nothing else: the length in bytes stays."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
-    def text_of(b: pa.RecordBatch) -> pa.Array:
-        column = b.column(0 if inside else 1)
-        for place in inside:
-            column = column.field(place)
-        return column
 
-    def normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text = text_of(b).cast(pa.large_string()).fill_null("")
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pc.ascii_lower(text).cast(pa.large_binary()).cast(pa.binary())],
-                names=["_radix_row", "_radix_key"])
+def _digit(text: Column, at: int, width: int) -> Column:
+    """Bytes of the key from `at` on. The first ones lie in as many characters, so a long text is not gone through for them."""
+    part = F.substring(text, 1, width) if at == 0 else text
+    return F.substring(_lowered(part).cast("binary"), at + 1, width)
 
-    return plain.mapInArrow(normalise, schema)
 
-
-def _digit(at: int, width: int) -> Column:
-    return F.expr(f"substring(_radix_key, {at + 1}, {width})")
-
-
-def _split(rows: DataFrame, counts: DataFrame, at: int, width: int) -> DataFrame:
+def _split(rows: DataFrame, text: Column, counts: DataFrame, at: int, width: int) -> DataFrame:
     """The rows with their group of the next round; `_radix_over` marks those that are alone or used up."""
-    over = (F.length("_radix_key") <= at + width) | F.col("_radix_n").isNull()
-    joined = (rows.withColumn("_radix_digit", _digit(at, width))
+    over = (F.col("_radix_size") <= at + width) | F.col("_radix_n").isNull()
+    extra = [F.when(~over, F.col("_radix_text")).alias("_radix_text")] if "_radix_text" in rows.columns else []
+    joined = (rows.withColumn("_radix_digit", _digit(text, at, width))
               .join(counts.hint("merge"), ["_radix_group", "_radix_digit"], "left")
-              .select("_radix_row", "_radix_sha", F.when(~over, F.col("_radix_key")).alias("_radix_key"),
-                      F.col("_radix_next").alias("_radix_group"), "_radix_n", "_radix_keep",
+              .select("_radix_row", "_radix_sha", "_radix_size", *extra, F.col("_radix_next").alias("_radix_group"), "_radix_n", "_radix_keep",
                       over.alias("_radix_over")))
     return stage(joined, "radix-rows")
 
@@ -72,23 +53,25 @@ def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  first: int = FIRST_BYTES, growth: int = GROWTH) -> DataFrame:
     """Columns `carried` (default: all), `text_sha256`, `keep_id` (largest id of the group) and `group_size`."""
     carried = docs.columns if carried is None else carried
-    inside = (carried.index(text_col),) if text_col in carried else ()
-    if "." in text_col:  # a field of a carried struct
-        outer, field = text_col.split(".", 1)
-        inside = (carried.index(outer), docs.schema[outer].dataType.fieldNames().index(field))
-    rows = _with_key(docs.withColumn("_radix_id", docs[id_col]), text_col, [*carried, "_radix_id"], inside).select(
-        "_radix_row", "_radix_key", F.sha2("_radix_key", 256).alias("_radix_sha"),
-        F.length("_radix_key").cast("long").alias("_radix_group"))
+    named = docs.withColumn("_radix_id", docs[id_col])
+    # Each text moves once: in the carried row if it is there, else beside it until its group is settled.
+    inside = text_col in carried
+    text = F.coalesce(F.col("_radix_row").getField(text_col) if inside else F.col("_radix_text"), F.lit(""))
+    rows = named.select(F.struct(*[named[c] for c in [*carried, "_radix_id"]]).alias("_radix_row"),
+                        *([] if inside else [named[text_col].alias("_radix_text")]))
+    kept = ["_radix_row", "_radix_sha", "_radix_size", *([] if inside else ["_radix_text"]), "_radix_group"]
+    size = F.octet_length(text).cast("long")
+    rows = rows.withColumns({"_radix_sha": F.sha2(_lowered(text).cast("binary"), 256), "_radix_size": size, "_radix_group": size})
     at, width, ended = 0, first, []
     while True:
-        counts = (rows.groupBy("_radix_group", _digit(at, width).alias("_radix_digit"))
+        counts = (rows.groupBy("_radix_group", _digit(text, at, width).alias("_radix_digit"))
                   .agg(F.count(F.lit(1)).alias("_radix_n"), F.max("_radix_row._radix_id").alias("_radix_keep"))
                   .where("_radix_n > 1").withColumn("_radix_next", F.monotonically_increasing_id()))
         with passing(docs.sparkSession) as used:
-            joined = _split(rows, stage(counts, "radix-counts"), at, width)
+            joined = _split(rows, text, stage(counts, "radix-counts"), at, width)
             used.keep(joined)
         ended.append(joined.where("_radix_over").select("_radix_row", "_radix_sha", "_radix_n", "_radix_keep"))
-        rows = joined.where("NOT _radix_over").select("_radix_row", "_radix_key", "_radix_sha", "_radix_group")
+        rows = joined.where("NOT _radix_over").select(*kept)
         at, width = at + width, width * growth
         if rows.isEmpty():
             break
@@ -102,13 +85,12 @@ def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, one of every group of equal texts, with the columns of `docs`."""
-    own = ["_radix_keep_id", "_radix_size", "_radix_text"]
-    found = equal_groups(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_radix_doc"),
-                                     docs[id_col].alias("_radix_doc_id")),
-                         "_radix_doc_id", f"_radix_doc.{text_col}", ["_radix_doc", "_radix_doc_id"])
-    found = (found.withColumnsRenamed(dict(zip(["keep_id", "group_size", "text_sha256"], own)))
-             .where(F.col("_radix_doc_id").eqNullSafe(F.col("_radix_keep_id"))))
-    alone = found.where("_radix_size = 1").select("_radix_doc.*")
+    # Columns by place, so that none clashes with those of the groups.
+    names = [f"_radix_c{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, names))
+    found = equal_groups(docs.toDF(*names), at[id_col], at[text_col], names)
+    found = found.where(F.col(at[id_col]).eqNullSafe(F.col("keep_id")))
+    back = [F.col(n).alias(c) for n, c in zip(names, docs.columns)]
     # Rows left in a group share id and text; one of them stays.
-    rest = found.where("_radix_size > 1").dropDuplicates(["_radix_doc_id", "_radix_text"]).select("_radix_doc.*")
-    return alone.unionAll(rest)
+    rest = found.where("group_size > 1").dropDuplicates([at[id_col], "text_sha256"]).select(*back)
+    return found.where("group_size = 1").select(*back).unionAll(rest)

@@ -19,7 +19,7 @@ result. Text of any length is read whole.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -186,23 +186,25 @@ def _predict(model: Model | None, column: pa.Array) -> tuple[list[str], np.ndarr
     return langs, score, known & (score >= model.threshold)
 
 
-def predictor(model: Model | None, inside: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """First column: the carried struct; the text is its field number `inside`, or else the second column."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            langs, score, accepted = _predict(model, b.column(1) if inside is None else b.column(0).field(inside))
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(score, pa.float64()),
-                                              pa.array(accepted, pa.bool_()), b.column(0)],
-                                             names=["lang_pred", "score", "accepted", "row"])
+PREDICTION = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           T.StructField("accepted", T.BooleanType())])
 
-    return run
+
+def predictor(model: Model | None):
+    """A column of texts to a column of predictions; the rows themselves stay in the JVM."""
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            langs, score, accepted = _predict(model, column)
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(accepted, pa.bool_())],
+                                             names=PREDICTION.names)
+            w.give_back()
+
+    # Not to be evaluated again where a filter on its result is pushed down.
+    return F.arrow_udf(run, PREDICTION).asNondeterministic()
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", carried: list[str] | None = None) -> DataFrame:
     """Columns lang_pred, score, accepted and `row`, a struct of the carried columns (default: all)."""
     carried = docs.columns if carried is None else carried
-    inside = carried.index(text_col) if text_col in carried else None
-    plain = docs.select(F.struct(*[docs[c] for c in carried]).alias("row"), *([docs[text_col].alias("text")] if inside is None else []))
-    schema = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-                           T.StructField("accepted", T.BooleanType()), plain.schema["row"]])
-    return plain.mapInArrow(predictor(model, inside), schema)
+    return docs.select(predictor(model)(docs[text_col]).alias("found"), F.struct(*[docs[c] for c in carried]).alias("row")).select(
+        "found.*", "row")

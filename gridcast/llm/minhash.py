@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from gridcast.llm import words as w
 from gridcast.llm.components import components
@@ -109,12 +109,16 @@ def _signatures(size: int, permutations: int, band_rows: int):
     return run
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        nodes = [xxhash.xxh3_128_digest(h[a:z].tobytes()) if z > a else None
-                 for h, first in _parts(b.column(1)) for a, z in zip(first[:-1], first[1:])]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.binary())],
-                                         names=["id", "text", "node"])
+def _nodes(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for column in columns:
+        yield pa.array([xxhash.xxh3_128_digest(h[a:z].tobytes()) if z > a else None
+                        for h, first in _parts(column) for a, z in zip(first[:-1], first[1:])], pa.binary())
+        w.give_back()
+
+
+def node_of(text: Column) -> Column:
+    """Digest of the word sequence of a text, null without words. Only the text goes to the Python worker."""
+    return F.arrow_udf(_nodes, T.BinaryType()).asNondeterministic()(text)
 
 
 def _confirm(size: int, percent: int):
@@ -206,7 +210,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         # One text of every class that shares a bucket: a row of its smallest id.
         wanted = weights.select("c").join(classes.select("c", "node", F.xxhash64("id").alias("h")).hint("merge"), "c")
-        found = plain.mapInArrow(_nodes, f"id {kind}, text string, node binary").withColumn("h", F.xxhash64("id")).join(
+        found = plain.withColumn("node", node_of(F.col("text"))).withColumn("h", F.xxhash64("id")).join(
             stage(wanted, "wanted").hint("merge"), ["node", "h"])
         texts = stage(found.groupBy("node", "h").agg(F.any_value("c").alias("c"), F.any_value("text").alias("text"))
                       .select("c", "text"), "texts")
@@ -240,15 +244,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of every group (that with the smallest id), with the columns of `docs`."""
     wide = docs.select(docs[id_col].alias("id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    text_at = docs.columns.index(text_col)
-
-    def with_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text = pa.RecordBatch.from_arrays([b.column(0), b.column(1).field(text_at)], names=["id", "text"])
-            yield pa.RecordBatch.from_arrays([b.column(0), next(_nodes(iter([text]))).column(2), b.column(1)], names=["id", "node", "row"])
-
-    schema = T.StructType([wide.schema["id"], T.StructField("node", T.BinaryType()), wide.schema["row"]])
-    rows = wide.mapInArrow(with_node, schema).withColumn("h", F.xxhash64("id"))
+    rows = wide.select("id", node_of(F.col("row").getField(text_col)).alias("node"), "row").withColumn("h", F.xxhash64("id"))
     with passing(docs.sparkSession) as used:
         groups = near_groups(docs, id_col, text_col)
         stays = (groups.where("node IS NOT NULL").where(F.col("id").eqNullSafe(F.col("component_id")))

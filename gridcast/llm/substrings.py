@@ -7,11 +7,13 @@
    is paired with the holders of two of its seeds or of a run, never with all documents that share them: a passage in a
    third of all documents makes a few pairs per document.
 3. Chains. For a pair all shared seeds are matched, also those held by third documents. Matches are chained in
-   the order of both texts under a cost per skipped word of either text; the best predecessor is the maximum
-   over the matches at most MAX_GAP words back in both texts, so that passages farther apart are chains each.
-4. Alignment. A chain is aligned word by word: gaps between its seeds by edit distance, both ends outwards
-   while they agree within a few edits. Spans of at least `min_words` words and `identity` agreement are
-   passages of the document that an earlier document holds.
+   the order of both texts under a cost per skipped word of either text. A Fenwick tree over the places in the holder
+   gives the best predecessor among the matches at most MAX_GAP words back in both texts: matches enter as the sweep
+   over the document passes them and leave when they are out of reach, so a long chain hides none behind it.
+4. Alignment. A chain is aligned word by word: gaps between its seeds by longest common subsequences, both ends
+   outwards while they agree within a few edits. The longest stretch of at least `min_words` words and `identity`
+   agreement is a passage of the document that an earlier document holds; so is what is left of the chain on either
+   side of it, if it is as long and as equal.
 
 The smallest id keeps its copy of a passage; in the others it can be cut.
 
@@ -25,6 +27,7 @@ is left (documents without words stay).
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,15 +38,19 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from gridcast.llm import words as w
 from gridcast.llm.tables import passing, stage
 
-K = 8
-WINDOW = 16
-RUNS = (2, 4)
+K = 5
+WINDOW = 12
+RUNS = (3, 6)
 MIN_WORDS = 50
 IDENTITY = 0.8
 #: Words of either text between two seeds of a chain, and beyond its ends, at most.
 MAX_GAP = 40
-#: Cost of a skipped word, against 1 for a word of a matched seed.
-GAP_COST = 0.2
+#: Words that a passage may go on beyond its outermost seeds without another one.
+REACH = 24
+#: Beyond the ends of a chain: edits in a row, and equal words after them (one more if the edits shift the texts).
+EDITS, AGREE = 8, 2
+#: Cost of a skipped word, against 1 for a word of a matched seed: a step over MAX_GAP words of both texts costs less than a seed is worth.
+GAP_COST = 0.06
 PART_BYTES = 1 << 20
 CHAINS_AT_ONCE = 64
 
@@ -85,31 +92,70 @@ def _seeds(k: int, window: int):
 
 # ---- chains
 
+class _Maxima:
+    """A Fenwick tree of (worth, match) over ranks 1..n: maxima over any range of ranks; entries come and go."""
+
+    NONE = (-1e18, -1)
+
+    def __init__(self, n: int) -> None:
+        self.n, self.own, self.tree = n, [self.NONE] * (n + 1), [self.NONE] * (n + 1)
+
+    def enter(self, rank: int, entry: tuple[float, int]) -> None:
+        self.own[rank] = entry
+        while rank <= self.n and self.tree[rank] < entry:
+            self.tree[rank] = entry
+            rank += rank & -rank
+
+    def leave(self, rank: int) -> None:
+        gone, self.own[rank] = self.own[rank], self.NONE
+        while rank <= self.n and self.tree[rank] == gone:
+            best, step = self.own[rank], 1
+            while step < rank & -rank:
+                best = max(best, self.tree[rank - step])
+                step <<= 1
+            self.tree[rank] = best
+            rank += rank & -rank
+
+    def best(self, low: int, high: int) -> tuple[float, int]:
+        out = self.NONE
+        while high >= low:
+            under = high - (high & -high)
+            if under + 1 >= low:
+                out, high = max(out, self.tree[high]), under
+            else:
+                out, high = max(out, self.own[high]), high - 1
+        return out
+
+
 def best_chains(x: list[int], y: list[int], k: int, gap_cost: float, max_gap: int) -> list[list[int]]:
     """Chains of matches (x[i], y[i]), x ascending: index lists with x and y ascending, best chain first.
 
     A chain is worth k for each match, less gap_cost for each word that a step goes on in x or y beyond k.
     The step cost is a difference of x + y, so the best predecessor of a match is the maximum of
-    value + gap_cost * (x + y) over the matches before it that lie within reach in both texts. Only those are
-    looked at: a long chain farther back hides none of them.
+    value + gap_cost * (x + y) over the matches before it that lie within reach in both texts: a range of ranks of y
+    in a Fenwick tree that holds the matches within reach in x.
     """
-    reach = max_gap + k
-    value, before, worth = [0.0] * len(x), [-1] * len(x), [0.0] * len(x)
-    first = 0  # the first match within reach in x
-    for j in range(len(x)):
-        while x[j] - x[first] > reach:
-            first += 1
-        best, at = -1e18, -1
-        for m in range(first, j):
-            if worth[m] >= best and 0 < y[j] - y[m] <= reach and x[m] < x[j]:
-                best, at = worth[m], m
-        gain = best - gap_cost * (x[j] + y[j] - 2 * k)
-        value[j] = float(k)
+    n, reach = len(x), max_gap + k
+    order = sorted(range(n), key=y.__getitem__)
+    places, rank = [y[i] for i in order], [0] * n
+    for r, i in enumerate(order, 1):
+        rank[i] = r
+    maxima = _Maxima(n)
+    value, before = [float(k)] * n, [-1] * n
+    entered = left = 0
+    for j in range(n):
+        while x[entered] < x[j]:
+            maxima.enter(rank[entered], (value[entered] + gap_cost * (x[entered] + y[entered]), entered))
+            entered += 1
+        while x[j] - x[left] > reach:
+            maxima.leave(rank[left])
+            left += 1
+        worth, at = maxima.best(bisect_left(places, y[j] - reach) + 1, bisect_left(places, y[j]))
+        gain = worth - gap_cost * (x[j] + y[j] - 2 * k)
         if at >= 0 and gain > 0:
             value[j], before[j] = k + gain, at
-        worth[j] = value[j] + gap_cost * (x[j] + y[j])
-    used, out = [False] * len(x), []
-    for m in sorted(range(len(x)), key=lambda m: -value[m]):
+    used, out = [False] * n, []
+    for m in sorted(range(n), key=lambda m: -value[m]):
         chain = []
         while m >= 0 and not used[m]:
             used[m] = True
@@ -188,54 +234,124 @@ def _windows(k: int, margin: int):
     return run
 
 
+Pairs = list[tuple[int, int]]
+
+
+def _lcs(a: list[bytes], b: list[bytes]) -> Pairs:
+    """Places of a longest common subsequence."""
+    low, high = 0, min(len(a), len(b))
+    while low < high and a[low] == b[low]:
+        low += 1
+    tail = 0
+    while tail < high - low and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    out = [(i, i) for i in range(low)]
+    mid_a, mid_b = a[low:len(a) - tail], b[low:len(b) - tail]
+    if mid_a and mid_b:
+        rows = [[0] * (len(mid_b) + 1)]
+        for u in mid_a:
+            last, row = rows[-1], [0]
+            for j, v in enumerate(mid_b):
+                row.append(last[j] + 1 if u == v else max(row[j], last[j + 1]))
+            rows.append(row)
+        i, j, back = len(mid_a), len(mid_b), []
+        while i and j:
+            if mid_a[i - 1] == mid_b[j - 1]:
+                i, j = i - 1, j - 1
+                back.append((low + i, low + j))
+            elif rows[i - 1][j] >= rows[i][j - 1]:
+                i -= 1
+            else:
+                j -= 1
+        out += back[::-1]
+    return out + [(len(a) - t, len(b) - t) for t in range(tail, 0, -1)]
+
+
 def _common(a: list[bytes], b: list[bytes]) -> int:
     """Words in the longest common subsequence."""
-    if a == b:
-        return len(a)
-    row = [0] * (len(b) + 1)
-    for u in a:
-        left = diagonal = 0
-        for j, v in enumerate(b, 1):
-            diagonal, left = row[j], diagonal + 1 if u == v else max(left, row[j])
-            row[j] = left
-    return row[-1]
-
-
-def _outwards(a: list[bytes], b: list[bytes], edits: int = 4, agree: int = 3) -> tuple[int, int, int]:
-    """How far a and b go on together: words of a, of b, and equal ones; past an edit `agree` words must agree."""
-    i = j = same = 0
+    return len(_lcs(a, b))
+
+
+def _agree(a: list[bytes], b: list[bytes], words: int) -> bool:
+    return len(a) >= words and a[:words] == b[:words]
+
+
+def _outwards(a: list[bytes], b: list[bytes], edits: int = EDITS, agree: int = AGREE) -> Pairs:
+    """Equal words as far as a and b go on together: past some edits a few words must agree again."""
+    i = j = 0
+    out = []
     while i < len(a) and j < len(b):
         if a[i] == b[j]:
-            i, j, same = i + 1, j + 1, same + 1
+            out.append((i, j))
+            i, j = i + 1, j + 1
             continue
-        for skip in range(1, edits + 1):
-            ahead = next(((u, skip - u) for u in range(skip + 1)
-                          if a[i + u:i + u + agree] == b[j + skip - u:j + skip - u + agree]
-                          and len(a[i + u:i + u + agree]) == agree), None)
-            if ahead:
-                break
-        else:
+        u, v = next(((u, skip - u) for skip in range(1, edits + 1) for u in range(skip + 1)
+                     if _agree(a[i + u:i + u + agree + 1], b[j + skip - u:j + skip - u + agree + 1], agree + (2 * u != skip))), (0, 0))
+        if not u + v:
             break
-        i, j = i + ahead[0], j + ahead[1]
-    return i, j, same
+        i, j = i + u, j + v
+    return out
 
 
-def align(a: list[bytes], b: list[bytes], x: list[int], y: list[int], k: int) -> tuple[int, int, int, int, int] | None:
-    """Span of a, span of b and number of equal words along a chain of equal k-mers (x, y)."""
+def matched(a: list[bytes], b: list[bytes], x: list[int], y: list[int], k: int) -> Pairs | None:
+    """Places of the equal words along a chain of equal k-mers (x, y), ascending in both; None if a k-mer is not equal."""
     if a[x[0]:x[0] + k] != b[y[0]:y[0] + k] or len(a[x[0]:x[0] + k]) < k:
         return None
-    i, j, same = x[0] + k, y[0] + k, k
+    out = [(x[0] + t, y[0] + t) for t in range(k)]
+    i, j = x[0] + k, y[0] + k
     for u, v in zip(x[1:], y[1:]):
         if a[u:u + k] != b[v:v + k] or len(a[u:u + k]) < k:
             return None
         inside = max(0, i - u, j - v)  # words of this k-mer that the last one has covered
         u2, v2 = u + inside, v + inside
         if inside < k:
-            same += _common(a[i:u2], b[j:v2]) + k - inside
+            if i < u2 and j < v2:
+                out += [(i + p, j + q) for p, q in _lcs(a[i:u2], b[j:v2])]
+            out += [(u + t, v + t) for t in range(inside, k)]
             i, j = u + k, v + k
-    more = _outwards(a[i:], b[j:])
-    less = _outwards(a[:x[0]][::-1], b[:y[0]][::-1])
-    return x[0] - less[0], i + more[0], y[0] - less[1], j + more[1], same + more[2] + less[2]
+    before = _outwards(a[:x[0]][::-1], b[:y[0]][::-1])
+    return ([(x[0] - 1 - p, y[0] - 1 - q) for p, q in reversed(before)] + out
+            + [(i + p, j + q) for p, q in _outwards(a[i:], b[j:])])
+
+
+def align(a: list[bytes], b: list[bytes], x: list[int], y: list[int], k: int) -> tuple[int, int, int, int, int] | None:
+    """Span of a, span of b and number of equal words along a chain of equal k-mers (x, y)."""
+    pairs = matched(a, b, x, y, k)
+    return pairs and _span(pairs)
+
+
+def _span(pairs: Pairs) -> tuple[int, int, int, int, int]:
+    return pairs[0][0], pairs[-1][0] + 1, pairs[0][1], pairs[-1][1] + 1, len(pairs)
+
+
+def passages(pairs: Pairs, min_words: int, identity: float) -> Iterator[tuple[int, int, int, int, int]]:
+    """The longest stretch of equal words that spans min_words words and of which the share `identity` is equal, and
+    likewise in what is left before and behind it."""
+    rest = [pairs]
+    while rest:
+        some = rest.pop()
+        if len(some) < identity * min_words or some[-1][0] + 1 - some[0][0] < min_words:
+            continue
+        x0, x1, y0, y1, same = _span(some)
+        if same >= identity * max(x1 - x0, y1 - y0):
+            yield x0, x1, y0, y1, same
+            continue
+        at = np.array(some)
+        # A stretch from p to q is equal enough if score[q] >= score[p] - (1 - identity): every word counts, the
+        # skipped ones of the text that skips more.
+        steps = 1 - identity * np.diff(at, axis=0).max(1)
+        score = np.concatenate([[0.0], np.cumsum(steps)])
+        lowest = np.minimum.accumulate(score)
+        first = np.searchsorted(-lowest, -(score + (1 - identity) + 1e-9))
+        length = at[:, 0] - at[first, 0]
+        q = int(length.argmax())
+        p = int(first[q])
+        x0, x1, y0, y1, same = _span(some[p:q + 1])
+        if x1 - x0 < min_words:
+            continue
+        if same >= identity * max(x1 - x0, y1 - y0):
+            yield x0, x1, y0, y1, same
+        rest += [some[:p], some[q + 1:]]
 
 
 def _aligned(k: int, min_words: int, identity: float, margin: int):
@@ -247,12 +363,9 @@ def _aligned(k: int, min_words: int, identity: float, margin: int):
                 words = _split(text.as_py())
                 for c in chains.as_py():
                     start = max(0, c["y"][0] - margin)
-                    got = align(c["words"].split(b" "), words[start:c["y"][-1] + k + margin],
-                                [v - c["begin"] for v in c["x"]], [v - start for v in c["y"]], k)
-                    if got is None:
-                        continue
-                    x0, x1, y0, y1, same = got
-                    if x1 - x0 >= min_words and same >= identity * max(x1 - x0, y1 - y0):
+                    pairs = matched(c["words"].split(b" "), words[start:c["y"][-1] + k + margin],
+                                    [v - c["begin"] for v in c["x"]], [v - start for v in c["y"]], k)
+                    for x0, x1, y0, y1, same in passages(pairs or [], min_words, identity):
                         cells = (c["doc"], r, x0 + c["begin"], x1 + c["begin"], y0 + start, y1 + start, same)
                         for column, cell in zip(out, cells):
                             column.append(cell)
@@ -260,6 +373,7 @@ def _aligned(k: int, min_words: int, identity: float, margin: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[0], b.column(0).type), b.column(0).take(pa.array(out[1], pa.int32())), *[pa.array(c, pa.int32()) for c in out[2:]]],
                     names=["doc", "holder", *SPAN])
+            w.give_back()
 
     return run
 
@@ -297,7 +411,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
         pairs = (stage(partners, "partners").join(shared.drop("holders").hint("merge"), "doc")
                  .join(shared.select(F.col("doc").alias("holder"), F.col("at").alias("their_at"), F.col("seeds").alias("theirs")).hint("merge"), "holder"))
         chains = stage(pairs.select("doc", "holder", "at", "seeds", "their_at", "theirs").mapInArrow(
-            _chain(k, window + k, min_words, gap_cost, max_gap), f"doc {kind}, holder {kind}, x array<int>, y array<int>"), "chains")
+            _chain(k, REACH, min_words, gap_cost, max_gap), f"doc {kind}, holder {kind}, x array<int>, y array<int>"), "chains")
 
         # Texts are joined to the chains of a document, and to parts of the chains of a holder: a text is never
         # repeated for each chain, and no row holds more than about CHAINS_AT_ONCE chains of a holder.
@@ -305,7 +419,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
         used.keep(chains, parts)
     dealt = chains.join(parts.hint("merge"), "holder").select(
         "doc", F.struct("holder", F.pmod(F.xxhash64("doc"), "parts").alias("part"), "x", "y").alias("chain"))
-    margin = window + k + MAX_GAP
+    margin = REACH + MAX_GAP
     # Both joins read one shuffle of the texts by id.
     ours = dealt.groupBy("doc").agg(F.collect_list("chain").alias("chains")).join(plain.hint("merge"), "doc")
     ours = ours.select("doc", "chains", "text").mapInArrow(

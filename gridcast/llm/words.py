@@ -6,6 +6,8 @@ letter changes. A hash is 64 bits of the word's bytes and the same in every proc
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -93,3 +95,11 @@ def slices(offsets: np.ndarray, limit: int) -> list[tuple[int, int]]:
         out.append((low, high))
         low = high
     return out
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between stages and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)

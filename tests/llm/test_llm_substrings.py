@@ -119,3 +119,87 @@ def test_alignment():
     assert substrings.align(a, b, [10, 40], [10, 41], 8) == (0, 100, 0, 99, 98)
     assert substrings.align(a, a[::-1], [10], [10], 8) is None
     assert substrings._common([b"a", b"b", b"c"], [b"a", b"c"]) == 2
+
+
+def test_maxima_of_ranges_while_entries_come_and_go():
+    rng = random.Random(3)
+    for n in (1, 2, 7, 40):
+        maxima, own = substrings._Maxima(n), {}
+        for step in range(300):
+            rank = rng.randrange(1, n + 1)
+            if rank in own:
+                maxima.leave(rank)
+                del own[rank]
+            else:
+                own[rank] = (rng.randrange(5) / 2, step)
+                maxima.enter(rank, own[rank])
+            low, high = rng.randrange(1, n + 1), rng.randrange(0, n + 1)
+            assert maxima.best(low, high) == max([v for r, v in own.items() if low <= r <= high], default=maxima.NONE)
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_common_words_equal_the_plain_table(seed):
+    rng = random.Random(seed)
+    a, b = ([rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(rng.randrange(25))] for _ in range(2))
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, u in enumerate(a, 1):
+        for j, v in enumerate(b, 1):
+            table[i][j] = table[i - 1][j - 1] + 1 if u == v else max(table[i - 1][j], table[i][j - 1])
+    pairs = substrings._lcs(a, b)
+    assert len(pairs) == table[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+    assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_longest_equal_stretch_equals_search(seed):
+    rng = random.Random(seed)
+    pairs, i, j = [], 0, 0
+    for _ in range(rng.randrange(20, 90)):
+        i, j = i + rng.choice([1, 1, 1, 1, 2, rng.randrange(1, 9)]), j + rng.choice([1, 1, 1, 1, 2, rng.randrange(1, 9)])
+        pairs.append((i, j))
+
+    def enough(p, q):
+        words = 1 + sum(max(b[0] - a[0], b[1] - a[1]) for a, b in zip(pairs[p:q], pairs[p + 1:q + 1]))
+        return q - p + 1 >= 0.8 * words - 1e-9
+
+    best = max([pairs[q][0] - pairs[p][0] + 1 for p in range(len(pairs)) for q in range(p, len(pairs)) if enough(p, q)])
+    found = list(substrings.passages(pairs, 10, 0.8))
+    whole = len(pairs) >= 0.8 * max(pairs[-1][0] - pairs[0][0], pairs[-1][1] - pairs[0][1]) + 0.8
+    if whole:
+        assert [f[:2] for f in found] == [(pairs[0][0], pairs[-1][0] + 1)]
+    else:
+        assert max([f[1] - f[0] for f in found], default=0) == (best if best >= 10 else 0)
+    spans = sorted(f[:2] for f in found)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert all(f[4] >= 0.8 * max(f[1] - f[0], f[3] - f[2]) - 1e-9 and f[1] - f[0] >= 10 for f in found)
+
+
+def test_parts_of_a_chain_that_fails_as_a_whole(spark):
+    """Quoted passages with other words between them, at most as many as a chain may step over."""
+    rng = random.Random(6)
+    quotes = [sentence(rng, 55, 10**6) for _ in range(4)]
+    rows = [(i, " ".join(f"{sentence(rng, 36, 10**6)} {q}" for q in quotes)) for i in range(2)]
+    spans = sorted((s.start_word, s.end_word) for s in substrings.repeats(documents(spark, rows), max_gap=40).collect())
+    covered = {w for a, b in spans for w in range(a, b)}
+    for n in range(4):
+        start = 36 + n * 91
+        assert set(range(start, start + 55)) <= covered
+
+
+@pytest.mark.parametrize("share, words, least", [(0.0, 60, 1.0), (0.05, 60, 0.95), (0.1, 60, 0.9), (0.1, 200, 0.97), (0.15, 100, 0.85)])
+def test_recall_of_edited_passages(spark, share, words, least):
+    """Documents that hold one planted passage, random words of it replaced; a passage counts if it is still 80 % equal
+    over 50 words by a plain search."""
+    rng = random.Random(int(100 * share) + words)
+    rows, due = [], set()
+    for n in range(80):
+        own = sentence(rng, words, 10**6).split()
+        copy = [f"e{rng.randrange(10**6)}" if rng.random() < share else x for x in own]
+        rows += [(n, f"{sentence(rng, 60, 10**6)} {' '.join(own)} {sentence(rng, 60, 10**6)}"),
+                 (1000 + n, f"{sentence(rng, 70, 10**6)} {' '.join(copy)} {sentence(rng, 40, 10**6)}")]
+        same = [x == y for x, y in zip(own, copy)]
+        if any(sum(same[p:q]) >= 0.8 * (q - p) and same[p] and same[q - 1] for p in range(words) for q in range(p + 50, words + 1)):
+            due.add((1000 + n, n))
+    found = {(s.doc, s.holder) for s in substrings.repeats(documents(spark, rows)).collect()}
+    print(share, words, len(due), len(found & due) / len(due))
+    assert len(found & due) >= least * len(due) and {d for d, _ in found} <= {1000 + n for n in range(80)}
