@@ -1,8 +1,12 @@
 """Corpus pipeline: from `documents` to packed training sequences.
 
-Each stage takes what its predecessor kept, written as Parquet in between; a stage's intermediate tables go
-when the next one begins. All but the last return the columns
-of `documents`; the last returns the pieces of documents with their token ids and places in sequences.
+Each stage takes what its predecessor kept, written as Parquet in between. All but the last return the columns of
+`documents`, whatever further ones there are; the last returns the pieces of documents with their token ids and places
+in sequences. `run` deletes the tables that a stage wrote on its way as soon as its result is written.
+
+Defined cases, the same at every stage: an empty table gives an empty result, texts of any length are read whole, and
+a null in any other column is carried along. What each stage does with null and empty texts, null ids, ties and
+repeated rows is said there.
 """
 
 from __future__ import annotations
@@ -13,57 +17,56 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridcast.llm import exact_dedup, language, minhash, packing, substrings
-from gridcast.llm.tables import Passing, passing, stage, table
+from gridcast.llm.tables import passing, stage, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; without a letter, or below the calibrated score, they go."""
+    """Documents whose language is recognised.
+
+    Null and empty texts, texts without a letter and those below the calibrated score go. Repeated rows are judged
+    alike, null ids like others. Null labels are not learnt from; if there is no label at all there is no model to
+    judge by, and every document stays."""
     model = language.train(docs.where(language.learnable()))
-    return language.identify(docs, model).where("accepted").select("row.*")
+    return docs if model is None else language.identify(docs, model).where("accepted").select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of every group of equal texts: the row with the largest doc_id."""
+    """One of every group of equal texts: the row with the largest doc_id.
+
+    Null and empty texts are equal. A null id is smaller than any other. Of rows that share id and text one stays."""
     return exact_dedup.deduplicated(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of every group of near copies: the row with the smallest doc_id."""
+    """One of every group of near copies: the row with the smallest doc_id.
+
+    Texts without words are no copies of one another, each stays. A group's null ids go if it has another id; of rows
+    that share the smallest id, and of a group with null ids only, one stays."""
     return minhash.deduplicated(docs)
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that an earlier document holds."""
+    """Texts without the passages that a document with a smaller id holds.
+
+    Null, empty and short texts and rows with null ids stay as they are; rows of one id are no repeats of each other.
+    Documents of which no word is left go."""
     return substrings.without_repeats(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 tokens."""
+    """Pieces of documents in sequences of at most 2048 tokens.
+
+    A null or empty text is its closing id alone. Every row is packed, repeated ones too; equal curve keys follow one
+    another by id, null ids first."""
     return packing.pack(docs, TOKENIZER)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-_READ: list[Passing] = []
-
-
-def _clearing(step: Stage) -> Stage:
-    """A stage that first deletes the intermediate tables of the stage before: its result has been written."""
-    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _READ:
-            _READ.pop().delete()
-        with passing(spark, keep_all=True) as tables:
-            out = step(spark, docs, sf_dir)
-        _READ.append(tables)
-        return out
-
-    return run_step
-
-
-STAGES: list[tuple[str, Stage]] = [(name, _clearing(step)) for name, step in (
-    ("language_id", language_id), ("exact_dedup", exact), ("minhash_dedup", near), ("substring_dedup", substring), ("packing", pack))]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id), ("exact_dedup", exact), ("minhash_dedup", near), ("substring_dedup", substring), ("packing", pack)]
 
 #: A trained model and fuzzy alignment take part; tests hold the stages against plain versions.
 ORACLE_SQL = None
@@ -71,6 +74,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+    with passing(spark) as results:
+        for name, step in STAGES:
+            with passing(spark) as used:
+                docs = stage(step(spark, docs, sf_dir), name)
+                used.keep(docs)
+        results.keep(docs)
     return docs
