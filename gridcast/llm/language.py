@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gridcast.llm import words as w
+from gridcast.llm.tables import bounded_batches
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 3200
@@ -205,6 +206,7 @@ def predictor(model: Model | None):
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", carried: list[str] | None = None) -> DataFrame:
     """Columns lang_pred, score, accepted and `row`, a struct of the carried columns (default: all)."""
+    bounded_batches(docs.sparkSession)
     carried = docs.columns if carried is None else carried
     return docs.select(predictor(model)(docs[text_col]).alias("found"), F.struct(*[docs[c] for c in carried]).alias("row")).select(
         "found.*", "row")

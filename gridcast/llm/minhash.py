@@ -106,7 +106,7 @@ def _signatures(size: int, permutations: int, band_rows: int):
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel()))],
                 names=["id", "n_shingles", "node", "bands"])
 
-    return run
+    return w.lean(run)
 
 
 def _nodes(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -133,7 +133,7 @@ def _confirm(size: int, percent: int):
                 keep.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return w.lean(run)
 
 
 def _shingles(size: int):
@@ -150,7 +150,7 @@ def _shingles(size: int):
                      pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))], names=["c", "n", "shingle"])
                 low += len(sets)
 
-    return run
+    return w.lean(run)
 
 
 def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:

@@ -133,7 +133,7 @@ def _tokenised(path: str, closing: int):
                 [b.column(0), pa.array([part] * n, pa.int32()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
                  pa.array(rows, pa.binary())], names=["id", "part", "at", "tokens", "ids"])
 
-    return run
+    return w.lean(run)
 
 
 def _pieces(length: int, with_ids: bool):
@@ -155,7 +155,7 @@ def _pieces(length: int, with_ids: bool):
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(out[0], pa.int64())), *[pa.array(c, pa.int64()) for c in out[1:7]],
                                               *[pa.array(c, pa.binary()) for c in out[7:]]], names=names)
 
-    return run
+    return w.lean(run)
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -164,7 +164,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     doc_tokens, sequence_id, offset (in the sequence) and, with_ids, ids (little-endian 32-bit)."""
     plain = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = plain.schema["id"].dataType.simpleString()
-    ordered = (plain.mapInArrow(_keyed, f"id {kind}, text string, key long")
+    ordered = (plain.mapInArrow(w.lean(_keyed), f"id {kind}, text string, key long")
                .repartitionByRange(spread(docs.sparkSession), "key", "id").sortWithinPartitions("key", "id"))
     tokens = stage(ordered.select("id", "text").mapInArrow(
         _tokenised(path, closing), f"id {kind}, part int, at long, tokens long, ids binary"), "tokens")

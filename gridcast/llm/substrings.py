@@ -87,7 +87,7 @@ def _seeds(k: int, window: int):
                     [pa.array(np.concatenate(found).view(np.int64)), ids.take(pa.array(np.concatenate(rows))),
                      pa.array(np.concatenate(at).astype(np.int32))], names=["seed", "doc", "at"])
 
-    return run
+    return w.lean(run)
 
 
 # ---- chains
@@ -204,7 +204,7 @@ def _chain(k: int, reach: int, min_words: int, gap_cost: float, max_gap: int):
                     [b.column(0).take(some), b.column(1).take(some), pa.array([c[0] for c in chains], pa.list_(pa.int32())),
                      pa.array([c[1] for c in chains], pa.list_(pa.int32()))], names=["doc", "holder", "x", "y"])
 
-    return run
+    return w.lean(run)
 
 
 # ---- alignment
@@ -231,7 +231,7 @@ def _windows(k: int, margin: int):
                      pa.array(x, pa.list_(pa.int32())), pa.array(y, pa.list_(pa.int32())), pa.array(parts, pa.binary()), pa.array(begins, pa.int32())],
                     names=["doc", "holder", "part", "x", "y", "words", "begin"])
 
-    return run
+    return w.lean(run)
 
 
 Pairs = list[tuple[int, int]]
@@ -373,9 +373,8 @@ def _aligned(k: int, min_words: int, identity: float, margin: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[0], b.column(0).type), b.column(0).take(pa.array(out[1], pa.int32())), *[pa.array(c, pa.int32()) for c in out[2:]]],
                     names=["doc", "holder", *SPAN])
-            w.give_back()
 
-    return run
+    return w.lean(run)
 
 
 SPAN = ["start_word", "end_word", "holder_start", "holder_end", "equal_words"]
@@ -467,7 +466,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wide = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     joined = wide.join(spans.hint("merge"), "doc", "left").select("text", "spans", "row")
     schema = T.StructType([wide.schema["text"], wide.schema["row"]])
-    cut = joined.mapInArrow(_cut, schema)
+    cut = joined.mapInArrow(w.lean(_cut), schema)
     return cut.select(*[
         F.col("text").alias(c) if c == text_col
         else F.length("text").cast(docs.schema[c].dataType).alias(c) if c == size_col

@@ -9,7 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridcast.session import scratch_path
 
-__all__ = ["Passing", "passing", "spread", "stage", "table"]
+__all__ = ["Passing", "bounded_batches", "passing", "spread", "stage", "table"]
+
+
+#: Bytes of an Arrow batch between Spark and a Python worker. Rows are counted by themselves, so that batches of long
+#: texts stay as small as those of short ones; a single longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes (runtime setting; a smaller one stays)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
 
 
 class Passing:
@@ -29,6 +42,13 @@ class Passing:
         kept = [t for t in self._tables if any(t[1] is k for k in self._kept)]
         return kept, [t for t in self._tables if not any(t is k for k in kept)]
 
+    def read_by(self, df: DataFrame) -> bool:
+        """Whether the DataFrame reads one of them."""
+        return any(path.rsplit("/", 1)[1] in file for file in df.inputFiles() for path, _ in self._tables)
+
+    def of(self, spark: SparkSession) -> bool:
+        return self._spark is spark
+
     def delete(self, tables: list | None = None) -> None:
         for path, _ in self._tables if tables is None else tables:
             where = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -59,6 +79,7 @@ def passing(spark: SparkSession, keep_all: bool = False) -> Iterator[Passing]:
 def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write `df` to the shared scratch folder and read it back: lineage ends here, and lost executors cost nothing."""
     path = scratch_path(df.sparkSession, name)
+    bounded_batches(df.sparkSession)
     df.write.options(**options).parquet(path)
     read = df.sparkSession.read.schema(df.schema).parquet(path)
     if _OPEN:
@@ -67,6 +88,7 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

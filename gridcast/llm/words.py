@@ -97,6 +97,17 @@ def slices(offsets: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return out
 
 
+def lean(run):
+    """A function over batches that gives its freed memory back after each of them."""
+    def wrapped(batches):
+        for out in run(batches):
+            yield out
+            del out
+            give_back()
+
+    return wrapped
+
+
 def give_back() -> None:
     """Return freed memory to the system: workers live on between stages and share an executor's memory."""
     pa.default_memory_pool().release_unused()

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry_points
 from gridcast.llm import exact_dedup, queries
 from gridcast.llm.tables import table
+from gridcast.session import scratch_root
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -153,6 +154,17 @@ def test_stages_take_empty_documents(spark):
         assert out.collect() == []
 
 
+def test_stages_can_be_chained_unwritten_and_run_leaves_its_result_only(spark):
+    docs = table(spark, SF_DIR, "documents")
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        docs = step(spark, docs, SF_DIR)
+    chained = {r.doc_id for r in docs.select("doc_id").collect()}
+    before = set(os.listdir(scratch_root(spark)))
+    packed = entry_points.queries()["pipeline"](spark, SF_DIR)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == chained
+    assert len(set(os.listdir(scratch_root(spark))) - before) == 1
+
+
 def test_exact_dedup_reads_whole_texts(spark):
     docs = table(spark, SF_DIR, "documents")
     assert exact_dedup.equal_groups(docs, carried=["doc_id"]).count() == docs.count()
