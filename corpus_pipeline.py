@@ -2,7 +2,8 @@
 
 Each stage takes what its predecessor kept, written as Parquet in between. All but the last return the columns of
 `documents`, whatever further ones there are; the last returns the pieces of documents with their token ids and places
-in sequences. `run` deletes the tables that a stage wrote on its way as soon as its result is written.
+in sequences. A stage's result reads tables that the stage wrote on its way; they go when a later stage is given
+documents that are read from elsewhere, as then the result has been written. Stages may also be chained unwritten.
 
 Defined cases, the same at every stage: an empty table gives an empty result, texts of any length are read whole, and
 a null in any other column is carried along. What each stage does with null and empty texts, null ids, ties and
@@ -17,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridcast.llm import exact_dedup, language, minhash, packing, substrings
-from gridcast.llm.tables import passing, stage, table
+from gridcast.llm.tables import Passing, passing, stage, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -65,19 +66,45 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = [
-    ("language_id", language_id), ("exact_dedup", exact), ("minhash_dedup", near), ("substring_dedup", substring), ("packing", pack)]
+_LEFT: list[Passing] = []
+
+
+def _tidy(spark: SparkSession, docs: DataFrame) -> None:
+    """Delete the tables of earlier stages, unless `docs` still reads them."""
+    left, _LEFT[:] = [t for t in _LEFT if t.of(spark)], []
+    for tables in left:
+        if tables.read_by(docs):
+            _LEFT.append(tables)
+        else:
+            tables.delete()
+
+
+def _tidied(step: Stage) -> Stage:
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _tidy(spark, docs)
+        with passing(spark, keep_all=True) as tables:
+            out = step(spark, docs, sf_dir)
+        _LEFT.append(tables)
+        return out
+
+    run_step.__doc__ = step.__doc__
+    return run_step
+
+
+STAGES: list[tuple[str, Stage]] = [(name, _tidied(step)) for name, step in (
+    ("language_id", language_id), ("exact_dedup", exact), ("minhash_dedup", near), ("substring_dedup", substring), ("packing", pack))]
 
 #: A trained model and fuzzy alignment take part; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    with passing(spark) as results:
-        for name, step in STAGES:
-            with passing(spark) as used:
-                docs = stage(step(spark, docs, sf_dir), name)
-                used.keep(docs)
-        results.keep(docs)
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, step in STAGES:
+        with passing(spark, keep_all=True) as result:
+            docs = stage(step(spark, docs, sf_dir), name)
+        if before:
+            before.delete()
+        before = result
+    _tidy(spark, docs)
     return docs
