@@ -1,0 +1,132 @@
+"""Boosted trees against plain versions that search all rows."""
+
+import numpy as np
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier, OneVsRest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from gridcast.plans import boosting
+from gridcast.plans.boosting import Boosting
+from gridcast.session import scratch_path
+
+FEATURES = ["a", "b", "c"]
+
+
+def made(spark, n, seed, classes=None):
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 12, (n, 3)).astype(float)
+    y = x[:, 0] * 3 + np.where(x[:, 1] > 5, 20, 0) * (x[:, 2] > 3) + rng.normal(0, 1, n)
+    if classes:
+        y = np.clip((y // (60 / classes)).astype(int), 0, classes - 1) + 1
+    rows = [(*map(float, r), float(v) if not classes else int(v)) for r, v in zip(x, y)]
+    return spark.createDataFrame(rows, f"a double, b double, c double, y {'int' if classes else 'double'}").repartition(3), x, y.astype(float)
+
+
+class PlainTree:
+    """Best-first (or, without a limit of leaves, complete) growth; every split is searched over all rows."""
+
+    def __init__(self, x, g, h, s):
+        self.x, self.g, self.h, self.s, self.leaves, self.splits = x, g, h, s, [], []
+        frontier = [self.node(np.arange(len(x)), 0)]
+        while frontier:
+            frontier.sort(key=lambda n: -n["gain"])
+            node = frontier.pop(0)
+            if node["gain"] <= 1e-9 or (s.leaves and len(self.splits) == s.leaves - 1):
+                self.leaves.append(node["rows"])
+                continue
+            self.splits.append((node["f"], node["cut"]))
+            low = x[node["rows"], node["f"]] <= node["cut"]
+            frontier += [self.node(node["rows"][low], node["depth"] + 1), self.node(node["rows"][~low], node["depth"] + 1)]
+
+    def score(self, rows):
+        under = self.h[rows].sum() + self.s.l2 if self.s.gain == "newton" else len(rows)
+        return self.g[rows].sum() ** 2 / max(under, 1e-12)
+
+    def node(self, rows, depth):
+        best = {"gain": -1.0, "rows": rows, "depth": depth}
+        if depth < self.s.depth:
+            for f in range(self.x.shape[1]):
+                for cut in np.unique(self.x[rows, f])[:-1]:
+                    low = self.x[rows, f] <= cut
+                    parts = rows[low], rows[~low]
+                    if min(map(len, parts)) < self.s.min_rows or min(self.h[p].sum() for p in parts) < self.s.min_hessian:
+                        continue
+                    gain = sum(map(self.score, parts)) - self.score(rows)
+                    if gain > best["gain"] + 1e-9:
+                        best.update(gain=gain, f=f, cut=cut)
+        return best
+
+    def values(self):
+        out = np.zeros(len(self.x))
+        for rows in self.leaves:
+            out[rows] = self.s.step * self.g[rows].sum() / max(self.h[rows].sum() + self.s.l2, 1e-12)
+        return out
+
+
+def predicted(model, df, column):
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
+    return {(r.a, r.b, r.c): r[column] for r in model.transform(rows).select(*FEATURES, column).collect()}
+
+
+@pytest.mark.parametrize("s", [
+    Boosting(rounds=3, depth=3, step=0.5), Boosting(rounds=3, depth=4, step=0.5, min_rows=20),
+    Boosting(rounds=3, depth=5, leaves=6, step=0.5, min_rows=5, bins=255),
+    Boosting(rounds=3, depth=3, step=0.5, gain="newton", l2=1.0, min_hessian=10.0)])
+def test_regression_equals_the_plain_version(spark, s):
+    df, x, y = made(spark, 400, 1)
+    got = predicted(boosting.fit(df, FEATURES, "y", None, s), df, "prediction")
+    score = np.full(len(y), y.mean())
+    for _ in range(s.rounds):
+        score = score + PlainTree(x, y - score, np.ones(len(y)), s).values()
+    for row, want in zip(x, score):
+        assert got[tuple(row)] == pytest.approx(want, abs=1e-9)
+
+
+def test_softmax_equals_the_plain_version(spark):
+    s = Boosting(rounds=4, depth=3, step=0.5, gain="newton", l2=1.0)
+    df, x, y = made(spark, 300, 2, classes=3)
+    got = predicted(boosting.fit(df, FEATURES, "y", [1, 2, 3], s), df, "predicted")
+    score = np.zeros((len(y), 3))
+    for _ in range(s.rounds):
+        p = np.exp(score) / np.exp(score).sum(1, keepdims=True)
+        hot = (y[:, None] == [1, 2, 3]).astype(float)
+        score = score + np.stack([PlainTree(x, (hot - p)[:, k], (p * (1 - p))[:, k], s).values() for k in range(3)], 1)
+    for row, want in zip(x, score.argmax(1) + 1):
+        assert got[tuple(row)] == str(want)
+
+
+def test_softmax_is_as_good_as_one_against_the_rest(spark):
+    df, x, y = made(spark, 600, 3, classes=4)
+    train, test = df.limit(400), made(spark, 300, 4, classes=4)[0]
+    model = boosting.fit(train, FEATURES, "y", [1, 2, 3, 4], Boosting(rounds=10, depth=3, step=0.3))
+    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    right = model.transform(assembler.transform(test)).select(F.avg((F.col("predicted").cast("int") == F.col("y")).cast("double"))).first()[0]
+    rest = OneVsRest(classifier=GBTClassifier(maxIter=10, maxDepth=3, stepSize=0.3, seed=1), labelCol="label").fit(
+        assembler.transform(train).withColumn("label", F.col("y") - 1.0))
+    theirs = rest.transform(assembler.transform(test)).select(F.avg((F.col("prediction") + 1 == F.col("y")).cast("double"))).first()[0]
+    assert right >= theirs - 0.02 and right > 0.8
+
+
+def test_weights_count_as_copies(spark):
+    df, _, _ = made(spark, 120, 5)
+    weighted = df.withColumn("w", F.when(F.col("a") > 6, 3).otherwise(1))
+    copies = weighted.select("*", F.explode(F.sequence(F.lit(1), "w"))).drop("col")
+    s = Boosting(rounds=3, depth=3, step=0.5)
+    one = predicted(boosting.fit(weighted, FEATURES, "y", None, s, "w"), df, "prediction")
+    two = predicted(boosting.fit(copies, FEATURES, "y", None, s), df, "prediction")
+    assert one == pytest.approx(two)
+
+
+def test_saved_models_answer_alike_and_constant_features_give_the_mean(spark):
+    df, _, _ = made(spark, 100, 6, classes=3)
+    model = PipelineModel([VectorAssembler(inputCols=FEATURES, outputCol="features"),
+                           boosting.fit(df, FEATURES, "y", [1, 2, 3], Boosting(rounds=3, depth=2))])
+    path = scratch_path(spark, "boosted")
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    assert again.transform(df).select("predicted").collect() == model.transform(df).select("predicted").collect()
+    flat = df.select(*[F.lit(1.0).alias(f) for f in FEATURES], F.col("y").cast("double").alias("y"))
+    got = predicted(boosting.fit(flat, FEATURES, "y", None, Boosting(rounds=2)), flat, "prediction")
+    assert list(got.values()) == [pytest.approx(flat.agg(F.avg("y")).first()[0])]
