@@ -4,11 +4,14 @@
    tags with their classes and ids, digits generalised to `#` (`body/div.post-#/article`). Parts that are never
    article text (menus, site headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) are
    recognised by tag, role or class and left out.
-2. The containers of a page are scored by the unlinked text of their blocks; a parent gets half of it. The
-   page votes for the path of its best container.
-3. Spark sums the votes per host and path. The path with most votes wins the host.
-4. Pages are read again: the text is that of all blocks under the host's path, or, on a page without that
-   path, under the page's own best container.
+   A class that only sounds like such a part (`social-history`, `related-content`) takes a container out if that
+   holds less than half of the page's unlinked text.
+2. A page votes for the path of its best container: from the body inwards, the container that still holds SHARE of
+   the unlinked text of the one around it; not into an article, nor past text that lies directly in a container.
+3. Spark sums the votes per host and path. The path with most votes wins the host, and so does, for hosts with
+   several templates, every path with REPEATED votes and LEAST_VOTES of the host's.
+4. Pages are read again: the text is that of all blocks under the host's paths, the first of them that holds a third of
+   what the page has under any of them; or, on a page that has text under none, under the page's own best container.
 
 Defined cases. Null, empty or textless html: empty text. Null url, or one without a host: the host is empty.
 Cut or badly nested pages: open elements end with their parents, or the page; a cut tag is dropped. Equal
@@ -24,7 +27,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridcast.llm.tables import stage
 
@@ -49,6 +52,12 @@ NOT_ARTICLE = frozenset("ad ads advert adverts advertisement adsense banner brea
                         "disqus footer gdpr login menu modal nav navbar navigation newsletter notice pager pagination popup promo promotion "
                         "recommended related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar "
                         "topbar widget widgets".split())
+#: Of these words, those that stories have in their class names too.
+SOFT = frozenset("ad banner notice promo promotion recommended related share sharing social sponsor sponsored widget widgets".split())
+#: Share of the text around it that a container needs to stand for it.
+SHARE = 0.7
+#: Votes, and share of the host's votes, of a host's further paths.
+REPEATED, LEAST_VOTES = 2, 0.05
 CONTAINERS = frozenset("article body center content dd div main section table tbody td th tr".split())
 
 
@@ -61,7 +70,22 @@ class _Page:
         self._stack: list[tuple[str, int, bool]] = []  # tag, container, left out
         self._text: list[str] = []
         self._linked, self._in_link, self._here, self._out = 0, False, 0, False
+        self._soft: list[int] = []
         self._read(text)
+        total = self._totals()
+        gone = [total[c] < total[0] / 2 if c in self._soft else False for c in range(len(self.paths))]
+        for c, parent in enumerate(self.parents):  # parents come first
+            gone[c] = gone[c] or parent >= 0 and gone[parent]
+        self.blocks = [b for b in self.blocks if not gone[b[2]]]
+
+    def _totals(self) -> list[int]:
+        """Unlinked characters in each container and all inside it."""
+        total = [0] * len(self.paths)
+        for _, size, container in self.blocks:
+            total[container] += size
+        for c in range(len(total) - 1, 0, -1):
+            total[self.parents[c]] += total[c]
+        return total
 
     def _end_block(self) -> None:
         if self._text:
@@ -99,15 +123,19 @@ class _Page:
         found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
         here = self._here
         names = [found[k] for k in ("class", "id") if found.get(k)]
+        out = self._left_out(tag, found, names)
         if tag in CONTAINERS and tag != "body":
             label = ".".join([tag, *sorted(re.sub(r"\d+", "#", n) for n in " ".join(names).split())])
             self.paths.append(f"{self.paths[here]}/{label}")
             self.parents.append(here)
             here = len(self.paths) - 1
-        self._stack.append((tag, here, self._out or self._left_out(tag, found, names)))
+            if out == "soft":
+                self._soft.append(here)
+                out = False
+        self._stack.append((tag, here, self._out or bool(out)))
         _, self._here, self._out = self._stack[-1]
 
-    def _left_out(self, tag: str, found: dict[str, str], names: list[str]) -> bool:
+    def _left_out(self, tag: str, found: dict[str, str], names: list[str]) -> bool | str:
         if tag in OUTSIDE or tag == "header" and not any(t in ("article", "main") for t, _, _ in self._stack):
             return True
         if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES or \
@@ -115,12 +143,14 @@ class _Page:
             return True
         if tag in ("html", "body", "article", "main"):
             return False
+        kinds: set[bool] = set()
         for name in " ".join(names).split():
             parts = [p.lower() for p in _WORDS.findall(name)]
-            if NOT_ARTICLE.intersection(parts) and parts[0] not in ("has", "with", "no", "without") or \
-                    "header" in parts and not any(t in ("article", "main") for t, _, _ in self._stack):
+            if (words := NOT_ARTICLE.intersection(parts)) and parts[0] not in ("has", "with", "no", "without"):
+                kinds.add(words <= SOFT and len(parts) > 1)
+            elif "header" in parts and not any(t in ("article", "main") for t, _, _ in self._stack):
                 return True
-        return False
+        return "soft" if kinds == {True} else bool(kinds)
 
     def _read(self, text: str) -> None:
         at = 0
@@ -155,22 +185,35 @@ class _Page:
         self._end_block()
 
     def best(self) -> tuple[int, float]:
-        """The container with the most unlinked text, a parent counting half of its child's own; -1 without text."""
-        scores: dict[int, float] = defaultdict(float)
-        for _, size, container in self.blocks:
-            scores[container] += size
-            if self.parents[container] >= 0:
-                scores[self.parents[container]] += size / 2
-        if not scores:
+        """The container that holds the article, and its unlinked text; -1 without text."""
+        if not self.blocks:
             return -1, 0.0
-        # article and main are what their names say.
-        weight = {c: s * (2 if re.search(r"/(article|main)[^/]*$", self.paths[c]) else 1) for c, s in scores.items()}
-        at = max(weight, key=lambda c: (weight[c], -c))
-        return at, weight[at]
+        total, children, own = self._totals(), defaultdict(list), defaultdict(int)
+        for c, parent in enumerate(self.parents):
+            children[parent].append(c)
+        for _, size, c in self.blocks:
+            own[c] += size
+
+        def is_(c: int, *tags: str) -> bool:
+            return self.paths[c].rsplit("/", 1)[-1].split(".")[0] in tags
+
+        at = 0
+        while not is_(at, "article") and children[at]:
+            # article and main are what their names say.
+            next_ = max(children[at], key=lambda c: (total[c] * (2 if is_(c, "article", "main") else 1), -c))
+            if total[next_] < SHARE * total[at] and not is_(next_, "article", "main") or total[next_] * 2 < total[at] or \
+                    at and own[at] or is_(at, "main") and not is_(next_, "article"):
+                break
+            at = next_
+        return at, float(total[at])
 
-    def text(self, path: str | None) -> str:
+    def text(self, paths: list[str]) -> str:
+        """The text under the first of the paths that holds a third of what any of them does, else under the best container."""
+        total = self._totals()
+        held = {path: sum(n for n, p in zip(total, self.paths) if p == path) for path in paths}
+        path = next((p for p in paths if held[p] and held[p] * 3 >= max(held.values())), None)
         inside = [p == path for p in self.paths]
-        if not any(inside):
+        if path is None:
             at = self.best()[0]
             inside = [c == at for c in range(len(self.paths))]
         for c, parent in enumerate(self.parents):  # parents come first
@@ -200,25 +243,28 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = [_Page(text or "").text(path) for text, path in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+        texts = [_Page(text or "").text(paths or []) for text, paths in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), b.column(3)],
-                                         names=["id", "url", "text", "path"])
+                                         names=["id", "url", "text", "paths"])
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Columns host and path: the container path that most pages of the host vote for."""
+    """Columns host and paths: the container paths that the host's pages vote for, most votes first (at most 1 / LEAST_VOTES)."""
     votes = pages.select(host(pages[url_col]).alias("host"), pages[html_col].alias("html")).mapInArrow(
         _votes, "host string, path string, votes long, score double")
     sums = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
-    best = sums.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), -F.round("score"), "path")).alias("path"))
-    return best
+    best = F.struct(-F.col("votes"), -F.round("score"), F.col("path"))
+    whole = Window.partitionBy("host")
+    ranked = sums.select("host", "path", "votes", best.alias("place"), F.sum("votes").over(whole).alias("all"), F.min(best).over(whole).alias("first"))
+    won = ranked.where((F.col("place") == F.col("first")) | (F.col("votes") >= REPEATED) & (F.col("votes") >= LEAST_VOTES * F.col("all")))
+    return won.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("place", "path")))["path"].alias("paths"))
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Columns id, url, text and path (the host's)."""
+    """Columns id, url, text and paths (the host's)."""
     winners = stage(host_paths(pages, url_col, html_col), "host-paths")
     plain = pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"), pages[html_col].alias("html"),
                          host(pages[url_col]).alias("host"))
     kind = plain.schema["id"].dataType.simpleString()
-    return (plain.join(winners.hint("merge"), "host", "left").select("id", "url", "html", "path")
-            .mapInArrow(_texts, f"id {kind}, url string, text string, path string"))
+    return (plain.join(winners, "host", "left").select("id", "url", "html", "paths")
+            .mapInArrow(_texts, f"id {kind}, url string, text string, paths array<string>"))

@@ -55,7 +55,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as its capture reads after a round trip through WARC archives."""
     captures = warc.archive(table(spark, sf_dir, "pages"))
     rows = captures.select(
-        F.regexp_extract(F.decode("metadata.block", "UTF-8"), r"pageId: ([^\r\n]*)", 1).cast("long").alias("page_id"),
+        F.regexp_extract(F.decode("metadata.block", "UTF-8"), r"pageId: ([^\r\n]*)", 1).try_cast("long").alias("page_id"),
         F.regexp_extract(F.substring(F.col("response.block").cast("string"), 1, 300), r"(?i)\r\ncontent-length: *(\d+)", 1)
         .cast("long").alias("payload_bytes"),
         F.regexp_replace("response.payload_digest", "^sha1:", "").alias("payload_digest"),

@@ -168,3 +168,11 @@ def test_stages_can_be_chained_unwritten_and_run_leaves_its_result_only(spark):
 def test_exact_dedup_reads_whole_texts(spark):
     docs = table(spark, SF_DIR, "documents")
     assert exact_dedup.equal_groups(docs, carried=["doc_id"]).count() == docs.count()
+
+
+def test_warc_query_takes_null_ids(spark, tmp_path):
+    pages = pd.DataFrame({"page_id": pd.array([None, 3, 5, None], "Int64"), "url": ["u", "u", None, None], "html": ["a", "a", None, "b"]})
+    pages.to_parquet(tmp_path / "pages.parquet")
+    got = entry_points.queries()["op3_warc"](spark, str(tmp_path)).toPandas()
+    assert sorted(got.page_id.dropna()) == [3, 5] and got.page_id.isna().sum() == 2
+    assert got[got.page_id == 3].record_type.tolist() == ["response"] and sorted(got.payload_bytes) == [0, 1, 1, 1]

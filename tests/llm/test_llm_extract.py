@@ -54,3 +54,28 @@ def test_hosts(spark):
     urls = ["http://A.b/c", "https://u:p@X.y:81?q", "//z/p", "ftp://f#t", "/rel", None, "no scheme"]
     rows = spark.createDataFrame([(u,) for u in urls], "u string").select(extract.host(extract.F.col("u"))).collect()
     assert [r[0] for r in rows] == ["a.b", "x.y", "z", "f", "", "", ""]
+
+
+A, B = "First part of the story, told at some length. " * 12, "Second part of the story, shorter. " * 10
+
+
+def words(*parts):
+    return " ".join(" ".join(parts).split())
+
+
+@pytest.mark.parametrize("html, want", [
+    (f"<article><div class=text><section class=a><p>{A}</section><section class=b><p>{B}</section></div></article>", words(A, B)),
+    (f"<article><h1>Title</h1><div class=one><p>{A}</div><div class=two><p>{B}</div></article>", words("Title", A, B)),
+    (f"<div class=post><h1>Title</h1><div class=text><p>{A}</div></div><div class=latest><p>Other</div>", words("Title", A)),
+    (f"<article><div class=social-history><p>{A}</div><div class='share-buttons'>Share this</div></article>", words(A)),
+    (f"<main><div class=article-related-content><p>{A}<p>{B}</div></main>", words(A, B))])
+def test_nothing_of_an_article_is_lost(spark, html, want):
+    rows = [(i, "http://n/x", f"<body><nav><a href=/>Home</a></nav>{html}<div class=comments><p>{B * 4}</div></body>") for i in range(4)]
+    assert set(texts(spark, rows).values()) == {want}
+
+
+def test_a_host_with_two_templates(spark):
+    common = [(i, "http://t/x", f"<body><div class=story><p>{A} {i}</div></body>") for i in range(20)]
+    other = [(100 + i, "http://t/y", f"<body><div class=story><p>Read more.</div><div class=report><p>{B} {i}</div></body>") for i in range(4)]
+    got = texts(spark, [*common, *other])
+    assert all(got[i] == words(A, str(i)) for i in range(20)) and all(got[100 + i] == words(B, str(i)) for i in range(4))
