@@ -1,6 +1,7 @@
 import random
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from gridcast.operators.monitor import grid_gaps, latest_predictions, table_heal
 from gridcast.operators.quantiles import exact_quantiles
 from gridcast.plans.gate import clean_inference, clean_training
 from gridcast.session import scratch_path, scratch_root, stage
-from gridcast.sources import landing, store, tables
+from gridcast.sources import landing, store, tables, versions
 
 
 # ---- sources and sinks -------------------------------------------------------------------
@@ -122,7 +123,59 @@ def test_published_versions(spark):
     assert store.upsert_published(d, root) == 1
     assert store.upsert_published(hours(spark, [9, ..., 3]), root) == 2
     assert column(store.read_published(spark, root)) == [9, 2, 3]
-    assert spark.read.parquet(f"{root}/v=1").count() == 2
+    assert column(store.read_published(spark, root, 1)) == [1, 2]
+
+
+def test_a_version_number_is_given_once(spark, tmp_path):
+    path = str(tmp_path / "x.json")
+    assert versions.create(spark, path, "a") and not versions.create(spark, path, "b")
+    for name in ("p", "q"):
+        (tmp_path / name).write_text(name)
+    other = str(tmp_path / "y.json")
+    assert versions._rename(spark, str(tmp_path / "p"), other) and not versions._rename(spark, str(tmp_path / "q"), other)
+    assert (tmp_path / "x.json").read_text() == "a" and (tmp_path / "y.json").read_text() == "p"
+
+
+@pytest.mark.parametrize("upsert", [store.upsert_days, store.upsert_published])
+def test_two_writers_lose_no_row(spark, upsert):
+    root = scratch_path(spark, "shared")
+    upsert(hours(spark, [0] * 30), root)
+    # Both change the first day; each adds rows and a site of its own.
+    sources = [hours(spark, [5, *[...] * 40, i], site=s) for i, s in enumerate("ab")] + [hours(spark, [..., 7])]
+    with ThreadPoolExecutor(3) as pool:
+        numbers = list(pool.map(lambda d: upsert(d, root), sources))
+    assert sorted(numbers) == [2, 3, 4]
+    got = {(r.site, r.timestamp.day, r.timestamp.hour): r.v for r in store.read_published(spark, root).collect()}
+    assert len(got) == 30 + 1 + 2 and got["a", 1, 0] == 5 and got["b", 1, 0] == 5 and got["a", 1, 1] == 7
+    assert got["a", 2, 17] == 0 and got["b", 2, 17] == 1
+
+
+def test_a_reader_sees_all_days_of_a_write_or_none(spark, monkeypatch):
+    root = scratch_path(spark, "shared")
+    store.upsert_days(hours(spark, [1] * 30), root)
+    before, seen = store.read_days(spark, root), []
+    commit = versions.commit
+
+    def watched(*args):
+        seen.append(column(store.read_days(spark, root)))
+        return commit(*args)
+
+    monkeypatch.setattr(versions, "commit", watched)
+    store.upsert_days(hours(spark, [2] * 30), root)
+    assert seen == [[1] * 30] and column(before) == [1] * 30 and column(store.read_days(spark, root)) == [2] * 30
+    assert column(store.read_days(spark, root, first="2024-01-02")) == [2] * 6
+
+
+def test_old_versions_expire_and_columns_appear(spark):
+    root = scratch_path(spark, "shared")
+    store.upsert_days(hours(spark, [1] * 30), root)
+    store.upsert_days(hours(spark, [..., 2]).withColumn("w", F.lit(3.0)), root)
+    store.upsert_days(hours(spark, [..., 4]), root)
+    assert store.expire_versions(spark, root, keep=1) == 2  # the first day as it was twice
+    d = store.read_days(spark, root)
+    assert column(d)[:3] == [1, 4, 1] and column(d, "w")[:3] == [None, 3, None] and d.count() == 30
+    with pytest.raises(ValueError, match="column v is double in the table, string"):
+        versions.commit(spark, root, versions.newest(spark, root), {}, d.select(F.lit("x").alias("v")).schema)
 
 
 def test_csv_round_trip_and_empty_export(spark, tmp_path):
