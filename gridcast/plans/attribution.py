@@ -6,19 +6,19 @@ that follow the path through the splits on j). The leaf's Shapley value for feat
 
     v * (o_i - z_i) * integral over t in [0, 1] of  product over j != i of (z_j (1 - t) + o_j t),
 
-a polynomial in t, which Gauss-Legendre nodes integrate exactly. Rows go through in Arrow
-batches; the leaves are model data, whose size depends on the model's settings, not on the rows.
+a polynomial in t, which Gauss-Legendre nodes integrate exactly. The saved model is read as a
+table: executors turn each tree into leaf paths, and blocks of leaves meet blocks of rows, both
+of bounded size. No node reaches the driver.
 """
 
 from __future__ import annotations
 
+import json
 import sys
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,49 +27,70 @@ from gridcast.names import KEYS, TS, VALUE_TARGET
 from gridcast.operators.dedup import latest_per_key
 from gridcast.operators.sampling import sample_rows
 from gridcast.plans.scoring import active_records, aligned_features
+from gridcast.session import stage
 
 # Executors get this module's code with the task and need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_NODES = 1_000_000
+#: Leaves and rows that meet in one task, about.
+BLOCK_LEAVES, BLOCK_ROWS = 50_000, 2_000
 BLOCK_CELLS = 4_000_000
 
+#: A leaf: the features its path tests, the ends of their intervals (low < x <= high), their shares, its value.
+LEAF = "tree int, feature array<int>, low array<double>, high array<double>, share array<double>, value double"
 
 # Leaves whose paths test the same number d of features: feature numbers, lower and upper ends
-# of the intervals, shares (each of shape (leaves, d)), and values (leaves). A plain tuple of
-# arrays, which broadcasts without this package on the executors.
+# of the intervals, shares (each of shape (leaves, d)), and values (leaves).
 Leaves = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _tree_paths(nodes: dict[int, Row], weight: float) -> Iterator[tuple[dict, float]]:
-    """Per leaf: {feature: (low, high, share)} with the value times the tree's weight."""
-    stack = [(0, {})]
-    while stack:
-        at, path = stack.pop()
-        node = nodes[at]
-        if node.leftChild < 0:
-            yield path, node.prediction * weight
+def _paths(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
+    """The leaves of one tree; nodes of (id, left, right, feature, cut, value, count, weight)."""
+    at = {int(n): i for i, n in enumerate(nodes["id"])}
+    left, right, feature = (nodes[c].to_numpy() for c in ("left", "right", "feature"))
+    cut, value, count = (nodes[c].to_numpy() for c in ("cut", "value", "count"))
+    weight, out, open_ = nodes["weight"].iloc[0], [], [(at[0], {})]
+    while open_:
+        n, path = open_.pop()
+        if left[n] < 0:
+            low, high, share = (list(x) for x in zip(*path.values())) if path else ([], [], [])
+            out.append((key[0], list(path), low, high, share, value[n] * weight))
             continue
-        j, cut = node.split.featureIndex, node.split.leftCategoriesOrThreshold[0]
+        j = int(feature[n])
         low, high, share = path.get(j, (-np.inf, np.inf, 1.0))
-        for child, span in ((node.leftChild, (low, min(high, cut))), (node.rightChild, (max(low, cut), high))):
-            part = nodes[child].rawCount / node.rawCount
-            stack.append((child, {**path, j: (*span, share * part)}))
-
-
-def _grouped(paths) -> tuple[list[Leaves], float]:
+        l, r = at[left[n]], at[right[n]]
+        open_ += [(l, {**path, j: (low, min(high, cut[n]), share * count[l] / count[n])}),
+                  (r, {**path, j: (max(low, cut[n]), high, share * count[r] / count[n])})]
+    return pd.DataFrame(out, columns=["tree", "feature", "low", "high", "share", "value"])
+
+
+def leaf_paths(spark: SparkSession, model_path: str) -> DataFrame:
+    """The leaves of a saved ensemble as a table; values times the weights of their trees. A task holds one tree."""
+    last = json.loads(spark.read.text(f"{model_path}/metadata").first()[0])["paramMap"]["stageUids"][-1]
+    folder = f"{model_path}/stages/*_{last}"
+    averaged = "RandomForest" in json.loads(spark.read.text(f"{folder}/metadata").first()[0])["class"]
+    trees = spark.read.parquet(f"{folder}/treesMetadata").select(F.col("_1").alias("tree"), F.col("_3").alias("weight"))
+    if averaged:
+        trees = trees.withColumn("weight", F.lit(1.0 / trees.count()))
+    node, split = F.col("nodeData"), F.col("nodeData.split")
+    nodes = spark.read.parquet(f"{folder}/data").select(
+        F.col("treeID").cast("int").alias("tree"), node["id"].alias("id"), node["leftChild"].alias("left"), node["rightChild"].alias("right"),
+        split["featureIndex"].alias("feature"), F.get(split["leftCategoriesOrThreshold"], F.lit(0)).alias("cut"),
+        node["prediction"].alias("value"), node["rawCount"].cast("double").alias("count"))
+    return nodes.join(trees, "tree").groupBy("tree").applyInPandas(_paths, LEAF)
+
+
+def _by_length(leaves: pd.DataFrame) -> tuple[list[Leaves], float]:
     """Leaves by path length, and the part of the prediction that no feature moves."""
-    by_length: dict[int, list] = {}
-    base = 0.0
-    for path, value in paths:
-        base += value * float(np.prod([p[2] for p in path.values()]))
-        if path:
-            by_length.setdefault(len(path), []).append((path, value))
-    groups = []
-    for items in by_length.values():
-        spans = np.array([list(p.values()) for p, _ in items])
-        groups.append((np.array([list(p) for p, _ in items]), spans[..., 0], spans[..., 1], spans[..., 2],
-                       np.array([v for _, v in items])))
+    groups, base = [], 0.0
+    for d, same in leaves.groupby(leaves["feature"].map(len)):
+        value = same["value"].to_numpy()
+        if d == 0:
+            base += value.sum()
+            continue
+        feature, low, high, share = (np.stack(same[c].to_numpy()) for c in ("feature", "low", "high", "share"))
+        base += float(value @ share.prod(axis=1))
+        groups.append((feature, low, high, share, value))
     return groups, base
 
 
@@ -94,61 +115,43 @@ def _shapley(x: np.ndarray, groups: list[Leaves]) -> np.ndarray:
     return phi
 
 
-def tree_groups(spark: SparkSession, model_path: str, max_nodes: int = MAX_NODES) -> list[tuple[list[Leaves], float]]:
-    """The saved ensemble as leaf groups, cut so that no broadcast holds more than about `max_nodes`."""
-    stage = PipelineModel.load(model_path).stages[-1]
-    averaged = "RandomForest" in type(stage).__name__
-    folder = f"{model_path}/stages/*_{stage.uid}"
-    weights = {r[0]: r[1] for r in spark.read.parquet(f"{folder}/treesMetadata").selectExpr("_1", "_3").collect()}
-    nodes = spark.read.parquet(f"{folder}/data")
-    sizes = {r.treeID: r["count"] for r in nodes.groupBy("treeID").count().collect()}
-    batches, room = [[]], max_nodes
-    for tree in sorted(sizes):
-        if batches[-1] and sizes[tree] > room:
-            batches.append([])
-            room = max_nodes
-        batches[-1].append(tree)
-        room -= sizes[tree]
-    out = []
-    for batch in batches:
-        trees: dict[int, dict[int, Row]] = {}
-        for r in nodes.where(F.col("treeID").isin(batch)).toLocalIterator():
-            trees.setdefault(r.treeID, {})[r.nodeData.id] = r.nodeData
-        paths = (p for tree, table in trees.items()
-                 for p in _tree_paths(table, 1.0 / len(weights) if averaged else weights[tree]))
-        out.append(_grouped(paths))
-    return out
-
-
-def attributions(df: DataFrame, model_path: str, features: list[str], ids: list[str],
-                 max_nodes: int = MAX_NODES, rows_at_once: int = 256) -> DataFrame:
+def _explain(ids: list[str], rows_at_once: int):
+    """Cogroup of a block of rows and a block of leaves: base and phi as far as these leaves go."""
+    def run(rows: pd.DataFrame, leaves: pd.DataFrame) -> pd.DataFrame:
+        groups, base = _by_length(leaves)
+        parts = []
+        for start in range(0, len(rows), rows_at_once):
+            parts.extend(_shapley(np.stack(rows["x"].to_numpy()[start:start + rows_at_once]).astype(float), groups))
+        return rows[ids].assign(base=base, phi=parts)
+
+    return run
+
+
+def attributions(df: DataFrame, model_path: str, features: list[str], ids: list[str], block_leaves: int = BLOCK_LEAVES,
+                 block_rows: int = BLOCK_ROWS, rows_at_once: int = 256) -> DataFrame:
     """ids, base, phi (one value per feature) for every row; base + sum(phi) is the prediction.
 
-    `ids` must name a row. An ensemble above `max_nodes` is worked off in groups of trees,
-    whose values are added up per row.
+    `ids` must name a row. Rows and leaves are dealt into blocks by hash; every block of rows meets every
+    block of leaves once, and what the blocks of leaves say about a row is added up.
     """
     spark = df.sparkSession
-    slim = df.select(*ids, F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
+    leaves = stage(leaf_paths(spark, model_path), "leaves")
+    slim = stage(df.select(*ids, F.array(*[F.col(f).cast("double") for f in features]).alias("x")), "explained")
+    packs, parts = max(1, -(-leaves.count() // block_leaves)), max(1, -(-slim.count() // block_rows))
+
+    def numbers(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = slim.withColumns({"_part": F.pmod(F.xxhash64(*ids), F.lit(parts)).cast("int"), "_pack": numbers(packs)})
+    right = leaves.withColumn("_pack", F.pmod(F.xxhash64("tree", "feature", "low", "high"), F.lit(packs)).cast("int"))
+    right = right.withColumn("_part", numbers(parts))
     schema = T.StructType([slim.schema[i] for i in ids]
                           + [T.StructField("base", T.DoubleType()), T.StructField("phi", T.ArrayType(T.DoubleType()))])
-    parts = []
-    for leaves, base in tree_groups(spark, model_path, max_nodes):
-        shared = spark.sparkContext.broadcast(leaves)
-
-        def explain(batches: Iterator[pd.DataFrame], shared=shared, base=base) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for start in range(0, len(pdf), rows_at_once):
-                    rows = pdf.iloc[start:start + rows_at_once]
-                    phi = _shapley(np.stack(rows["x"].to_numpy()).astype(float), shared.value)
-                    yield rows[ids].assign(base=base, phi=list(phi))
-
-        parts.append(slim.mapInPandas(explain, schema))
-    if len(parts) == 1:
-        return parts[0]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    sums = whole.groupBy(*ids).agg(F.sum("base").alias("base"), *[
+    partial = (left.groupBy("_part", "_pack").cogroup(right.groupBy("_part", "_pack"))
+               .applyInPandas(_explain(ids, rows_at_once), schema))
+    if packs == 1:
+        return partial
+    sums = partial.groupBy(*ids).agg(F.sum("base").alias("base"), *[
         F.sum(F.col("phi")[i]).alias(f"_p{i}") for i in range(len(features))])
     return sums.select(*ids, "base", F.array(*[f"_p{i}" for i in range(len(features))]).alias("phi"))
 
