@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.functions.airquality import CATEGORIES, category6
@@ -91,19 +90,71 @@ def density(df: DataFrame, cols: list[str], points: int = 200, cut: float = 3.0)
         (F.col("part") * scale / (F.col("n") * F.col("h"))).alias("density"))
 
 
+#: Of the rows that have both a and b: how many, the means of a and b, their squared deviations, their co-moment.
+MOMENTS = "a int, b int, n double, mean_a double, mean_b double, m2_a double, m2_b double, co double"
+
+
+def _block_moments(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairwise moments of a block. [i, j] of the means and squares is about column i where j has a value too."""
+    seen = np.isfinite(x)
+    m, own = seen.astype(float), np.where(seen, x, 0.0)
+    count = np.maximum(m.sum(0), 1)
+    low, high = np.where(seen, x, np.inf).min(0), np.where(seen, x, -np.inf).max(0)
+    # Centred first, so that large means do not cancel; the clip keeps a constant column at exactly zero.
+    centre = np.where(m.any(0), np.clip(own.sum(0) / count, np.where(m.any(0), low, 0), np.where(m.any(0), high, 0)), 0.0)
+    z = np.where(seen, x - centre, 0.0)
+    n = m.T @ m
+    per = np.maximum(n, 1)
+    total = z.T @ m
+    return n, centre[:, None] + total / per, (z * z).T @ m - total * total / per, z.T @ z - total * total.T / per
+
+
+def _merged_moments(p: tuple, q: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    (n, mean, m2, co), (k, other, m2_k, co_k) = p, q
+    both = n + k
+    step, share = np.where((n > 0) & (k > 0), other - mean, 0.0), k / np.maximum(both, 1)
+    return (both, np.where(n > 0, mean + step * share, other), m2 + m2_k + step * step * n * share,
+            co + co_k + step * step.T * n * share)
+
+
+def _pair_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per pair of columns for a whole partition."""
+    found = None
+    for b in batches:
+        if b.num_rows:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns])
+            block = _block_moments(x)
+            found = block if found is None else _merged_moments(found, block)
+    if found is not None:
+        n, mean, m2, co = found
+        a, b = np.triu_indices(len(n))
+        values = [n[a, b], mean[a, b], mean[b, a], m2[a, b], m2[b, a], co[a, b]]
+        yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), *map(pa.array, values)],
+                                         names=["a", "b", "n", "mean_a", "mean_b", "m2_a", "m2_b", "co"])
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson, pairwise complete, every ordered pair; one pass over the rows."""
-    pairs = list(combinations(cols, 2))
-    row = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).agg(
-        *[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs],
-        # A column goes with itself, if it varies at all.
-        *[F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"{c}|{c}") for c in cols])
-    long = row.unpivot([], row.columns, "pair", "corr")
-    a, b = F.substring_index("pair", "|", 1), F.substring_index("pair", "|", -1)
-    both = F.when(a == b, F.array(F.struct(a.alias("a"), b.alias("b")))).otherwise(
-        F.array(F.struct(a.alias("a"), b.alias("b")), F.struct(b.alias("a"), a.alias("b"))))
-    return long.select(F.explode(both).alias("p"), "corr").select(
-        F.col("p.a").alias("column_a"), F.col("p.b").alias("column_b"), "corr")
+    """Pearson, pairwise complete, every ordered pair; one pass over the rows.
+
+    A partition comes down to one row per pair; these are merged about their common means. Values that are not
+    finite count as missing. A column that does not vary goes with none, itself included.
+    """
+    parts = df.select(*[F.col(c).cast("double") for c in cols]).mapInArrow(_pair_moments, MOMENTS)
+    pair = Window.partitionBy("a", "b")
+    # Constant columns have equal means in all parts; the bounds keep rounding from telling them apart.
+    means = {f"all_{s}": F.greatest(F.least(F.try_divide(F.sum(F.col("n") * F.col(f"mean_{s}")).over(pair), F.sum("n").over(pair)),
+                                            F.max(f"mean_{s}").over(pair)), F.min(f"mean_{s}").over(pair)) for s in "ab"}
+    away = {s: F.col(f"mean_{s}") - F.col(f"all_{s}") for s in "ab"}
+    sums = (parts.where("n > 0").withColumns(means).groupBy("a", "b")
+            .agg(*[F.sum(F.col(f"m2_{s}") + F.col("n") * away[s] * away[s]).alias(f"m2_{s}") for s in "ab"],
+                 F.sum(F.col("co") + F.col("n") * away["a"] * away["b"]).alias("co")))
+    value = F.when((F.col("m2_a") > 0) & (F.col("m2_b") > 0), F.when(F.col("a") == F.col("b"), F.lit(1.0)).otherwise(
+        F.greatest(F.least(F.col("co") / F.sqrt("m2_a") / F.sqrt("m2_b"), F.lit(1.0)), F.lit(-1.0))))
+    # The pairs there are, also those that no row has both of: as many as the square of the column list.
+    grid = df.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in cols])).alias("a", "column_a")).select(
+        "*", F.posexplode(F.array(*[F.lit(c) for c in cols])).alias("b", "column_b"))
+    named = grid.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "column_a", "column_b")
+    return named.join(sums.select("a", "b", value.alias("corr")), ["a", "b"], "left").select("column_a", "column_b", "corr")
 
 
 def class_distribution(df: DataFrame, targets: list[str]) -> DataFrame:

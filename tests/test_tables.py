@@ -1,6 +1,7 @@
 import random
 import datetime as dt
 import json
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -302,6 +303,27 @@ def test_correlations_equal_pandas(spark):
         assert abs(r["corr"] - want.loc[r.column_a, r.column_b]) < 1e-9
 
 
+def test_correlations_with_large_means_gaps_and_constants(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame(rng.normal(size=(400, 3)) + 1e8, columns=list("abc"))
+    pdf["d"], pdf["e"], pdf["f"] = 0.1, pdf.a.where(pdf.index < 200), pdf.b.where(pdf.index >= 200)
+    pdf.loc[5, "c"] = np.inf
+    want = pdf.replace(np.inf, np.nan).corr()
+    got = explore.correlation_matrix(spark.createDataFrame(pdf).repartition(7), list("abcdef")).collect()
+    assert len(got) == 36
+    for r in got:
+        x = want.loc[r.column_a, r.column_b]
+        assert r["corr"] is None if "d" in (r.column_a, r.column_b) or math.isnan(x) else abs(r["corr"] - x) < 1e-7, r
+    empty = explore.correlation_matrix(spark.createDataFrame(pdf).limit(0), ["a", "b"])
+    assert [r["corr"] for r in empty.collect()] == [None] * 4
+
+
+def test_correlation_is_one_pass_of_small_rows(spark):
+    d = spark.range(100).selectExpr("id * 1.0 AS a", "id * id * 1.0 AS b")
+    plan = explore.correlation_matrix(d, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning(a") <= 2
+
+
 def test_categories_appear_with_zero(spark):
     d = hours(spark, [10, 60, 70])
     got = explore.category_distribution(d, F.col("v"), ["site"]).orderBy("position").collect()
