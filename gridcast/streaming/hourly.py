@@ -49,19 +49,35 @@ def sliding(stream: DataFrame, value: str, hours: int, keys: list[str] = KEYS, e
             .withColumn("hours", F.lit(hours)))
 
 
-def hourly_sums(stream: DataFrame, value: str, keys: list[str] = KEYS, event_time: str = "ts", delay: str = DELAY) -> DataFrame:
-    """Count, sum and sum of squares per key and closed hour: what any longer window can be put together from."""
-    return tumbling(stream, [F.count(value).alias("n"), F.sum(value).alias("total"), F.sum(F.col(value) * F.col(value)).alias("squares")],
-                    keys, event_time, delay)
-
-
-def rolling_from_hours(sums: DataFrame, hours: int, keys: list[str] = KEYS, ts: str = TS) -> DataFrame:
-    """`sliding` from stored hourly sums: an hour's cell, not each of its events, goes to the windows it is in."""
-    ends = F.explode(F.sequence(F.col(ts), F.col(ts) + F.expr(f"interval {hours - 1} hours"), F.expr("interval 1 hour")))
-    d = sums.withColumn(ts, ends).groupBy(*keys, ts).agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")])
-    spread = F.greatest(F.col("squares") - F.col("total") * F.col("total") / F.col("n"), F.lit(0.0))
-    return d.select(*keys, F.col("n"), F.try_divide("total", "n").alias("mean"),
-                    F.when(F.col("n") > 1, F.sqrt(spread / (F.col("n") - 1))).alias("std"), ts, F.lit(hours).alias("hours"))
+def _merged(a: Column, b: Column) -> Column:
+    """Count, mean and squared deviations of two sets together; nothing is subtracted that is large against the result."""
+    n, step = a["n"] + b["n"], b["mean"] - a["mean"]
+    share = F.try_divide(b["n"], n)
+    both = F.struct(n.alias("n"), (a["mean"] + step * share).alias("mean"), (a["m2"] + b["m2"] + step * step * a["n"] * share).alias("m2"))
+    return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(both)
+
+
+def rolling(stream: DataFrame, value: str, widths: list[int], keys: list[str] = KEYS, event_time: str = "ts",
+            delay: str = DELAY) -> DataFrame:
+    """`sliding` for several widths, two stateful steps in a row: events close into hourly cells of count, mean and
+    squared deviations, and cells, not events, go to the windows they are in. The widest window's state holds one
+    cell per hour; the shorter ones are read off it. Works on a batch as well.
+    """
+    cells = (stream.withWatermark(event_time, delay).groupBy(*keys, F.window(event_time, "1 hour").alias("_hour"))
+             .agg(F.count(value).alias("n"), F.coalesce(F.avg(value), F.lit(0.0)).alias("mean"),
+                  F.coalesce(F.var_pop(value) * F.count(value), F.lit(0.0)).alias("m2")))
+    wide = cells.groupBy(*keys, F.window("_hour", f"{max(widths)} hours", "1 hour").alias("_w")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_hour.start").alias("hour"), "n", "mean", "m2"))).alias("_cells"))
+    each = wide.withColumn("hours", F.explode(F.array(*[F.lit(w) for w in widths])))
+    end = F.col("_w.end")
+    own = F.filter("_cells", lambda c: c["hour"] >= end - F.make_dt_interval(hours=F.col("hours")))
+    nothing = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    each = each.withColumn("_own", own).where(F.size("_own") > 0)
+    each = each.withColumn("_sum", F.aggregate("_own", nothing, lambda a, c: _merged(a, F.struct(c["n"], c["mean"], c["m2"]))))
+    n = F.col("_sum.n")
+    return each.select(*keys, n.alias("n"), F.when(n > 0, F.col("_sum.mean")).alias("mean"),
+                       F.when(n > 1, F.sqrt(F.col("_sum.m2") / (n - 1))).alias("std"),
+                       (end - F.expr("interval 1 hour")).alias(TS), "hours")
 
 
 def first_seen(stream: DataFrame, keys: list[str], event_time: str, delay: str = DELAY, salts: int = 16) -> DataFrame:

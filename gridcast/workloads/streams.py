@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 from datetime import timedelta
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from gridcast.names import CHANNELS, SITE, TS
 from gridcast.session import configure, scratch_path
 from gridcast.sources.store import read_days
-from gridcast.streaming.hourly import first_seen, hourly_sums, read_stream, rolling_from_hours, run_available, tumbling
+from gridcast.streaming.hourly import first_seen, read_stream, rolling, run_available, tumbling
 from gridcast.streaming.lag_state import lag_stream
 from gridcast.streaming.upsert import run_upsert
 from gridcast.workloads import views
@@ -75,8 +74,7 @@ def stream_dedup(spark, sf_dir):
 
 @query
 def stream_rolling_sliding(spark, sf_dir):
-    sums = _finished(spark, hourly_sums(event_stream(spark, sf_dir).drop(TS), "value"), "sums")
-    return tidy(reduce(DataFrame.unionByName, [rolling_from_hours(sums, n) for n in (6, 12, 24)]), mean=10, std=4)
+    return tidy(_finished(spark, rolling(event_stream(spark, sf_dir).drop(TS), "value", [6, 12, 24]), "rolling"), mean=10, std=4)
 
 
 @query

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gridcast.session import scratch_path
 from gridcast.sources.store import read_days
-from gridcast.streaming.hourly import first_seen, read_stream, run_available, sliding, tumbling
+from gridcast.streaming.hourly import first_seen, read_stream, rolling, run_available, sliding, tumbling
 from gridcast.streaming.lag_state import lag_stream
 from gridcast.streaming.upsert import run_upsert, upsert_batch
 
@@ -41,6 +41,25 @@ def test_sliding_windows_end_with_their_hour(spark):
     assert (got.n, got["mean"]) == (6, 3.5)
 
 
+def test_rolling_equals_sliding_and_does_not_cancel(spark):
+    folder, out = scratch_path(spark, "land"), scratch_path(spark, "out")
+    rows = [("a", 60 * h + m, 1e8 + (7 * h + m) % 5) for h in range(30) if h % 9 for m in (0, 20, 40)]
+    schema = land(spark, folder, rows[:40])
+    land(spark, folder, [*rows[40:], ("z", 60 * 90, 0)])
+    for i, n in enumerate((3, 6)):
+        run_available(sliding(read_stream(spark, folder, schema, files_per_batch=1), "v", n), f"{out}/{i}", f"{out}/s{i}")
+    run_available(rolling(read_stream(spark, folder, schema, files_per_batch=1), "v", [3, 6]), f"{out}/t", f"{out}/s")
+    order = ["hours", "site", "timestamp"]
+    got = spark.read.parquet(f"{out}/t").where("site = 'a'").orderBy(*order).toPandas()
+    want = spark.read.parquet(f"{out}/0", f"{out}/1").where("site = 'a'").orderBy(*order).toPandas()
+    assert len(got) == len(want) > 50 and (got[[*order, "n"]] == want[[*order, "n"]]).all().all()
+    events = pd.DataFrame(rows, columns=["site", "m", "v"])
+    for r in got.itertuples():
+        last = (r.timestamp - START).total_seconds() / 60
+        own = events.v[(events.m >= last - 60 * (r.hours - 1)) & (events.m < last + 60)] - 1e8
+        assert abs(r.mean - 1e8 - own.mean()) < 1e-7 and abs(r.std - own.std()) < 1e-7
+
+
 def test_rows_seen_before_are_dropped(spark):
     folder, out = scratch_path(spark, "land"), scratch_path(spark, "out")
     schema = land(spark, folder, [("a", 0, 1), ("a", 0, 1), ("b", 0, 2)])
