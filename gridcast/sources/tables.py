@@ -25,14 +25,14 @@ def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.csv(path, schema=schema, header=True, timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    return spark.read.csv(path, schema=schema, header=True, timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
 
 
 def write_csv(df: DataFrame, path: str, check: bool = True) -> str:
     """Export with a header, as a folder of parts. An empty table is an error."""
     if check and df.isEmpty():
         raise ValueError("nothing to export: the table is empty")
-    df.write.mode("overwrite").csv(path, header=True, timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    df.write.mode("overwrite").csv(path, header=True, timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     return path
 
 

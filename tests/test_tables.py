@@ -16,6 +16,7 @@ from gridcast.operators.dedup import keep_first, keep_last, latest_per_key, rece
 from gridcast.operators.monitor import grid_gaps, latest_predictions, table_health
 from gridcast.operators.quantiles import exact_quantiles
 from gridcast.plans.gate import clean_inference, clean_training
+from gridcast.plans.scoring import scoring_history, scoring_rows
 from gridcast.session import scratch_path, scratch_root, stage
 from gridcast.sources import landing, store, tables, versions
 
@@ -245,6 +246,24 @@ def test_gate_training_then_inference(spark, chunk):
     row = clean_inference(table.drop(*TARGETS), profile)
     assert row.count() == 1 and {"late", "wild"} <= set(row.columns) and not {"same", "sparse"} & set(row.columns)
     assert row.first()[TARGETS[0]] is None
+    # A reading that the scored row lacks becomes the median of the training rows.
+    newest = table.drop(*TARGETS).withColumns({c: F.lit(None).cast("double") for c in ("late", "wild")})
+    filled = clean_inference(newest, profile).first()
+    assert (filled.late, filled.wild) == (12, 20)
+    with pytest.raises(ValueError, match="late"):
+        clean_inference(newest, clean_training(table, chunk_hours=chunk, medians=False)[1])
+
+
+def test_scoring_rests_on_the_rows_generated_last(spark):
+    def at(h):
+        return (START + pd.Timedelta(hours=h)).to_pydatetime()
+
+    rows = [("a", at(i), at(1000 + i)) for i in range(100)] + [("a", at(500), at(900)), ("b", at(3), None), ("b", at(1), at(7))]
+    d = spark.createDataFrame(rows, "site string, timestamp timestamp, feature_generated_at timestamp")
+    kept = scoring_history(d).where("site = 'a'")
+    assert kept.count() == 73 and kept.agg(F.min("timestamp")).first()[0] == at(27)
+    assert {r.site: r.timestamp for r in scoring_rows(d).collect()} == {"a": at(99), "b": at(3)}
+    assert {r.site: r.timestamp for r in scoring_rows(d.drop("feature_generated_at")).collect()} == {"a": at(500), "b": at(3)}
 
 
 def test_targets_are_required(spark):
