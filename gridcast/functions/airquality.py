@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gridcast.functions.coerce import null_nan, to_number
@@ -33,18 +33,20 @@ CATEGORY_BOUNDS = [50, 100, 150, 200, 300]
 CATEGORIES = ["Good", "Moderate", "Unhealthy (Sensitive)", "Unhealthy", "Very Unhealthy", "Hazardous"]
 COLORS = ["#2ecc71", "#f1c40f", "#e67e22", "#e74c3c", "#8e44ad", "#7f0000"]
 RANGES = ["0 – 50", "51 – 100", "101 – 150", "151 – 200", "201 – 300", "301+"]
-TIPS = [
-    "Perfect for outdoor activities 🌿",
-    "Sensitive individuals should be cautious.",
-    "Limit prolonged outdoor exertion.",
-    "Mask recommended outdoors 😷",
-    "Avoid outdoor activities.",
-    "Stay indoors and keep windows closed.",
-]
 UNKNOWN = "Unknown"
 UNKNOWN_COLOR = "#95a5a6"
 UNKNOWN_RANGE = "N/A"
 
+#: Default advice per category, best air first.
+TIPS = [
+    "The air is clean: go out as you like.",
+    "Fine for most people; those with sensitive airways should watch how they feel.",
+    "People with heart or lung trouble should keep exercise outside short.",
+    "Everyone should exert themselves less outside; a mask helps.",
+    "Move exercise and errands indoors.",
+    "Remain inside, shut the windows and run an air filter.",
+]
+
 
 def slope(band: tuple) -> float:
     low, high, index_low, index_high = band
@@ -73,17 +75,6 @@ def aqi(pollutants: list[str] | None = None, bands: dict | None = None,
     return F.greatest(*parts) if len(parts) > 1 else parts[0]
 
 
-def bands_from_table(table: DataFrame, max_rows: int = 1000) -> dict[str, list[tuple]]:
-    """Band table given as rows (pollutant, low, high, index_low, index_high)."""
-    rows = table.select("pollutant", "low", "high", "index_low", "index_high").limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"band table has more than {max_rows} rows")
-    out: dict[str, list[tuple]] = {}
-    for r in sorted(rows, key=lambda r: (r.pollutant, r.low)):
-        out.setdefault(r.pollutant, []).append((r.low, r.high, r.index_low, r.index_high))
-    return out
-
-
 def steps(value: Column, bounds: list, labels: list, missing=None) -> Column:
     """labels[i] for the first bound not below `value`; the last label above all bounds."""
     above = reduce(
@@ -123,5 +114,6 @@ def class_info(c: Column) -> Column:
     return F.struct(class_label(c).alias("label"), spans.alias("range"))
 
 
-def health_tip(category: Column) -> Column:
-    return _lookup(category, CATEGORIES, TIPS, "")
+def health_tip(category: Column, tips: list[str] | None = None) -> Column:
+    """Advice for a category name: one text per category, in their order."""
+    return _lookup(category, CATEGORIES, tips or TIPS, "")

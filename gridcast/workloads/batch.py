@@ -15,6 +15,7 @@ from gridcast.names import (
 )
 from gridcast.operators import explore, gaps, quality, registry as reg, sampling, scores
 from gridcast.operators.align import align_and_merge, align_and_merge_latest
+from gridcast.operators.bands import sub_indices
 from gridcast.operators.dedup import keep_first, keep_last, latest_per_key, recent_per_key
 from gridcast.operators.monitor import grid_gaps, health_report
 from gridcast.operators.rowspan import lag, over_rows, rolling_mean, with_time_index
@@ -24,10 +25,11 @@ from gridcast.plans.features import (
     target_columns, with_aqi, with_target_classes,
 )
 from gridcast.plans.gate import UNAUDITED, clean_inference, clean_training, training_rows
+from gridcast.plans.scoring import scoring_history
 from gridcast.session import configure, scratch_path, stage
 from gridcast.sources.landing import FETCHED, parse_payload, pollution_rows, read_payloads, weather_rows
 from gridcast.sources.store import append, merge_report, merge_upsert, publish, read_days, read_published, upsert_days, upsert_published
-from gridcast.sources.tables import load_table, recent
+from gridcast.sources.tables import load_table, read_csv, recent, write_csv
 from gridcast.workloads import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,7 +82,7 @@ def feature_table(spark, sf_dir, mode="training"):
 def cleaned(spark, sf_dir):
     """Cleaned training rows and the fitted profile."""
     features = stage(feature_table(spark, sf_dir), "features")
-    return clean_training(features, generated_at=F.expr(STAMP), arrival=None, chunk_hours=CUT_HOURS)
+    return clean_training(features, generated_at=F.expr(STAMP), arrival=None, chunk_hours=CUT_HOURS, medians=False)
 
 
 def aqi_series(spark, sf_dir):
@@ -217,6 +219,12 @@ def publish_and_swap(spark, sf_dir):
     return tidy(read_published(spark, root))
 
 
+@query
+def csv_export_scan(spark, sf_dir):
+    cells = hourly_cells(spark, sf_dir)
+    return tidy(read_csv(spark, write_csv(cells, scratch_path(spark, "export")), cells.schema))
+
+
 @query
 def append_rows(spark, sf_dir):
     target, source = _stored_and_fetched(spark, sf_dir)
@@ -329,6 +337,16 @@ def aqi_sub_index(spark, sf_dir):
     return tidy(cells.select(SITE, TS, *[air.sub_index(F.col(p), air.BANDS[p]).alias(f"{p}_index") for p in POLLUTANTS]))
 
 
+@query
+def aqi_user_bands(spark, sf_dir):
+    """A band per part, with gaps between them: the band table grows with the tables."""
+    key = F.col("p_partkey").cast("double")
+    parts = load_table(configure(spark), sf_dir, "part").select(
+        ((key - 1) * 0.5).alias("low"), ((key - 1) * 0.5 + 0.4375).alias("high"), key.alias("index_low"), (key + F.col("p_size")).alias("index_high"))
+    bands = parts.withColumn("pollutant", F.explode(F.array(F.lit("pm2_5"), F.lit("o3"))))
+    return tidy(sub_indices(hourly_cells(spark, sf_dir), bands, ["pm2_5", "o3"], [SITE, TS]))
+
+
 @query
 def aqi_value(spark, sf_dir):
     return tidy(with_aqi(views.cells(spark, sf_dir)).select(SITE, TS, "aqi"))
@@ -451,6 +469,14 @@ def clean_features_training(spark, sf_dir):
     return tidy(cleaned(spark, sf_dir)[0], **ROLL_DIGITS)
 
 
+@query
+def scoring_history_rows(spark, sf_dir):
+    # Every seventh hour was generated four days before its neighbours.
+    cells = views.cells(spark, sf_dir).select(SITE, TS, "co")
+    late = F.when(F.hour(TS) % 7 == 0, F.col(TS) - F.expr("interval 100 hours")).otherwise(F.col(TS))
+    return tidy(scoring_history(cells.withColumn("feature_generated_at", late)))
+
+
 @query
 def inference_row(spark, sf_dir):
     clean, stamp = clean_table(spark, sf_dir), F.expr(STAMP)

@@ -364,6 +364,14 @@ def build() -> dict[str, str]:
         f"SELECT {ID}, {rs(CHANNELS)}, city, source, ingested_at, is_imputed FROM clean")
 
     q["aqi_sub_index"] = steps(*CELLS) + f"SELECT {ID}, {', '.join(r(sub_index(p), p + '_index') for p in POLLUTANTS)} FROM cells"
+    q["aqi_user_bands"] = steps(*CELLS, f"""bands AS (SELECT (p_partkey - 1) * {dbl(0.5)} AS low, (p_partkey - 1) * {dbl(0.5)} + {dbl(0.4375)} AS high,
+      CAST(p_partkey AS DOUBLE) AS first, CAST(p_partkey + p_size AS DOUBLE) AS last FROM part)""") + f"""SELECT c.site, c.timestamp, {', '.join(r(
+        f'({p}.last - {p}.first) / ({p}.high - {p}.low) * (c.{c} - {p}.low) + {p}.first', c + '_index') for c, p in (('pm2_5', 'a'), ('o3', 'b')))}
+      FROM cells c LEFT JOIN bands a ON c.pm2_5 BETWEEN a.low AND a.high LEFT JOIN bands b ON c.o3 BETWEEN b.low AND b.high"""
+    q["csv_export_scan"] = steps(*CELLS) + f"SELECT {ID}, {rs(CHANNELS)}, city, source, ingested_at FROM cells"
+    q["scoring_history_rows"] = steps(*CELLS, f"""dated AS (SELECT {ID}, co, CASE WHEN hour(timestamp) % 7 = 0
+      THEN timestamp - INTERVAL 100 HOUR ELSE timestamp END AS feature_generated_at FROM cells)""") + f"""SELECT {ID}, {r('co', 'co')}, feature_generated_at
+      FROM dated QUALIFY row_number() OVER (PARTITION BY site ORDER BY feature_generated_at DESC, timestamp DESC) <= 73"""
     scored = [*CELLS, f"scored AS (SELECT {ID}, {AQI} AS aqi FROM cells)"]
     q["aqi_value"] = steps(*scored) + f"SELECT {ID}, {r('aqi', 'aqi')} FROM scored WHERE aqi IS NOT NULL"
     q["aqi_class"] = steps(*scored) + f"SELECT {ID}, {class5('aqi')} AS aqi_class FROM scored"

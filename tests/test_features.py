@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from helpers import START, column, hours, random_series, same
@@ -9,6 +10,7 @@ from gridcast.functions import airquality as air
 from gridcast.functions.clock import calendar_columns, relative_age
 from gridcast.functions.coerce import clip, finite, safe_round, to_number
 from gridcast.names import CHANNELS, TARGETS
+from gridcast.operators.bands import sub_indices
 from gridcast.operators.rowspan import over_rows, rolling_mean, rolling_std, with_time_index
 from gridcast.plans.clean import build_clean
 from gridcast.plans.features import build_features, ratio_columns, with_aqi
@@ -31,12 +33,48 @@ def test_index_is_the_largest_sub_index_and_needs_one(spark):
     same(column(with_aqi(d), "aqi", ("pm2_5",)), [112.08040201005025])
 
 
-def test_band_table_and_scale(spark):
-    t = spark.createDataFrame([("x", 0.0, 10.0, 0, 100)], "pollutant string, low double, high double, index_low int, index_high int")
-    bands = air.bands_from_table(t)
-    same(values(spark, [5], lambda c: air.sub_index(c, bands["x"], scale=2.0)), [100])
-    with pytest.raises(ValueError):
-        air.bands_from_table(t.union(t), max_rows=1)
+BAND = "pollutant string, low double, high double, index_low double, index_high double"
+
+
+def test_band_table_gives_what_the_list_gives(spark):
+    rows = [(p, float(b[0]), float(b[1]), float(b[2]), float(b[3])) for p in ("pm2_5", "o3") for b in air.BANDS[p]]
+    x = [0.0, 6.0, 12.0, 12.05, 12.1, 20.0, 35.4, 500.4, 500.5, -1.0, 200.0, None, float("nan"), float("inf")]
+    d = spark.createDataFrame(list(enumerate(x)), "i int, pm2_5 double").withColumn("o3", F.col("pm2_5") / 2)
+    got = sub_indices(d, spark.createDataFrame(rows, BAND), ["pm2_5", "o3"], ["i"])
+    assert got.count() == len(x)
+    want = d.select("i", *[air.sub_index(F.col(p), air.BANDS[p]).alias(f"{p}_index") for p in ("pm2_5", "o3")])
+    for c in ("pm2_5_index", "o3_index"):
+        same(column(got, c, ("i",)), column(want, c, ("i",)))
+
+
+def test_odd_bands(spark):
+    rows = [("x", 0.0, 0.0, 7.0, 9.0), ("x", 5.0, 5.0, 3.0, 4.0), ("x", 1.0, 1e12, 10.0, 10.0), ("x", 2.0, 3.0, 0.0, 1.0),
+            ("x", 9.0, 8.0, 1.0, 2.0), ("x", None, 8.0, 1.0, 2.0), ("x", -3.0, -1e-9, 100.0, 200.0), ("y", 0.0, 10.0, 0.0, 100.0)]
+    bands = spark.createDataFrame(rows, BAND)
+    d = spark.createDataFrame([(i, float(x), float(x)) for i, x in enumerate([0, 5, 2.5, 0.5, 1e12, -3, 1e300])], "i int, x double, z double")
+    got = sub_indices(d, bands, ["x", "z"], ["i"])
+    same(column(got, "x_index", ("i",)), [7, 10, 10, None, 10, 100, None])  # the band that starts first counts
+    assert column(got, "z_index", ("i",)) == [None] * 7
+    same(column(sub_indices(d, bands.where("pollutant = 'y'").withColumn("pollutant", F.lit("x")), ["x"], ["i"], {"x": 2.0}), "x_index", ("i",)),
+         [0, 100, 50, 10, None, None, None])
+    assert sub_indices(d, bands.limit(0), ["x"], ["i"]).where("x_index IS NULL").count() == 7
+
+
+def test_a_hundred_thousand_bands(spark):
+    n = 100_000
+    # Widths from 2^-20 to 2^20: uneven, and with gaps.
+    width = F.pow(F.lit(2.0), (F.col("id") % 41 - 20).cast("double"))
+    lows = np.concatenate([[0.0], np.cumsum(2.0 ** (np.arange(n - 1) % 41 - 20.0) * 2)])
+    low = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "low": lows}))
+    number = F.col("id").cast("double")
+    bands = low.select(F.lit("x").alias("pollutant"), "low", (F.col("low") + width).alias("high"), number.alias("index_low"), number.alias("index_high"))
+    x = np.random.default_rng(0).uniform(0, lows[-1], 20_000)
+    x[:5000] = x[0]
+    d = spark.createDataFrame(pd.DataFrame({"i": np.arange(len(x)), "x": x}))
+    got = column(sub_indices(d, bands, ["x"], ["i"]), "x_index", ("i",))
+    at = np.searchsorted(lows, x, side="right") - 1
+    inside = (at >= 0) & (x <= lows[at] + 2.0 ** (at % 41 - 20.0))
+    same(got, [float(a) if k else None for a, k in zip(at, inside)])
 
 
 def test_classes_and_categories(spark):
@@ -45,7 +83,7 @@ def test_classes_and_categories(spark):
     assert values(spark, [50, None], air.color_of_value) == ["#2ecc71", "#95a5a6"]
     assert values(spark, [0, 5, 6, None], air.class_label) == ["Good", "Hazardous", "Unknown", "Unknown"]
     assert [tuple(r) for r in values(spark, [1, 9], air.class_info)] == [("Moderate", "51 – 100"), ("Unknown", "N/A")]
-    assert values(spark, [250, None], lambda c: air.health_tip(air.category6(c))) == ["Avoid outdoor activities.", ""]
+    assert values(spark, [250, None], lambda c: air.health_tip(air.category6(c))) == [air.TIPS[4], ""]
 
 
 def test_text_is_no_category(spark):
