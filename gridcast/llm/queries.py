@@ -56,9 +56,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.archive(table(spark, sf_dir, "pages"))
     rows = captures.select(
         F.regexp_extract(F.decode("metadata.block", "UTF-8"), r"pageId: ([^\r\n]*)", 1).try_cast("long").alias("page_id"),
-        F.regexp_extract(F.substring(F.col("response.block").cast("string"), 1, 300), r"(?i)\r\ncontent-length: *(\d+)", 1)
-        .cast("long").alias("payload_bytes"),
-        F.regexp_replace("response.payload_digest", "^sha1:", "").alias("payload_digest"),
+        # A response tells by its payload, a revisit, which has none, by its headers.
+        F.coalesce("response.measured_bytes", F.regexp_extract(
+            F.substring(F.col("response.block").cast("string"), 1, 300), r"(?i)\r\ncontent-length: *(\d+)", 1).cast("long")).alias("payload_bytes"),
+        F.regexp_replace(F.coalesce("response.measured_digest", "response.payload_digest"), "^sha1:", "").alias("payload_digest"),
         F.col("response.type").alias("record_type"))
     rows = stage(rows, "captures")
     held = rows.where("record_type = 'response'").groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("held_by"))

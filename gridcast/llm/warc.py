@@ -5,7 +5,9 @@ naming the response in WARC-Concurrent-To. Of equal payloads (same SHA-1 and siz
 is stored, the others become revisits under the identical-payload-digest profile; several rows with that id and
 payload are all responses. Archives are gzip files: a task writes its rows, at most `FILE_CAPTURES` to a file.
 
-Reading. Files are parsed record by record by their Content-Length, never by searching for marks in payloads.
+Reading. Files are parsed record by record by their Content-Length, never by searching for marks in payloads. Of a
+response, the bytes after the HTTP headers are hashed and counted again, so that a payload that was altered or cut in
+the archive no longer agrees with its headers.
 
 Assembly. Requests and metadata are brought to their response through the concurrent-to identifiers in either
 direction (a metadata record also through its request), and every response or revisit becomes one nested row.
@@ -33,9 +35,10 @@ from gridcast.session import scratch_path
 FILE_CAPTURES = 5000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: `fields` are the headers without a column of their own.
+#: `fields` are the headers without a column of their own. The last two are measured on a response's payload as it was
+#: read, whatever its headers say; null for other records.
 RECORD = "record_id string, type string, concurrent_to string, target_uri string, payload_digest string, refers_to string, " \
-         "fields map<string,string>, block binary"
+         "fields map<string,string>, block binary, measured_digest string, measured_bytes long"
 
 
 # ---- writing
@@ -148,10 +151,19 @@ def _unzipped(raw: pa.Buffer, step: int = 1 << 20) -> Iterator[bytes]:
                 zipped = zlib.decompressobj(31)
 
 
+def _measured(kind: str | None, block: bytes) -> tuple[str | None, int | None]:
+    """Digest and size of the payload of a response block: what follows its HTTP headers."""
+    if kind != "response":
+        return None, None
+    end = block.find(b"\r\n\r\n")
+    payload = memoryview(block)[end + 4 if end >= 0 else 0:]
+    return "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode(), len(payload)
+
+
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split(" ")[0] for f in RECORD.split(", ")]
     own = ["warc-record-id", "warc-type", "warc-concurrent-to", "warc-target-uri", "warc-payload-digest", "warc-refers-to"]
-    kinds = [*[pa.string()] * 6, pa.map_(pa.string(), pa.string()), pa.binary()]
+    kinds = [*[pa.string()] * 6, pa.map_(pa.string(), pa.string()), pa.binary(), pa.string(), pa.int64()]
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -160,7 +172,8 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in range(b.num_rows):
             rows, held = [], 0
             for h, block in parse(_unzipped(b.column(0)[r].as_buffer())):
-                rows.append((*[h.get(name) for name in own], [(k, v) for k, v in h.items() if k not in own], block))
+                rows.append((*[h.get(name) for name in own], [(k, v) for k, v in h.items() if k not in own], block,
+                             *_measured(h.get("warc-type"), block)))
                 held += len(block)
                 if held > 4 << 20:
                     yield made(rows)

@@ -44,6 +44,19 @@ def test_archives_are_valid_files(spark, tmp_path):
     assert warc.read_records(spark, path).count() == 15
 
 
+def test_a_damaged_payload_is_noticed(spark, tmp_path):
+    path = tmp_path / "archive"
+    warc.write_captures(pages(spark, [(1, "http://a", "first page"), (2, "http://b", "other page")]), str(path))
+    read = lambda: {bytes(r.block)[-10:]: r for r in warc.read_records(spark, str(path)).where("type = 'response'").collect()}
+    assert all(r.measured_digest == r.payload_digest and r.measured_bytes == 10 for r in read().values())
+    for f in path.glob("*.gz"):
+        f.write_bytes(gzip.compress(gzip.decompress(f.read_bytes()).replace(b"first page", b"worst page")))
+        (path / f".{f.name}.crc").unlink(missing_ok=True)
+    got = read()
+    assert got[b"worst page"].measured_digest != got[b"worst page"].payload_digest
+    assert got[b"other page"].measured_digest == got[b"other page"].payload_digest
+
+
 def test_small_payloads_are_never_revisits(spark, tmp_path):
     path = str(tmp_path / "archive")
     warc.write_captures(pages(spark, PAGES[:2]), path, minimum=100)
@@ -75,7 +88,7 @@ def test_several_gzip_members():
 
 def test_transactions_follow_links_in_either_direction(spark):
     def record(i, kind, to=None):
-        return (i, kind, to, None, None, None, {}, bytearray(i.encode()))
+        return (i, kind, to, None, None, None, {}, bytearray(i.encode()), None, None)
 
     rows = [record("r1", "response"), record("q1", "request", "r1"), record("m1", "metadata", "q1"),  # through the request
             record("r2", "response", "q2"), record("q2", "request"), record("m2", "metadata", "r2"),  # response names request
