@@ -11,7 +11,9 @@ Decoding looks the ids up in a table of offsets into one string of all tokens' b
 not UTF-8 become U+FFFD.
 
 A worker keeps the encodings of the pieces it has met in two generations of at most CACHED pieces: when the
-younger is full it becomes the older one, and pieces that come up again are taken over from there.
+younger is full it becomes the older one, and pieces that come up again are taken over from there. Longer pieces than
+CACHED_LENGTH are kept within their text only, and the pair table starts anew at ALLOWED pairs, so that what a worker
+keeps has a bound in bytes.
 
 Defined cases. Null or empty text: no ids, empty text. Special tokens written out in a text become their ids.
 Null ids column: empty text; ids outside the vocabulary are an error. Repeated rows: encoded alike. Empty
@@ -35,6 +37,8 @@ from pyspark.sql import DataFrame
 from gridcast.llm.packing import byte_values
 
 CACHED = 400_000
+CACHED_LENGTH = 64
+ALLOWED = 500_000
 PART_BYTES = 1 << 20
 
 #: Fixed value: how byte-level vocabularies split a text.
@@ -92,6 +96,8 @@ class Vocabulary:
         """
         got = self.allowed.get((left, right))
         if got is None:
+            if len(self.allowed) >= ALLOWED:
+                self.allowed.clear()
             got = self.allowed[left, right] = self._stays_apart(left, right)
         return got
 
@@ -148,11 +154,14 @@ class Vocabulary:
             parts = [str(self.special[p]) if p in self.special else self.decimal(p) for p in self.specials.split(text) if p]
             return ",".join(parts)
         pieces = self.pieces.findall(text)
-        if len(self.known) > CACHED:
+        if len(self.known) >= CACHED:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
+        known, older, passing = self.known, self.older, {}
         for p in set(pieces).difference(known):
-            known[p] = older.get(p) or ",".join(map(str, self.encode_piece(p.encode())))
+            keep = known if len(p) <= CACHED_LENGTH and len(known) < CACHED else passing
+            keep[p] = older.get(p) or ",".join(map(str, self.encode_piece(p.encode())))
+        if passing:
+            return ",".join([known.get(p) or passing[p] for p in pieces])
         return ",".join(map(known.__getitem__, pieces))
 
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:

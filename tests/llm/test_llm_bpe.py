@@ -25,6 +25,19 @@ def test_equals_the_library(text):
     assert OWN.decimal(text) == ",".join(map(str, ids(text)))
 
 
+def test_what_a_worker_keeps_is_bounded(monkeypatch):
+    own = bpe.vocabulary(PATH)
+    for name, size in (("CACHED", 50), ("CACHED_LENGTH", 8), ("ALLOWED", 100)):
+        monkeypatch.setattr(bpe, name, size)
+    own.allowed.clear()
+    own.known, own.older = {}, {}
+    for i in range(20):
+        text = " ".join(f"word{i * j} {'long' * j} número{j}" for j in range(1, 40))
+        assert own.decimal(text) == ",".join(map(str, ids(text)))
+        assert max(len(own.known), len(own.older)) <= 50 and len(own.allowed) <= 100
+        assert max(map(len, [*own.known, *own.older])) <= 8
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=80))
 def test_any_text(text):
