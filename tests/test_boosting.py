@@ -1,5 +1,7 @@
 """Boosted trees against plain versions that search all rows."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -70,11 +72,15 @@ def predicted(model, df, column):
     return {(r.a, r.b, r.c): r[column] for r in model.transform(rows).select(*FEATURES, column).collect()}
 
 
+@pytest.mark.parametrize("task_rows", [0, 1 << 16])
 @pytest.mark.parametrize("s", [
     Boosting(rounds=3, depth=3, step=0.5), Boosting(rounds=3, depth=4, step=0.5, min_rows=20),
     Boosting(rounds=3, depth=5, leaves=6, step=0.5, min_rows=5, bins=255),
     Boosting(rounds=3, depth=3, step=0.5, gain="newton", l2=1.0, min_hessian=10.0)])
-def test_regression_equals_the_plain_version(spark, s):
+def test_regression_equals_the_plain_version(spark, monkeypatch, s, task_rows):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 150)  # several blocks in several tasks, or in one
+    monkeypatch.setattr(boosting, "CHECKPOINT", 2)
+    s = replace(s, task_rows=task_rows)
     df, x, y = made(spark, 400, 1)
     got = predicted(boosting.fit(df, FEATURES, "y", None, s), df, "prediction")
     score = np.full(len(y), y.mean())
@@ -84,8 +90,10 @@ def test_regression_equals_the_plain_version(spark, s):
         assert got[tuple(row)] == pytest.approx(want, abs=1e-9)
 
 
-def test_softmax_equals_the_plain_version(spark):
-    s = Boosting(rounds=4, depth=3, step=0.5, gain="newton", l2=1.0)
+@pytest.mark.parametrize("task_rows", [0, 1 << 16])
+def test_softmax_equals_the_plain_version(spark, monkeypatch, task_rows):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 120)
+    s = Boosting(rounds=4, depth=3, step=0.5, gain="newton", l2=1.0, task_rows=task_rows)
     df, x, y = made(spark, 300, 2, classes=3)
     got = predicted(boosting.fit(df, FEATURES, "y", [1, 2, 3], s), df, "predicted")
     score = np.zeros((len(y), 3))
