@@ -1,3 +1,4 @@
+import numpy as np
 import pandas as pd
 from helpers import START, column, hours
 from pyspark.sql import functions as F
@@ -115,3 +116,32 @@ def test_lag_state_survives_between_runs(spark):
     assert column(done, "v") == [0, 1, 2, 3, 4, 5, 6, 7]
     assert column(done, "v_lag_1h") == [None, 0, 1, 2, 3, 4, 5, 6]
     assert column(done, "v_lag_3h") == [None, None, None, 0, 1, 2, 3, 4]
+
+
+def test_late_hours_take_their_place_among_the_kept_rows(spark):
+    folder, out = scratch_path(spark, "land"), scratch_path(spark, "out")
+    for rows in ([5, 1, 0, 2, 8], [6], [9, 10], [3]):
+        schema = land(spark, folder, [("a", 60 * h, h) for h in rows])
+        stream = read_stream(spark, folder, schema)
+        run_available(lag_stream(stream, "v", ["site"], [1, 2, 3], "ts"), f"{out}/t", f"{out}/s")
+    got = {int(r.v): (r.v_lag_1h, r.v_lag_2h) for r in spark.read.parquet(f"{out}/t").collect()}
+    assert got == {0: (None, None), 1: (0, None), 2: (1, 0), 5: (2, 1), 8: (5, 2), 6: (5, 2), 9: (8, 6), 10: (9, 8),
+                   3: (None, None)}  # by then the rows before hour 3 are gone
+
+
+def test_a_long_history_in_one_batch_goes_through_the_state_in_spans(spark):
+    folder, out = scratch_path(spark, "land"), scratch_path(spark, "out")
+    hours_ = [int(h) for h in np.random.default_rng(1).permutation(3000)]
+    schema = land(spark, folder, [(s, 60 * h, h) for h in hours_ for s in "ab"])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
+    spark.conf.set("spark.sql.execution.arrow.transformWithStateInPandas.maxRecordsPerBatch", "200")
+    try:
+        stream = read_stream(spark, folder, schema)
+        run_available(lag_stream(stream, "v", ["site"], [1, 72], "ts", piece_rows=500, span_hours=300), f"{out}/t", f"{out}/s")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.unset("spark.sql.execution.arrow.transformWithStateInPandas.maxRecordsPerBatch")
+    done = spark.read.parquet(f"{out}/t")
+    assert done.count() == 6000
+    wrong = done.where("NOT (v_lag_1h <=> IF(v >= 1, v - 1, NULL) AND v_lag_72h <=> IF(v >= 72, v - 72, NULL))")
+    assert wrong.count() == 0
