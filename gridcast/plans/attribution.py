@@ -33,7 +33,7 @@ from gridcast.session import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Leaves and rows that meet in one task, about.
-BLOCK_LEAVES, BLOCK_ROWS = 50_000, 2_000
+BLOCK_LEAVES, BLOCK_ROWS = 20_000, 1_000
 BLOCK_CELLS = 4_000_000
 
 #: A leaf: the features its path tests, the ends of their intervals (low < x <= high), their shares, its value.
