@@ -14,6 +14,7 @@ from gridcast.names import POLLUTION_PAYLOAD, TARGETS, WEATHER_PAYLOAD
 from gridcast.operators import explore, quality, registry as reg, sampling, scores
 from gridcast.operators.dedup import keep_first, keep_last, latest_per_key, recent_per_key
 from gridcast.operators.monitor import grid_gaps, latest_predictions, table_health
+from gridcast.operators import quantiles
 from gridcast.operators.quantiles import exact_quantiles
 from gridcast.plans.gate import clean_inference, clean_training
 from gridcast.plans.scoring import scoring_history, scoring_rows
@@ -283,6 +284,28 @@ def test_all_null_column_is_constant(spark):
 
 # ---- exploration -----------------------------------------------------------------------------
 
+def test_heavy_tails_take_no_further_passes(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([np.exp(rng.normal(0, 12, 40_000)), rng.standard_cauchy(40_000) ** 3, rng.integers(0, 3, 40_000) * 1e9])
+    d = spark.createDataFrame(pd.DataFrame(x, columns=list("abc")))
+    cuts = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: cuts.append(narrow(*a)) or cuts[-1])
+    probs = [0.0, 0.25, 0.5, 0.75, 0.9999, 1.0]
+    got = exact_quantiles(d, list("abc"), probs)
+    assert cuts == [False]  # after the sketch and the count, every bin is short
+    for c, want in zip("abc", np.quantile(x, probs, axis=0).T):
+        assert got[c] == pytest.approx(list(want), rel=1e-12)
+
+
+def test_a_sketch_that_is_off_costs_passes_and_no_exactness(spark, monkeypatch):
+    x = np.random.default_rng(4).lognormal(0, 3, 3000)
+    d = spark.createDataFrame(pd.DataFrame({"a": x}))
+    monkeypatch.setattr(quantiles, "_sketched", lambda *_: {"a": (3000, [(0.5, 0.6), (2.0, 2.0), (9.0, 40.0)])})
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    assert exact_quantiles(d, ["a"], probs, 20)["a"] == pytest.approx(list(np.quantile(x, probs)), rel=1e-12)
+
+
 def test_quantiles_are_exact_while_narrowing(spark):
     rng = np.random.default_rng(3)
     n = 4000
