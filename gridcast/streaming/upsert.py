@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from gridcast.names import KEYS, TS
 from gridcast.sources.store import upsert_days
 
 
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive plans for the jobs on a finished batch. A stream turns them off in its session, because its state keeps
+    its partitions; a merge and a write would pay for all of these, however few rows there are."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def upsert_batch(root: str, keys: list[str], ts: str = TS):
     """foreachBatch function. Running a batch again gives the same table, so a retry is safe."""
 
@@ -15,7 +31,8 @@ def upsert_batch(root: str, keys: list[str], ts: str = TS):
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                upsert_days(batch, root, keys, ts)
+                with _adaptive(batch.sparkSession):
+                    upsert_days(batch, root, keys, ts)
         finally:
             batch.unpersist()
 
