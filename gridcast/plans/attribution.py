@@ -9,12 +9,17 @@ that follow the path through the splits on j). The leaf's Shapley value for feat
 a polynomial in t, which Gauss-Legendre nodes integrate exactly. The saved model is read as a
 table: executors turn each tree into leaf paths, and blocks of leaves meet blocks of rows, both
 of bounded size. No node reaches the driver.
+
+The leaves of a small subtree (a bunch) share the conditions above it. Rows that meet the same
+conditions of a bunch get the same values from it, so these are computed once per such pattern
+that occurs, and a row looks up one number per feature and bunch instead of one per leaf and node.
 """
 
 from __future__ import annotations
 
 import json
 import sys
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -32,16 +37,29 @@ from gridcast.session import stage
 # Executors get this module's code with the task and need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Leaves and rows that meet in one task, about.
-BLOCK_LEAVES, BLOCK_ROWS = 20_000, 1_000
-BLOCK_CELLS = 4_000_000
+#: Leaves and rows that meet in one task, about; leaves of a bunch, at most.
+BLOCK_LEAVES, BLOCK_ROWS = 60_000, 65_536
+BUNCH_LEAVES = 10
+
+#: A leaf: its bunch in the tree, the features its path tests, the ends of their intervals (low < x <= high), their shares, its value.
+LEAF = "tree int, bunch int, feature array<int>, low array<double>, high array<double>, share array<double>, value double"
+
 
-#: A leaf: the features its path tests, the ends of their intervals (low < x <= high), their shares, its value.
-LEAF = "tree int, feature array<int>, low array<double>, high array<double>, share array<double>, value double"
+class Bunch(NamedTuple):
+    """Leaves of a subtree. What all paths share: features, ends, shares (each of length d), in the order of the path.
+    The others: features (k), ends and shares (each of shape (leaves, k); a feature that a path does not test has the whole
+    line and share 1). Values (leaves). Quadrature points that the longest path needs."""
 
-# Leaves whose paths test the same number d of features: feature numbers, lower and upper ends
-# of the intervals, shares (each of shape (leaves, d)), and values (leaves).
-Leaves = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+    above: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+    below: np.ndarray
+    lows: np.ndarray
+    highs: np.ndarray
+    shares: np.ndarray
+    value: np.ndarray
+    points: int
 
 
 def _paths(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
@@ -49,19 +67,29 @@ def _paths(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
     at = {int(n): i for i, n in enumerate(nodes["id"])}
     left, right, feature = (nodes[c].to_numpy() for c in ("left", "right", "feature"))
     cut, value, count = (nodes[c].to_numpy() for c in ("cut", "value", "count"))
-    weight, out, open_ = nodes["weight"].iloc[0], [], [(at[0], {})]
+    weight, out = nodes["weight"].iloc[0], []
+    order, leaves = [at[0]], np.ones(len(nodes), int)
+    for n in order:
+        if left[n] >= 0:
+            order += [at[left[n]], at[right[n]]]
+    for n in reversed(order):
+        if left[n] >= 0:
+            leaves[n] = leaves[at[left[n]]] + leaves[at[right[n]]]
+    bunch, open_ = -1, [(at[0], {}, False)]
     while open_:
-        n, path = open_.pop()
+        n, path, inside = open_.pop()
+        if not inside and leaves[n] <= BUNCH_LEAVES:
+            bunch, inside = bunch + 1, True
         if left[n] < 0:
             low, high, share = (list(x) for x in zip(*path.values())) if path else ([], [], [])
-            out.append((key[0], list(path), low, high, share, value[n] * weight))
+            out.append((key[0], bunch, list(path), low, high, share, value[n] * weight))
             continue
         j = int(feature[n])
         low, high, share = path.get(j, (-np.inf, np.inf, 1.0))
         l, r = at[left[n]], at[right[n]]
-        open_ += [(l, {**path, j: (low, min(high, cut[n]), share * count[l] / count[n])}),
-                  (r, {**path, j: (max(low, cut[n]), high, share * count[r] / count[n])})]
-    return pd.DataFrame(out, columns=["tree", "feature", "low", "high", "share", "value"])
+        open_ += [(l, {**path, j: (low, min(high, cut[n]), share * count[l] / count[n])}, inside),
+                  (r, {**path, j: (max(low, cut[n]), high, share * count[r] / count[n])}, inside)]
+    return pd.DataFrame(out, columns=["tree", "bunch", "feature", "low", "high", "share", "value"])
 
 
 def leaf_paths(spark: SparkSession, model_path: str) -> DataFrame:
@@ -80,78 +108,174 @@ def leaf_paths(spark: SparkSession, model_path: str) -> DataFrame:
     return nodes.join(trees, "tree").groupBy("tree").applyInPandas(_paths, LEAF)
 
 
-def _by_length(leaves: pd.DataFrame) -> tuple[list[Leaves], float]:
-    """Leaves by path length, and the part of the prediction that no feature moves."""
-    groups, base = [], 0.0
-    for d, same in leaves.groupby(leaves["feature"].map(len)):
-        value = same["value"].to_numpy()
-        if d == 0:
-            base += value.sum()
-            continue
-        feature, low, high, share = (np.stack(same[c].to_numpy()) for c in ("feature", "low", "high", "share"))
-        base += float(value @ share.prod(axis=1))
-        groups.append((feature, low, high, share, value))
+def _bunch(feature: np.ndarray, ends: np.ndarray, leaf: np.ndarray, value: np.ndarray) -> Bunch:
+    """Of the steps of the leaves' paths (feature; low, high, share; number of the leaf)."""
+    names, at = np.unique(feature, return_inverse=True)
+    table = np.empty((3, len(value), len(names)))
+    table[0], table[1], table[2] = -np.inf, np.inf, 1.0
+    table[:, leaf, at] = ends
+    shared = (table == table[:, :1]).all((0, 1))
+    first = at[:np.searchsorted(leaf, 1)]
+    above = first[shared[first]]
+    own = np.flatnonzero(~shared)
+    return Bunch(names[above], *table[:, 0, above], names[own], *table[:, :, own], value, (int(np.bincount(leaf).max()) + 1) // 2)
+
+
+def _by_length(leaves: pd.DataFrame) -> tuple[list[Bunch], float]:
+    """Leaves by bunch, and the part of the prediction that no feature moves."""
+    leaves = leaves.sort_values(["tree", "bunch"], kind="stable")
+    length = leaves["feature"].map(len).to_numpy(int)
+    value = leaves["value"].to_numpy()
+    base = float(value[length == 0].sum())
+    leaves, value, length = leaves[length > 0], value[length > 0], length[length > 0]
+    if not len(leaves):
+        return [], base
+    feature = np.concatenate(leaves["feature"].to_numpy())
+    ends = np.stack([np.concatenate(leaves[c].to_numpy()) for c in ("low", "high", "share")])
+    start = np.cumsum(length) - length
+    base += float(value @ np.multiply.reduceat(ends[2], start))
+    tree, bunch = leaves["tree"].to_numpy(), leaves["bunch"].to_numpy()
+    first = np.flatnonzero(np.r_[True, (tree[1:] != tree[:-1]) | (bunch[1:] != bunch[:-1])])
+    step, groups = np.r_[start, len(feature)], []
+    for a, b in zip(first, np.r_[first[1:], len(leaves)]):
+        steps = slice(step[a], step[b])
+        groups.append(_bunch(feature[steps], ends[:, steps], np.repeat(np.arange(b - a), length[a:b]), value[a:b]))
     return groups, base
 
 
-def _shapley(x: np.ndarray, groups: list[Leaves]) -> np.ndarray:
+def _quadrature(points: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points and weights on [0, 1]."""
+    t, weight = np.polynomial.legendre.leggauss(points)
+    return (t + 1) / 2, weight / 2
+
+
+def _numbered(code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes (below size) that occur, in order, and the place of every row's code among them."""
+    if size > 4 * len(code) + 1024:
+        return np.unique(code, return_inverse=True)
+    seen = np.zeros(size, bool)
+    seen[code] = True
+    found = np.flatnonzero(seen)
+    place = np.empty(size, np.int32)
+    place[found] = np.arange(len(found), dtype=np.int32)
+    return found, place.take(code)
+
+
+class _Patterns:
+    """Numbers the rows of x by the conditions they meet. Conditions that a list begins with like the last list are not tested again."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        self.x, self.last, self.most = x, [], 2 * x.shape[1] + 1024
+
+    def of(self, tests: list[tuple[int, float, float]]) -> tuple[np.ndarray, np.ndarray]:
+        """A row of every pattern of low < x <= high, and the number of each row's pattern."""
+        keep = 0
+        while keep < min(len(tests), len(self.last)) and tests[keep] == self.last[keep][0]:
+            keep += 1
+        del self.last[keep:]
+        for test in tests[keep:]:
+            code, size = self.last[-1][1:] if self.last else (np.zeros(self.x.shape[1], np.int32), 1)
+            if 2 * size > self.most:
+                found, code = _numbered(code, size)
+                size = len(found)
+            j, low, high = test
+            met = self.x[j] <= high
+            if low > -np.inf:
+                met &= self.x[j] > low
+            self.last.append((test, code + met * np.int32(size), 2 * size))
+        found, number = _numbered(*self.last[-1][1:]) if tests else (np.zeros(1), np.zeros(self.x.shape[1], np.int32))
+        row = np.empty(len(found), np.intp)
+        row[number] = np.arange(len(number))
+        return row, number
+
+
+def _shapley(x: np.ndarray, groups: list[Bunch]) -> np.ndarray:
     """Shapley values of the rows of x, one column per feature."""
+    # As in the trees: a value that is not below a cut goes right, NaN too.
+    x = np.ascontiguousarray(np.nan_to_num(x.T, nan=np.finfo(float).max))
     phi = np.zeros(x.shape)
-    for feature, low, high, share, value in groups:
-        d = feature.shape[1]
-        points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
-        t, weights = (points + 1) / 2, weights / 2
-        step = max(1, BLOCK_CELLS // (len(x) * d * len(t)))
-        for start in range(0, len(value), step):
-            s = slice(start, start + step)
-            seen = x[:, feature[s]]
-            met = ((seen > low[s]) & (seen <= high[s])).astype(float)
-            factor = share[s][..., None] * (1 - t) + met[..., None] * t
-            others = factor.prod(axis=2, keepdims=True) / factor
-            part = (met - share[s]) * (others @ weights) * value[s][:, None]
-            place = np.zeros((part.shape[1] * d, x.shape[1]))
-            place[np.arange(len(place)), feature[s].ravel()] = 1.0
-            phi += part.reshape(len(x), -1) @ place
-    return phi
-
-
-def _explain(ids: list[str], rows_at_once: int):
+    if not x.shape[1]:
+        return phi.T
+    rules = {n: _quadrature(n) for n in {g.points for g in groups}}
+    upper, lower, out = _Patterns(x), _Patterns(x), np.empty(x.shape[1])
+    for g in groups:
+        t, weight = rules[g.points]
+        up, u = upper.of(list(zip(g.above.tolist(), g.low.tolist(), g.high.tolist())))
+        cuts = {(j, c) for j, ends in zip(g.below.tolist(), np.concatenate([g.lows, g.highs]).T.tolist()) for c in ends if abs(c) < np.inf}
+        down, d = lower.of([(j, -np.inf, c) for j, c in sorted(cuts)])
+        pairs, number = _numbered(u * np.int64(len(down)) + d, len(up) * len(down))
+        number = number.astype(np.intp)
+        u, d = np.divmod(pairs, len(down))
+
+        # What the shared conditions say: met or not, and their factor at every point.
+        seen = x[g.above[:, None], up]
+        met = (seen > g.low[:, None]) & (seen <= g.high[:, None])
+        unmet = g.share[:, None] * (1 - t)
+        factor = np.broadcast_to(weight, (len(up), len(t)))
+        for m, by in zip(met, np.stack([unmet, unmet + t], axis=1)):
+            factor = factor * by.take(m, axis=0)
+        factor = factor.take(u, axis=0)
+
+        # What the leaves say, of shape (leaves, features, patterns, points).
+        seen = x[g.below[:, None], down]
+        inside = ((seen > g.lows[..., None]) & (seen <= g.highs[..., None])).astype(float)[..., None]
+        z = g.shares[..., None, None]
+        step = z * (1 - t) + inside * t
+        leaf = g.value[:, None, None] * step.prod(axis=1)
+        moved = (leaf[:, None] * ((inside - z) / step)).sum(axis=0)
+
+        # A condition that is not met counts the same whichever it is.
+        ratios = np.concatenate([-1 / (1 - t)[None], (1 - g.share[:, None]) / (unmet + t)])
+        parts = ratios @ (factor * leaf.sum(axis=0).take(d, axis=0)).T
+        parts[1:] = np.where(met.take(u, axis=1), parts[1:], parts[0])
+        for j, part in zip(g.above, parts[1:]):
+            phi[j] += part.take(number, out=out, mode="clip")
+        for j, by in zip(g.below, moved):
+            phi[j] += np.einsum("ij,ij->i", factor, by.take(d, axis=0)).take(number, out=out, mode="clip")
+    return np.ascontiguousarray(phi.T)
+
+
+def _explain(ids: list[str]):
     """Cogroup of a block of rows and a block of leaves: base and phi as far as these leaves go."""
     def run(rows: pd.DataFrame, leaves: pd.DataFrame) -> pd.DataFrame:
         groups, base = _by_length(leaves)
-        parts = []
-        for start in range(0, len(rows), rows_at_once):
-            parts.extend(_shapley(np.stack(rows["x"].to_numpy()[start:start + rows_at_once]).astype(float), groups))
-        return rows[ids].assign(base=base, phi=parts)
+        phi = _shapley(np.stack(rows["x"].to_numpy()).astype(float), groups) if len(rows) else []
+        return rows[ids].assign(base=base, phi=list(phi))
 
     return run
 
 
 def attributions(df: DataFrame, model_path: str, features: list[str], ids: list[str], block_leaves: int = BLOCK_LEAVES,
-                 block_rows: int = BLOCK_ROWS, rows_at_once: int = 256) -> DataFrame:
+                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """ids, base, phi (one value per feature) for every row; base + sum(phi) is the prediction.
 
-    `ids` must name a row. Rows and leaves are dealt into blocks by hash; every block of rows meets every
-    block of leaves once, and what the blocks of leaves say about a row is added up.
+    Rows and trees are dealt into blocks; every block of rows meets every block of trees once, and what the blocks
+    of trees say about a row is added up.
     """
     spark = df.sparkSession
     leaves = stage(leaf_paths(spark, model_path), "leaves")
-    slim = stage(df.select(*ids, F.array(*[F.col(f).cast("double") for f in features]).alias("x")), "explained")
+    slim = stage(df.select(*ids, F.monotonically_increasing_id().alias("_row"),
+                           F.array(*[F.col(f).cast("double") for f in features]).alias("x")), "explained")
     packs, parts = max(1, -(-leaves.count() // block_leaves)), max(1, -(-slim.count() // block_rows))
 
+    def pair(part, pack):
+        return (part * packs + pack).cast("int")
+
     def numbers(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = slim.withColumns({"_part": F.pmod(F.xxhash64(*ids), F.lit(parts)).cast("int"), "_pack": numbers(packs)})
-    right = leaves.withColumn("_pack", F.pmod(F.xxhash64("tree", "feature", "low", "high"), F.lit(packs)).cast("int"))
-    right = right.withColumn("_part", numbers(parts))
-    schema = T.StructType([slim.schema[i] for i in ids]
+    # A task for each pair of blocks: by hash several pairs would meet in one and the others wait.
+    left = slim.withColumns({"_part": F.pmod(F.xxhash64("_row"), F.lit(parts)), "_pack": numbers(packs)})
+    right = leaves.withColumns({"_part": numbers(parts), "_pack": F.pmod("tree", F.lit(packs))})
+    left, right = (d.select("*", pair(F.col("_part"), F.col("_pack")).alias("_pair")).drop("_part", "_pack")
+                   .repartitionById(parts * packs, "_pair") for d in (left, right))
+    schema = T.StructType([slim.schema[i] for i in [*ids, "_row"]]
                           + [T.StructField("base", T.DoubleType()), T.StructField("phi", T.ArrayType(T.DoubleType()))])
-    partial = (left.groupBy("_part", "_pack").cogroup(right.groupBy("_part", "_pack"))
-               .applyInPandas(_explain(ids, rows_at_once), schema))
+    partial = (left.groupBy("_pair").cogroup(right.groupBy("_pair"))
+               .applyInPandas(_explain([*ids, "_row"]), schema))
     if packs == 1:
-        return partial
-    sums = partial.groupBy(*ids).agg(F.sum("base").alias("base"), *[
+        return partial.drop("_row")
+    sums = partial.groupBy("_row", *ids).agg(F.sum("base").alias("base"), *[
         F.sum(F.col("phi")[i]).alias(f"_p{i}") for i in range(len(features))])
     return sums.select(*ids, "base", F.array(*[f"_p{i}" for i in range(len(features))]).alias("phi"))
 
