@@ -1,0 +1,91 @@
+"""Forests that stay in tables: the driver gets no trees, rows meet packs of trees, and a forest that is not kept goes."""
+
+import numpy as np
+import pytest
+from pyspark import RDD
+from pyspark.errors import AnalysisException
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+from test_boosting import FEATURES, made
+
+from gridcast.names import VALUE_TARGET
+from gridcast.plans import boosting, forest, training
+from gridcast.plans.boosting import Boosting
+from gridcast.plans.forest import Forest
+
+
+def test_the_driver_gets_no_trees(spark, monkeypatch):
+    df, _, _ = made(spark, 200, 1)
+    monkeypatch.setattr(RDD, "collect", lambda self: pytest.fail("trees came to the driver"))
+    model = forest.fit(df, FEATURES, "y", None, Forest(trees=4, depth=4))
+    assert model.table(spark).count() == 4
+    assert not any(isinstance(v, np.ndarray) for v in model.__dict__.values())
+
+
+def test_boosted_nodes_are_one_array(spark):
+    df, _, _ = made(spark, 100, 1, classes=3)
+    model = boosting.fit(df, FEATURES, "y", [1, 2, 3], Boosting(rounds=4, depth=2))
+    assert isinstance(model.nodes, np.ndarray) and model.nodes.nbytes < 60 * len(model.nodes)
+
+
+@pytest.mark.parametrize("classes", [0, 3])
+def test_rows_meet_packs_of_trees(spark, monkeypatch, classes):
+    df, x, _ = made(spark, 120, 2, classes=classes or None)
+    model = forest.fit(df, FEATURES, "y", [1, 2, 3] if classes else None, Forest(trees=7, depth=5))
+    c = model.columns
+    total = 0
+    for t in range(7):
+        mine = c["tree"] == t
+        at = np.zeros(len(x), int)
+        for _ in range(6):
+            left, cut, feature = (c[k][mine] for k in ("left", "cut", "feature"))
+            low = x[np.arange(len(x)), np.maximum(feature[at], 0)] <= cut[at]
+            at = np.where(left[at] >= 0, left[at] + ~low, at)
+        total = total + c["shares"][mine][at]
+    want = {tuple(r): (str(v.argmax() + 1) if classes else v[0] / 7) for r, v in zip(x, total)}
+    monkeypatch.setattr(forest, "SCORE_ROWS", 50)
+    monkeypatch.setattr(forest, "SCORE_NODES", 8)
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df.union(df).withColumn("none", F.lit(None)))
+    got = model.transform(rows)
+    name = "predicted" if classes else "prediction"
+    assert got.columns == [*rows.columns, name] and got.count() == 240
+    for r in got.collect():
+        assert r[name] == (want[r.a, r.b, r.c] if classes else pytest.approx(want[r.a, r.b, r.c]))
+    assert model.transform(rows.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("chosen", [None, 2])
+@pytest.mark.parametrize("classes", [0, 3])
+def test_splits_found_feature_by_feature_are_those_of_the_cells(classes, chosen):
+    rng = np.random.default_rng(1)
+    n, s = 600, Forest(features=chosen, bins=8)
+    y = rng.integers(0, 3, n).astype(float) + (0 if classes else rng.normal(size=n))
+    block = 0, rng.integers(0, 8, (5, n)).astype(np.uint8), y, rng.integers(1, 4, n).astype(float)
+    rows = forest._by_node(rng.integers(0, 11, n).astype(np.int32), np.arange(n))
+    nodes, values = np.array([3, 4, 7, 9, 10]), forest._values(block, np.ones(n, int), classes)
+    want = forest._splits(forest._cells(block[1], values, rows, 0, nodes, s), 0, nodes, 5, s)
+    got = forest._best(block[1], y, values[-2], rows, 0, nodes, classes, s)
+    for a, b in zip(got, want):
+        assert a == pytest.approx(b)
+
+
+def test_weights_of_the_root_are_counted_once(monkeypatch):
+    rng, n = np.random.default_rng(1), 500
+    block = 0, rng.integers(0, 8, (4, n)).astype(np.uint8), rng.normal(size=n), np.ones(n), np.zeros((n, 1))
+    counted, bincount = [], np.bincount
+    monkeypatch.setattr(boosting.np, "bincount", lambda x, *a, **k: counted.append(len(x)) or bincount(x, *a, **k))
+    list(boosting._rounds(1, [7] * 4, Boosting(depth=1), 0, 5)(iter([block])))
+    assert sum(c == n for c in counted) == 2 * (5 + 1)  # two pairs of features: gradients in each round, weights once
+
+
+def test_a_forest_that_is_not_kept_is_deleted(spark, monkeypatch):
+    df = made(spark, 200, 3)[0].coalesce(1).withColumns({"site": F.lit("a"), VALUE_TARGET: F.col("y"),
+                                             "timestamp": F.timestamp_seconds(3600 * F.monotonically_increasing_id())})
+    fitted, fit = [], forest.fit
+    monkeypatch.setattr(forest, "fit", lambda *a: fitted.append(fit(*a)) or fitted[-1])
+    monkeypatch.setattr(training, "test_scores", lambda model, *a: {"r2": float("Forest" not in type(model.stages[-1]).__name__)})
+    sizes = training.Sizes(trees=2, forest_depth=2, rounds=2, boost_depth=2, binned_depth=2)
+    kept = training.train_target(df.drop("y"), VALUE_TARGET, sizes, features=FEATURES, candidates=["RandomForest", "GradientBoosting"])
+    assert kept.name == "GradientBoosting"
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(fitted[0].path)
