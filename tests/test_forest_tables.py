@@ -89,3 +89,23 @@ def test_a_forest_that_is_not_kept_is_deleted(spark, monkeypatch):
     assert kept.name == "GradientBoosting"
     with pytest.raises(AnalysisException):
         spark.read.parquet(fitted[0].path)
+
+
+@pytest.mark.parametrize("bins", [8, 200])
+def test_small_keys_count_what_wide_keys_count(monkeypatch, bins):
+    rng, n = np.random.default_rng(1), 900
+    block = 0, rng.integers(0, bins, (5, n)).astype(np.uint8), rng.integers(0, 3, n).astype(float), np.ones(n), np.zeros((n, 3))
+    wide = list(boosting._rounds(3, [bins - 1] * 5, Boosting(depth=3), 0, 2)(iter([block])))
+    monkeypatch.setattr(boosting, "KEY_BYTES", 0)
+    held = boosting._Held(block, 3, bins, Boosting(depth=3))
+    assert sum(k.nbytes for k in held.keys) <= 2 * n * 5
+    small = list(boosting._rounds(3, [bins - 1] * 5, Boosting(depth=3), 0, 2)(iter([block])))
+    assert (wide[-1][4] == small[-1][4]).all()
+
+
+def test_a_task_grows_several_trees_of_few_rows(spark, monkeypatch):
+    df, _, _ = made(spark, 100, 1)
+    many, writes, write = Forest(trees=70, depth=2), [], forest._write
+    monkeypatch.setattr(forest, "_write", lambda *a: writes.append(a) or write(*a))
+    model = forest.fit(df, FEATURES, "y", None, many)
+    assert len(writes) == 1 and sorted(r.tree for r in model.table(spark).select("tree").collect()) == list(range(70))
